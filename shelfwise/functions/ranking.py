@@ -1,0 +1,110 @@
+"""Array work of the ranking step, run by Spark on batches of users inside tasks.
+
+Depends on numpy and Arrow alone and is sent to the tasks by value, so executors need
+neither this package nor Spark ML's Python side.
+"""
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+USERS_AT_ONCE = 256
+ITEMS_AT_ONCE = 4096
+
+# Relative error that single precision may add to a dot product, with room to spare.
+NEAR = 1e-6
+
+
+def matrix(lists) -> np.ndarray:
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
+
+
+def dots(users, items):
+    """Row-wise dot products, summed in a fixed order so that equal vectors get equal scores."""
+    total = np.zeros(len(users))
+    for d in range(users.shape[1]):
+        total += users[:, d] * items[:, d]
+    return total
+
+
+def leaders(row, item, score, k):
+    """The first ``k[row]`` entries of each row by score, equal scores by item, with the score
+    and the item of the last place of each row whose list is full."""
+    order = np.lexsort((item, -score, row))
+    row, item, score = row[order], item[order], score[order]
+    rank = np.arange(len(row)) - np.searchsorted(row, row)
+    keep, last = rank < k[row], rank == k[row] - 1
+    floor, edge = np.full(len(k), -np.inf), np.full(len(k), -1, np.int64)
+    floor[row[last]], edge[row[last]] = score[last], item[last]
+    return row[keep], item[keep], score[keep], floor, edge
+
+
+def improve(users, k, best, chunk):
+    """Lists of some users, ``best`` so far, after all items of one chunk.
+
+    Single precision finds the candidates, with a margin for its error; the double-precision
+    score of each candidate decides.
+    """
+    ids, factors, lengths = chunk
+    reach = np.linalg.norm(users, axis=1)
+    narrow = users.astype(np.float32)
+    row, item, score, floor, edge = leaders(*best, k)
+    for start in range(0, len(ids), ITEMS_AT_ONCE):
+        bound = reach * lengths[start]
+        margin = NEAR * bound * users.shape[1]
+        live = np.flatnonzero(bound + margin >= floor)
+        if not live.size:
+            break
+        block = factors[start:start + ITEMS_AT_ONCE]
+        near = narrow[live] @ block.T
+        least = floor[live]
+        new, most = np.isinf(least), int(k[live].max())
+        if new.any() and most < len(block):
+            least[new] = np.partition(near[new], -most, axis=1)[:, -most]
+        # Rounded down, so that the narrower type cannot lift it past a candidate.
+        limit = np.nextafter((least - 2 * margin[live]).astype(np.float32), np.float32(-np.inf))
+        hits = np.flatnonzero(near >= limit[:, None])
+        hit_row, hit_item = live[hits // len(block)], hits % len(block)
+        hit_id = ids[start:start + ITEMS_AT_ONCE][hit_item]
+        exact = dots(users[hit_row], block[hit_item].astype(np.float64))
+        better = (exact > floor[hit_row]) | (
+            (exact == floor[hit_row]) & (hit_id < edge[hit_row])
+        )
+        row, item, score, floor, edge = leaders(
+            np.concatenate([row, hit_row[better]]),
+            np.concatenate([item, hit_id[better]]),
+            np.concatenate([score, exact[better]]),
+            k,
+        )
+    return row, item, score
+
+
+def ranker(broadcast):
+    """The Arrow function that runs one chunk of items over batches of users."""
+
+    def run(batches):
+        chunk = broadcast.value
+        for batch in batches:
+            for start in range(0, batch.num_rows, USERS_AT_ONCE):
+                part = batch.slice(start, USERS_AT_ONCE)
+                users = matrix(part["features"]).astype(np.float64)
+                k = part["k"].to_numpy(zero_copy_only=False)
+                sizes = pc.list_value_length(part["best"]).to_numpy(zero_copy_only=False)
+                known = part["best"].flatten()
+                best = (
+                    np.repeat(np.arange(len(k)), sizes),
+                    known.field("id").to_numpy(zero_copy_only=False),
+                    known.field("score").to_numpy(zero_copy_only=False),
+                )
+                row, item, score = improve(users, k, best, chunk)
+                entries = pa.StructArray.from_arrays(
+                    [pa.array(item, pa.int64()), pa.array(score, pa.float64())], ["id", "score"]
+                )
+                ends = np.searchsorted(row, np.arange(len(k) + 1)).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), entries)
+                yield pa.RecordBatch.from_arrays(
+                    [part["id"], part["k"], part["features"], lists],
+                    ["id", "k", "features", "best"],
+                )
+
+    return run

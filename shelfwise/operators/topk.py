@@ -10,112 +10,27 @@ score. The bound only skips what cannot enter the list, so results are exact.
 import math
 
 import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, functions as F
 
+from shelfwise.functions import ranking
 from shelfwise.operators.encode import with_positions
 from shelfwise.schemas import LIST_LENGTH
 from shelfwise.session import materialize, scratch_path
 
 CHUNK_BYTES = 128 << 20
 PAIRS_PER_TASK = 20_000_000_000
-USERS_AT_ONCE = 1024
-ITEMS_AT_ONCE = 4096
-
 STATE = "id bigint, k int, features array<float>, best array<struct<id:bigint,score:double>>"
 
-
-def _matrix(lists) -> np.ndarray:
-    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
-
-
-def _dots(users, items):
-    """Row-wise dot products, summed in a fixed order so that equal vectors get equal scores."""
-    total = np.zeros(len(users))
-    for d in range(users.shape[1]):
-        total += users[:, d] * items[:, d]
-    return total
-
-
-def _leaders(row, item, score, k):
-    """The first ``k[row]`` entries of each row by score, equal scores by item."""
-    order = np.lexsort((item, -score, row))
-    row, item, score = row[order], item[order], score[order]
-    rank = np.arange(len(row)) - np.searchsorted(row, row)
-    keep = rank < k[row]
-    floor = np.full(len(k), -np.inf)
-    last = rank == k[row] - 1
-    floor[row[last]] = score[last]
-    return row[keep], item[keep], score[keep], floor
-
-
-def _improve(users, k, best, chunk):
-    """Lists of some users, ``best`` so far, after all items of one chunk."""
-    ids, factors, lengths = chunk
-    reach = np.linalg.norm(users, axis=1)
-    row, item, score, floor = _leaders(*best, k)
-    for start in range(0, len(ids), ITEMS_AT_ONCE):
-        bound = reach * lengths[start]
-        margin = 1e-12 * (1 + bound) * users.shape[1]
-        live = np.flatnonzero(bound + margin >= floor)
-        if not live.size:
-            break
-        block = factors[start:start + ITEMS_AT_ONCE].astype(np.float64)
-        near = users[live] @ block.T
-        least = floor[live]
-        new, most = np.isinf(least), int(k[live].max())
-        if new.any() and most < len(block):
-            least[new] = np.partition(near[new], -most, axis=1)[:, -most]
-        hit_row, hit_item = np.nonzero(near >= (least - margin[live])[:, None])
-        hit_row = live[hit_row]
-        exact = _dots(users[hit_row], block[hit_item])
-        row, item, score, floor = _leaders(
-            np.concatenate([row, hit_row]),
-            np.concatenate([item, ids[start:start + ITEMS_AT_ONCE][hit_item]]),
-            np.concatenate([score, exact]),
-            k,
-        )
-    return row, item, score
-
-
-def _advance(broadcast):
-    """The Arrow function that runs one chunk of items over batches of users."""
-
-    def run(batches):
-        chunk = broadcast.value
-        for batch in batches:
-            for start in range(0, batch.num_rows, USERS_AT_ONCE):
-                part = batch.slice(start, USERS_AT_ONCE)
-                users = _matrix(part["features"]).astype(np.float64)
-                k = part["k"].to_numpy(zero_copy_only=False)
-                sizes = pc.list_value_length(part["best"]).to_numpy(zero_copy_only=False)
-                known = part["best"].flatten()
-                best = (
-                    np.repeat(np.arange(len(k)), sizes),
-                    known.field("id").to_numpy(zero_copy_only=False),
-                    known.field("score").to_numpy(zero_copy_only=False),
-                )
-                row, item, score = _improve(users, k, best, chunk)
-                entries = pa.StructArray.from_arrays(
-                    [pa.array(item, pa.int64()), pa.array(score, pa.float64())], ["id", "score"]
-                )
-                ends = np.searchsorted(row, np.arange(len(k) + 1)).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), entries)
-                yield pa.RecordBatch.from_arrays(
-                    [part["id"], part["k"], part["features"], lists],
-                    ["id", "k", "features", "best"],
-                )
-
-    return run
+cloudpickle.register_pickle_by_value(ranking)
 
 
 def _broadcast(items: DataFrame):
     """Ids, factors and lengths of a bounded chunk of items, longest first."""
     table = items.select(F.col("id").cast("bigint"), "features").toArrow()
     ids = table["id"].to_numpy()
-    factors = _matrix(table["features"].combine_chunks())
+    factors = ranking.matrix(table["features"].combine_chunks())
     lengths = np.linalg.norm(factors.astype(np.float64), axis=1)
     order = np.lexsort((ids, -lengths))
     chunk = ids[order], np.ascontiguousarray(factors[order]), lengths[order]
@@ -148,10 +63,9 @@ def top_k(
     bounds the items in one broadcast. More items take more rounds over the users, whose
     lists so far are kept in the shared folder in between.
     """
-    n_users, n_items = users.count(), items.count()
-    first = items.first()
-    width = len(first["features"]) if first else 0
-    per_chunk = max(1, chunk_bytes // (4 * width + 16))
+    n_users = users.count()
+    n_items, width = items.agg(F.count("*"), F.max(F.size("features"))).first()
+    per_chunk = max(1, chunk_bytes // (4 * (width or 0) + 16))
     rounds = math.ceil(n_items / per_chunk)
     slices = _slices(items, per_chunk) if rounds > 1 else None
     slots = users.sparkSession.sparkContext.defaultParallelism
@@ -164,7 +78,7 @@ def top_k(
     )
     for number in range(rounds):
         chunk = _broadcast(slices.filter(F.col("slice") == number) if slices else items)
-        state = state.repartition(tasks, "id").mapInArrow(_advance(chunk), STATE)
+        state = state.repartition(tasks, "id").mapInArrow(ranking.ranker(chunk), STATE)
         if number < rounds - 1:
             state = materialize(state, "lists")
             chunk.unpersist()
@@ -196,12 +110,15 @@ def recommend_for(model: ALSModel, wanted: DataFrame, **limits) -> DataFrame:
     return _as_recommendations(top_k(users, model.itemFactors, **limits))
 
 
-def long_form(recs: DataFrame, length: int = LIST_LENGTH) -> DataFrame:
-    """One row an entry: ``(user_id_int, rank, product_id_int, score)``, ranks from 1."""
-    return recs.select(
-        "user_id_int", F.posexplode(F.slice("recommendations", 1, length)).alias("pos", "item")
-    ).select(
-        "user_id_int",
+def long_form(recs: DataFrame, *keys: str, length: int | None = None) -> DataFrame:
+    """One row an entry: ``(*keys, rank, product_id_int, score)``, ranks from 1; ``length``
+    cuts longer lists."""
+    keys = keys or ("user_id_int",)
+    entries = F.col("recommendations")
+    if length is not None:
+        entries = F.slice(entries, 1, length)
+    return recs.select(*keys, F.posexplode(entries).alias("pos", "item")).select(
+        *keys,
         (F.col("pos") + 1).alias("rank"),
         F.col("item.product_id_int").alias("product_id_int"),
         F.col("item.rating").cast("double").alias("score"),

@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +15,7 @@ SETTINGS = {
 }
 
 _LOCAL_ROOTS: dict[str, str] = {}
+_JOB_FOLDER: ContextVar[str | None] = ContextVar("job_folder", default=None)
 
 
 def build_session(app_name="shelfwise", master=None, **settings):
@@ -43,8 +46,22 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that nothing has used before."""
-    return f"{scratch_root(spark)}/shelfwise/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing has used before."""
+    parent = _JOB_FOLDER.get() or f"{scratch_root(spark)}/shelfwise"
+    return f"{parent}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def job_folder(spark: SparkSession):
+    """Keep the scratch tables of one job together and delete them when it is done. The job
+    must have written its results elsewhere by then."""
+    path = scratch_path(spark, "job")
+    token = _JOB_FOLDER.set(path)
+    try:
+        yield path
+    finally:
+        _JOB_FOLDER.reset(token)
+        delete_path(spark, path)
 
 
 def use_checkpoints(spark: SparkSession) -> None:

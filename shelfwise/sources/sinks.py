@@ -14,6 +14,15 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True, escape='"')
 
 
+def preview(df: DataFrame, *order: str, rows: int = 5) -> DataFrame:
+    """The first rows in a given order, found by a bounded top-n in each task."""
+    return df.orderBy(*order).limit(rows)
+
+
+def column_types(df: DataFrame) -> list[tuple[str, str]]:
+    return df.dtypes
+
+
 def export_table(recs: DataFrame) -> DataFrame:
     """Recommendation lists with the field names and types of the exports."""
     return recs.select("user_id_int", export_items("recommendations").alias("recommendations"))
