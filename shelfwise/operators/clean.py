@@ -1,6 +1,6 @@
 """From raw reviews to the rating table."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwise.schemas import RATING_KEY, RATING_MAX, RATING_MIN, RAW_NAMES
 
@@ -53,28 +53,50 @@ def clean_reviews(raw: DataFrame, on_bad_rating: str = "fail") -> DataFrame:
     return drop_copies(valid_ratings(drop_incomplete(typed(complete, on_bad_rating))))
 
 
-def cleaning_audit(raw: DataFrame, on_bad_rating: str = "fail") -> DataFrame:
-    """One row of counts: raw, after each rule, and the figure a run reports as removed.
+def _is_complete(df: DataFrame) -> Column:
+    complete = F.lit(True)
+    for name, kind in df.dtypes:
+        complete &= F.col(name).isNotNull()
+        if kind in ("double", "float"):
+            complete &= ~F.isnan(name)
+    return complete
+
 
-    Distinct triples carry their number of copies, so all stages come out of one shuffle.
-    ``removed`` counts incomplete rows and copies, not the range rule.
+def count_copies(raw: DataFrame, on_bad_rating: str = "fail") -> DataFrame:
+    """Distinct triples with their number of ``copies``, from one scan and one shuffle.
+
+    All incomplete rows become one group of NULLs, so they leave each task as a single row.
     """
     named = keep_rating_columns(raw)
-    complete = F.lit(True)
-    for name, kind in named.dtypes:
-        present = F.col(name).isNotNull()
-        complete &= present & ~F.isnan(name) if kind in ("double", "float") else present
-    marked = named.select(
-        *RATING_KEY, complete.alias("complete")
-    ).withColumns({c: F.when(F.col("complete"), F.col(c)) for c in RATING_KEY})
-    flags = typed(marked, on_bad_rating)
-    groups = flags.groupBy(*RATING_KEY).agg(F.count("*").alias("copies"))
-    kept = F.col("user_id").isNotNull() & F.col("rating").isNotNull() & ~F.isnan("rating")
-    valid = kept & F.col("rating").between(RATING_MIN, RATING_MAX)
+    complete = _is_complete(named)
+    blanked = named.select(*[F.when(complete, F.col(c)).alias(c) for c in RATING_KEY])
+    rows = typed(blanked, on_bad_rating)
+    present = _is_complete(rows)
+    return rows.select(
+        *[F.when(present, F.col(c)).alias(c) for c in RATING_KEY]
+    ).groupBy(*RATING_KEY).agg(F.count("*").alias("copies"))
+
+
+def ratings_of(groups: DataFrame) -> DataFrame:
+    """The cleaned ratings, from counted copies."""
+    return valid_ratings(groups.select(*RATING_KEY))
+
+
+def audit_of(groups: DataFrame) -> DataFrame:
+    """One row of counts: raw, after each rule, and the figure a run reports as removed.
+
+    ``removed_rows`` counts incomplete rows and copies, not the range rule.
+    """
+    complete = F.col("rating").isNotNull()
+    valid = complete & F.col("rating").between(RATING_MIN, RATING_MAX)
     zero = F.lit(0).cast("long")
     return groups.agg(
         F.coalesce(F.sum("copies"), zero).alias("raw_rows"),
-        F.coalesce(F.sum(F.when(kept, F.col("copies"))), zero).alias("complete_rows"),
-        F.count_if(kept).alias("distinct_rows"),
+        F.coalesce(F.sum(F.when(complete, F.col("copies"))), zero).alias("complete_rows"),
+        F.count_if(complete).alias("distinct_rows"),
         F.count_if(valid).alias("final_rows"),
     ).withColumn("removed_rows", F.col("raw_rows") - F.col("distinct_rows"))
+
+
+def cleaning_audit(raw: DataFrame, on_bad_rating: str = "fail") -> DataFrame:
+    return audit_of(count_copies(raw, on_bad_rating))

@@ -14,8 +14,19 @@ from shelfwise.session import job_folder, materialize, path_exists
 INT_MAX = 2**31 - 1
 
 
-def first_stored(stored: DataFrame) -> DataFrame:
-    """The earliest stored answer of each user, equal times by content."""
+# A broadcast of that many user ids takes a few megabytes.
+BROADCAST_USERS = 500_000
+
+
+def first_stored(stored: DataFrame, askers: DataFrame | None = None, n_askers: int = 0):
+    """The earliest stored answer of each user, equal times by content.
+
+    A bounded number of askers is broadcast, so that the store is only scanned for them.
+    With more, the store is aggregated in each task first, which also takes care of users
+    with very many answers, and the caller's join picks the askers.
+    """
+    if askers is not None and n_askers <= BROADCAST_USERS:
+        stored = stored.join(F.broadcast(askers.select("user_id")), "user_id", "left_semi")
     content = F.struct("timestamp", "recommendations")
     return stored.groupBy("user_id").agg(F.min(content).alias("stored"))
 
@@ -48,7 +59,7 @@ def answer(
     """
     requests = with_default_n(requests)
     askers = materialize(_askers(requests), "askers")
-    total = askers.agg(F.sum("n")).first()[0] or 0
+    n_askers, total = askers.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     lists = recommend_for(model, askers.filter(F.col("k").isNotNull()).select("user_id", "k"))
     known = askers.select("user_id").join(
         lists.withColumnRenamed("user_id_int", "user_id"), "user_id", "left"
@@ -61,7 +72,7 @@ def answer(
             )
         )
     else:
-        known = known.join(first_stored(stored), "user_id", "left")
+        known = known.join(first_stored(stored, askers, n_askers), "user_id", "left")
     found = spread_lookup(
         requests, known, "user_id", hot_keys(askers, "user_id", total, **limits), ["request_id"]
     )

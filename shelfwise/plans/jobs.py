@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
-from shelfwise.operators.clean import clean_reviews, cleaning_audit
+from shelfwise.operators.clean import audit_of, count_copies, ratings_of
 from shelfwise.operators.encode import encode, index_by_frequency
 from shelfwise.operators.evaluate import evaluation
 from shelfwise.operators.factorize import AlsSettings, fit_and_store, predict, settings_report
@@ -12,7 +12,7 @@ from shelfwise.operators.split import hashed_halves, random_halves
 from shelfwise.operators.topk import long_form, recommend_all
 from shelfwise.plans.publish import load_published, publish
 from shelfwise.schemas import LIST_LENGTH
-from shelfwise.session import job_folder, materialize
+from shelfwise.session import job_folder, materialize, sized_shuffles
 from shelfwise.sources import sinks
 from shelfwise.sources.reviews import blank_to_null, read_ratings, read_raw_reviews
 
@@ -35,12 +35,17 @@ def clean_job(
     spark: SparkSession, raw_path: str, out_path: str, *, file_format: str = "csv",
     on_bad_rating: str = "fail", csv_path: str | None = None,
 ) -> Row:
-    """Clean ratings to Parquet, and to CSV if asked for; returns the audit."""
-    raw = read_reviews(spark, raw_path, file_format)
-    sinks.write_parquet(clean_reviews(raw, on_bad_rating), out_path)
-    if csv_path:
-        sinks.write_csv(read_ratings(spark, out_path), csv_path)
-    return cleaning_audit(raw, on_bad_rating).first()
+    """Clean ratings to Parquet, and to CSV if asked for; returns the audit.
+
+    The raw files are read once: ratings and audit both come from the counted triples.
+    """
+    with job_folder(spark), sized_shuffles(spark, raw_path):
+        raw = read_reviews(spark, raw_path, file_format)
+        groups = materialize(count_copies(raw, on_bad_rating), "groups")
+        sinks.write_parquet(ratings_of(groups), out_path)
+        if csv_path:
+            sinks.write_csv(read_ratings(spark, out_path), csv_path)
+        return audit_of(groups).first()
 
 
 def train_job(
@@ -48,7 +53,7 @@ def train_job(
     settings: AlsSettings = AlsSettings(), split: str = "random", top: int | None = None,
 ) -> Row:
     """Index, encode, split, fit, evaluate and publish; with ``top``, all lists as well."""
-    with job_folder(spark):
+    with job_folder(spark), sized_shuffles(spark, ratings_path):
         ratings = read_ratings(spark, ratings_path)
         users = materialize(index_by_frequency(ratings, "user_id"), "users")
         products = materialize(index_by_frequency(ratings, "product_id"), "products")

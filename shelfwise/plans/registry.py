@@ -8,7 +8,6 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.functions.recommendations import printed_items
 from shelfwise.operators import clean, encode, evaluate, serve, split, topk
 from shelfwise.operators.factorize import AlsSettings, fit_and_store, load_model, predict, save_model
 from shelfwise.plans import fixture, jobs, publish
@@ -332,9 +331,13 @@ def recs_json_roundtrip(spark, folder):
 
 @query
 def legacy_recs_parse(spark, folder):
-    printed = fixture.printed_lists(spark, folder)
-    lists = printed.select("user_id_int", printed_items("recommendations").alias("items"))
-    return lists.select("user_id_int", F.posexplode("items").alias("pos", "item")).select(
+    """Printed lists in a CSV file, read back as typed entries."""
+    path = scratch_path(spark, "printed")
+    sinks.write_csv(fixture.printed_lists(spark, folder), path)
+    lists = sinks.read_printed_recs(spark, path)
+    return lists.select(
+        "user_id_int", F.posexplode("recommendations").alias("pos", "item")
+    ).select(
         "user_id_int", (F.col("pos") + 1).alias("rank"), "item.product_id",
         "item.predicted_rating",
     )

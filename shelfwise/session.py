@@ -14,6 +14,12 @@ SETTINGS = {
     "spark.ui.enabled": "false",
 }
 
+# Shuffled bytes a byte of stored input may become, and what one task should read of them.
+EXPANSION = 4
+SHUFFLE_BYTES = 128 << 20
+MAX_SHUFFLE_PARTITIONS = 200_000
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 _LOCAL_ROOTS: dict[str, str] = {}
 _JOB_FOLDER: ContextVar[str | None] = ContextVar("job_folder", default=None)
 
@@ -64,6 +70,26 @@ def job_folder(spark: SparkSession):
         delete_path(spark, path)
 
 
+@contextmanager
+def sized_shuffles(spark: SparkSession, path: str):
+    """Start shuffles with as many partitions as the input may need. Adaptive execution joins
+    small ones again but cannot split large ones, so the default would not do for terabytes."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    size = files.getContentSummary(folder).getLength()
+    needed = min(size * EXPANSION // SHUFFLE_BYTES, MAX_SHUFFLE_PARTITIONS)
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
+    if needed > int(before or spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set(INITIAL_PARTITIONS, str(needed))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(INITIAL_PARTITIONS)
+        else:
+            spark.conf.set(INITIAL_PARTITIONS, before)
+
+
 def use_checkpoints(spark: SparkSession) -> None:
     """Let iterative jobs cut their lineage in the shared folder."""
     if spark.sparkContext.getCheckpointDir() is None:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.functions.recommendations import export_items
+from shelfwise.functions.recommendations import export_items, printed_items
 from shelfwise.schemas import EXPORT, EXPORT_ITEMS, RECOMMENDATIONS
 
 
@@ -60,6 +60,14 @@ def read_recs_csv(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_printed_recs(spark: SparkSession, path: str) -> DataFrame:
+    """Lists of an older export, whose CSV holds them as printed rows."""
+    text = spark.read.schema("user_id_int int, recommendations string").csv(
+        path, header=True, escape='"'
+    )
+    return text.select("user_id_int", printed_items("recommendations").alias("recommendations"))
+
+
 def write_map(id_map: DataFrame, path: str) -> None:
     """An id map as Parquet, CSV and JSON records below ``path``."""
     pairs = id_map.drop("n")

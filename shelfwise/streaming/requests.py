@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.operators.serve import serve
 from shelfwise.schemas import REQUESTS
+from shelfwise.session import job_folder, scratch_path
 
 
 def request_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
@@ -26,8 +27,15 @@ def serve_stream(
     folders, so every request has one answer and the log one entry for it.
     """
 
+    spark = requests.sparkSession
+
     def answer_batch(batch: DataFrame, number: int) -> None:
-        serve(batch, model, answers_path, log_path, str(number), stored)
+        # The session of a micro-batch has adaptive execution off, so go on from a file.
+        with job_folder(spark):
+            path = scratch_path(spark, "requests")
+            batch.write.parquet(path)
+            table = spark.read.schema(REQUESTS).parquet(path)
+            serve(table, model, answers_path, log_path, str(number), stored)
 
     return (
         requests.writeStream.foreachBatch(answer_batch)
