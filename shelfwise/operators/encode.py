@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfwise.operators.lookup import balanced_lookup, hot_keys, key_counts, spread_lookup
 from shelfwise.schemas import RATING_KEY
-from shelfwise.session import materialize
+from shelfwise.session import materialize, together
 
 # monotonically_increasing_id() holds the partition above bit 33 and the row in it below.
 ROW_BITS = 33
@@ -41,6 +41,15 @@ def index_by_frequency(df: DataFrame, column: str) -> DataFrame:
     return numbered.select(column, F.col("_position").cast("int").alias(f"{column}_int"), "n")
 
 
+def index_columns(df: DataFrame, *columns: str) -> list[DataFrame]:
+    """Written maps of several columns; the jobs of each do not wait for the others."""
+
+    def build(column):
+        return lambda: materialize(index_by_frequency(df, column), column)
+
+    return together(df.sparkSession, *[build(c) for c in columns])
+
+
 def drop_if_present(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*names)
 

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from shelfwise.operators.clean import audit_of, count_copies, ratings_of
-from shelfwise.operators.encode import encode, index_by_frequency
+from shelfwise.operators.encode import encode, index_columns
 from shelfwise.operators.evaluate import evaluation
 from shelfwise.operators.factorize import AlsSettings, fit_and_store, predict, settings_report
 from shelfwise.operators.lookup import hot_keys, key_counts, spread_lookup
@@ -12,7 +12,7 @@ from shelfwise.operators.split import hashed_halves, random_halves
 from shelfwise.operators.topk import long_form, recommend_all
 from shelfwise.plans.publish import load_published, publish
 from shelfwise.schemas import LIST_LENGTH
-from shelfwise.session import job_folder, materialize, sized_shuffles
+from shelfwise.session import job_folder, materialize, sized_shuffles, together
 from shelfwise.sources import sinks
 from shelfwise.sources.reviews import blank_to_null, read_ratings, read_raw_reviews
 
@@ -55,8 +55,7 @@ def train_job(
     """Index, encode, split, fit, evaluate and publish; with ``top``, all lists as well."""
     with job_folder(spark), sized_shuffles(spark, ratings_path):
         ratings = read_ratings(spark, ratings_path)
-        users = materialize(index_by_frequency(ratings, "user_id"), "users")
-        products = materialize(index_by_frequency(ratings, "product_id"), "products")
+        users, products = index_columns(ratings, "user_id", "product_id")
         encoded = materialize(encode(ratings, users, products, fitted_on_df=True), "encoded")
         train, test = SPLITS[split](encoded)
         train = materialize(train, "train")
@@ -102,13 +101,15 @@ def recommend_all_job(spark: SparkSession, root: str, out_path: str, k: int = LI
         recs = materialize(
             recommend_all(published.model, k), "recommendations", f"{out_path}/recommendations"
         )
-    sinks.write_recs_json(recs, f"{out_path}/recommendations_json")
-    sinks.write_recs_csv(recs, f"{out_path}/recommendations_csv")
-    sinks.write_parquet(
-        decoded_lists(recs, published.user_map, published.product_map), f"{out_path}/decoded"
+    users, products = published.user_map, published.product_map
+    together(
+        spark,
+        lambda: sinks.write_recs_json(recs, f"{out_path}/recommendations_json"),
+        lambda: sinks.write_recs_csv(recs, f"{out_path}/recommendations_csv"),
+        lambda: sinks.write_parquet(decoded_lists(recs, users, products), f"{out_path}/decoded"),
+        lambda: sinks.write_map(users, f"{out_path}/user_map"),
+        lambda: sinks.write_map(products, f"{out_path}/product_map"),
     )
-    sinks.write_map(published.user_map, f"{out_path}/user_map")
-    sinks.write_map(published.product_map, f"{out_path}/product_map")
     return recs.count()
 
 

@@ -2,9 +2,11 @@
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from contextvars import ContextVar
+from contextvars import ContextVar, copy_context
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -104,6 +106,17 @@ def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def together(spark: SparkSession, *actions):
+    """Run independent Spark actions at the same time, so that the short tail of one does not
+    keep the other's tasks waiting; returns their results in order."""
+    with ThreadPoolExecutor(len(actions)) as pool:
+        jobs = [
+            pool.submit(copy_context().run, inheritable_thread_target(spark)(action))
+            for action in actions
+        ]
+        return [job.result() for job in jobs]
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a folder on whatever file system its URI names."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
