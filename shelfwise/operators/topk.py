@@ -21,6 +21,7 @@ from shelfwise.session import materialize, scratch_path
 
 CHUNK_BYTES = 128 << 20
 PAIRS_PER_TASK = 20_000_000_000
+USERS_PER_TASK = 1_000_000
 STATE = "id bigint, k int, features array<float>, best array<struct<id:bigint,score:double>>"
 
 cloudpickle.register_pickle_by_value(ranking)
@@ -69,7 +70,10 @@ def top_k(
     rounds = math.ceil(n_items / per_chunk)
     slices = _slices(items, per_chunk) if rounds > 1 else None
     slots = users.sparkSession.sparkContext.defaultParallelism
-    tasks = max(slots, math.ceil(n_users * min(n_items, per_chunk) / pairs_per_task))
+    tasks = max(
+        slots, math.ceil(n_users * min(n_items, per_chunk) / pairs_per_task),
+        math.ceil(n_users / USERS_PER_TASK),
+    )
     state = users.select(
         F.col("id").cast("bigint"),
         (F.col("k") if k is None else F.lit(k)).cast("int").alias("k"),

@@ -12,13 +12,14 @@ NA_TOKENS = (
     "nan", "null",
 )
 
-# Valid ratings, list length, answer length, split and model settings.
+# Valid ratings, list length, answer length, split and model settings, and the
+# message of an empty answer.
 RATING_MIN, RATING_MAX = 1.0, 5.0
 LIST_LENGTH = 10
 DEFAULT_N = 5
 TRAIN_SHARE, SPLIT_SEED = 0.8, 42
 RANK, MAX_ITER, REG_PARAM = 10, 10, 0.1
-EMPTY_MESSAGE = "User not found in the ALS model."
+EMPTY_MESSAGE = "Utilisateur non trouvé dans le modèle ALS."
 
 RATING_KEY = ["user_id", "product_id", "rating"]
 

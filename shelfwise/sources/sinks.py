@@ -43,6 +43,13 @@ def write_recs_csv(recs: DataFrame, path: str) -> None:
     )
 
 
+def answer_documents(answers: DataFrame) -> DataFrame:
+    """One JSON text a request, in the form a caller of the service gets: a list and its time,
+    or an empty list and a message. Fields without a value are left out."""
+    body = F.struct("user_id", "recommendations", "timestamp", "message")
+    return answers.select("request_id", F.to_json(body).alias("document"))
+
+
 def read_recs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RECOMMENDATIONS).parquet(path)
 

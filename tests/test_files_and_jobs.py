@@ -6,15 +6,17 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
+from shelfwise.__main__ import parser, run
 from shelfwise.functions.recommendations import printed_items
 from shelfwise.operators.factorize import AlsSettings
 from shelfwise.plans import fixture, jobs, publish, registry
-from shelfwise.schemas import RECOMMENDATIONS
+from shelfwise.schemas import EMPTY_MESSAGE, RECOMMENDATIONS
 from shelfwise.session import (
     INITIAL_PARTITIONS, job_folder, materialize, path_exists, scratch_path, sized_shuffles,
 )
 from shelfwise.sources import sinks
 from shelfwise.sources.reviews import read_ratings_csv
+from shelfwise.streaming.requests import read_answers
 
 QUICK = AlsSettings(max_iter=2)
 
@@ -158,3 +160,34 @@ def test_shuffles_are_sized_by_the_input(spark, tmp_path, monkeypatch):
     with sized_shuffles(spark, path):
         assert int(spark.conf.get(INITIAL_PARTITIONS)) > 30
     assert spark.conf.get(INITIAL_PARTITIONS, None) is None
+
+
+def test_command_line_runs_the_jobs(spark, tmp_path):
+    def call(*words):
+        return run(spark, parser().parse_args([str(w) for w in words]))
+
+    raw, root, ratings = tmp_path / "raw", tmp_path / "models", tmp_path / "ratings"
+    sinks.write_csv(fixture.reviews(spark, SMALL), str(raw))
+    assert call("clean", raw, ratings).final_rows == 3532
+    assert call("train", ratings, root, "--max-iter", 1, "--split", "hashed").version == 1
+    assert call("retrain", raw, root, "--rank", 4, "--max-iter", 1)[1].version == 2
+    assert publish.load_published(spark, str(root)).model.rank == 4
+    assert call("recommend", root, tmp_path / "exports", "--k", 2) == 150
+    requests = tmp_path / "requests"
+    fixture.requests(spark, SMALL).write.parquet(str(requests))
+    paths = [tmp_path / "answers", tmp_path / "log"]
+    assert call("serve", requests, root, *paths, "first").count() == 1000
+    call("stream", requests, root, tmp_path / "streamed", tmp_path / "log2", tmp_path / "state")
+    assert read_answers(spark, str(tmp_path / "streamed")).count() == 1000
+
+
+def test_answer_documents(spark):
+    rows = spark.createDataFrame([
+        (1, 3, [(5, 1.5)], "2024-01-01T00:00:00.000000", None), (2, 4, [], None, EMPTY_MESSAGE),
+    ], "request_id bigint, user_id bigint, "
+       "recommendations array<struct<product_id:int,score:double>>, timestamp string, message string")
+    found, empty = [json.loads(r.document) for r in
+                    sinks.answer_documents(rows).orderBy("request_id").collect()]
+    assert found == {"user_id": 3, "recommendations": [{"product_id": 5, "score": 1.5}],
+                     "timestamp": "2024-01-01T00:00:00.000000"}
+    assert empty == {"user_id": 4, "recommendations": [], "message": EMPTY_MESSAGE}

@@ -10,6 +10,7 @@ from shelfwise.functions import ranking
 from shelfwise.operators import evaluate, split, topk
 from shelfwise.operators.factorize import AlsSettings, fit, predict, settings_report
 from shelfwise.plans import registry
+from shelfwise.session import materialize
 
 
 @pytest.fixture(scope="module")
@@ -190,3 +191,32 @@ def test_fit_checkpoints_in_the_shared_folder(spark):
         "user_id_int int, product_id_int int, rating double",
     )
     assert fit(tiny, AlsSettings(max_iter=3)).rank == 10
+
+
+def test_skewed_ids_are_split_in_prediction_joins(spark, model):
+    """A third of the rows has one user, a third one product; both joins split them."""
+    i = F.col("id")
+    rows = spark.range(300_000).select(
+        F.when(i % 3 == 0, 7).otherwise(i % 150).cast("int").alias("user_id_int"),
+        F.when(i % 3 == 1, 11).otherwise(i % 190).cast("int").alias("product_id_int"),
+        (i % 5 + F.rand(1)).alias("rating"),
+    )
+    rows = materialize(rows.repartition(16), "rows")
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "32",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "60KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k) for k in small}
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        predicted = predict(model, rows, "nan").select("rating", "prediction")
+        assert len(predicted.collect()) == 300_000
+        plan = predicted._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert plan.split("== Initial Plan")[0].count("SortMergeJoin(skew=true)") == 2
