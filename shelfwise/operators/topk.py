@@ -8,6 +8,7 @@ score. The bound only skips what cannot enter the list, so results are exact.
 """
 
 import math
+from functools import reduce
 
 import numpy as np
 from pyspark import cloudpickle
@@ -19,7 +20,7 @@ from shelfwise.operators.encode import with_positions
 from shelfwise.schemas import LIST_LENGTH
 from shelfwise.session import materialize, scratch_path
 
-CHUNK_BYTES = 128 << 20
+CHUNK_BYTES = 256 << 20
 PAIRS_PER_TASK = 20_000_000_000
 USERS_PER_TASK = 1_000_000
 STATE = "id bigint, k int, features array<float>, best array<struct<id:bigint,score:double>>"
@@ -38,55 +39,79 @@ def _broadcast(items: DataFrame):
     return items.sparkSession.sparkContext.broadcast(chunk)
 
 
+def _length(features="features"):
+    return F.sqrt(F.aggregate(features, F.lit(0.0), lambda total, x: total + x * x))
+
+
 def _slices(items: DataFrame, per_chunk: int) -> DataFrame:
     """The items with a ``slice`` of ``per_chunk`` of them by falling length, one folder each."""
-    length = F.sqrt(F.aggregate("features", F.lit(0.0), lambda total, x: total + x * x))
     numbered = with_positions(
-        items.select("id", "features", length.alias("length")),
+        items.select("id", "features", _length().alias("length")),
         "position", F.desc("length"), F.asc("id"),
     )
     sliced = numbered.select(
-        "id", "features", F.floor(F.col("position") / per_chunk).cast("int").alias("slice")
+        "id", "features", "length",
+        F.floor(F.col("position") / per_chunk).cast("int").alias("slice"),
     )
     spark = items.sparkSession
     path = scratch_path(spark, "items")
-    sliced.write.partitionBy("slice").parquet(path)
+    sliced.repartition("slice").write.partitionBy("slice").parquet(path)
     return spark.read.schema(sliced.schema).parquet(path)
 
 
+def _may_improve(longest: float):
+    """Users for whom an item of that length could still enter the list."""
+    last = F.get("best", F.col("k") - 1)["score"]
+    return last.isNull() | (_length() * longest * (1 + 1e-9) >= last)
+
+
 def top_k(
-    users: DataFrame, items: DataFrame, k: int | None = None, *,
+    users: DataFrame, items: DataFrame, k: int | None = None, *, n_users: int | None = None,
     chunk_bytes: int = CHUNK_BYTES, pairs_per_task: int = PAIRS_PER_TASK,
 ) -> DataFrame:
     """``(id, best)`` for each user: ``(id, score)`` entries, best first, equal scores by id.
 
-    Both inputs are ``(id, features)``; users may have a ``k`` of their own. ``chunk_bytes``
-    bounds the items in one broadcast. More items take more rounds over the users, whose
-    lists so far are kept in the shared folder in between.
+    Both inputs are ``(id, features)``; users may have a ``k`` of their own. ``n_users`` is
+    about how many there are, counted if not given. ``chunk_bytes`` bounds the items in one
+    broadcast. More items take more rounds, longest items first; the
+    lists so far are kept in the shared folder, and a round only goes over users whose lists
+    its items may still improve.
     """
-    n_users = users.count()
+    n_users = users.count() if n_users is None else n_users
     n_items, width = items.agg(F.count("*"), F.max(F.size("features"))).first()
     per_chunk = max(1, chunk_bytes // (4 * (width or 0) + 16))
-    rounds = math.ceil(n_items / per_chunk)
-    slices = _slices(items, per_chunk) if rounds > 1 else None
+    rounds = -(-n_items // per_chunk)
     slots = users.sparkSession.sparkContext.defaultParallelism
     tasks = max(
         slots, math.ceil(n_users * min(n_items, per_chunk) / pairs_per_task),
         math.ceil(n_users / USERS_PER_TASK),
     )
+
+    def improved(state, chunk):
+        return state.repartition(tasks, "id").mapInArrow(ranking.ranker(chunk), STATE)
+
     state = users.select(
         F.col("id").cast("bigint"),
         (F.col("k") if k is None else F.lit(k)).cast("int").alias("k"),
         F.col("features").cast("array<float>"),
         F.array().cast("array<struct<id:bigint,score:double>>").alias("best"),
     )
+    if rounds <= 1:
+        lists = improved(state, _broadcast(items)) if rounds else state
+        return lists.filter(F.size("best") > 0).select("id", "best")
+    slices = _slices(items, per_chunk)
+    longest = dict(slices.groupBy("slice").agg(F.max("length")).collect())
+    finished = []
     for number in range(rounds):
-        chunk = _broadcast(slices.filter(F.col("slice") == number) if slices else items)
-        state = state.repartition(tasks, "id").mapInArrow(ranking.ranker(chunk), STATE)
-        if number < rounds - 1:
-            state = materialize(state, "lists")
-            chunk.unpersist()
-    return state.filter(F.size("best") > 0).select("id", "best")
+        chunk = _broadcast(slices.filter(F.col("slice") == number))
+        state = materialize(improved(state, chunk), "lists")
+        chunk.unpersist()
+        live = _may_improve(longest.get(number + 1, 0.0)) & F.lit(number + 1 < rounds)
+        finished.append(state.filter(~live).select("id", "best"))
+        state = state.filter(live)
+        if state.isEmpty():
+            break
+    return reduce(DataFrame.unionAll, finished)
 
 
 def _as_recommendations(lists: DataFrame) -> DataFrame:
@@ -111,7 +136,8 @@ def recommend_for(model: ALSModel, wanted: DataFrame, **limits) -> DataFrame:
     users = model.userFactors.join(wanted, F.col("id") == F.col("user_id")).select(
         "id", "features", "k"
     )
-    return _as_recommendations(top_k(users, model.itemFactors, **limits))
+    lists = top_k(users, model.itemFactors, n_users=wanted.count(), **limits)
+    return _as_recommendations(lists)
 
 
 def long_form(recs: DataFrame, *keys: str, length: int | None = None) -> DataFrame:

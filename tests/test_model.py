@@ -168,15 +168,19 @@ def test_equal_scores_go_by_id(spark, chunk_bytes, monkeypatch):
     assert got == brute_force(users, items, 20)
 
 
-def test_far_apart_lengths(spark, monkeypatch):
-    """Lengths that differ by orders of magnitude let most blocks be skipped."""
+@pytest.mark.parametrize("chunk_bytes", [topk.CHUNK_BYTES, 32 * 50])
+def test_far_apart_lengths(spark, monkeypatch, chunk_bytes):
+    """Lengths that differ by orders of magnitude let most blocks and rounds be skipped."""
     monkeypatch.setattr(ranking, "ITEMS_AT_ONCE", 8)
     rng = np.random.default_rng(4)
     items = (rng.normal(size=(300, 4)) * np.logspace(3, -6, 300)[:, None]).astype(np.float32)
     users = rng.normal(size=(30, 4)).astype(np.float32)
-    got = topk.top_k(vectors(spark, users), vectors(spark, items), 5)
+    rounds = []
+    monkeypatch.setattr(topk, "_broadcast", lambda df, real=topk._broadcast: rounds.append(1) or real(df))
+    got = topk.top_k(vectors(spark, users), vectors(spark, items), 5, chunk_bytes=chunk_bytes)
     got = {r.id: [i.id for i in r.best] for r in got.collect()}
     assert got == brute_force(users, items, 5)
+    assert len(rounds) < 3
 
 
 def test_no_items_no_lists(spark):
