@@ -15,11 +15,18 @@ def keep_rating_columns(df: DataFrame) -> DataFrame:
     return rename_raw(df).select(*RATING_KEY)
 
 
+# Texts Java reads as numbers and Python does not: a type suffix, and hexadecimal.
+JAVA_NUMBER = r"(\d\.?[dDfF]|^\s*[+-]?0[xX].*)\s*$"
+
+
 def typed(df: DataFrame, on_bad_rating: str = "fail") -> DataFrame:
     """Text ids and a double rating. A rating that is no number fails the run, or is dropped."""
     if on_bad_rating not in ("fail", "drop"):
         raise ValueError("on_bad_rating is 'fail' or 'drop'")
     rating = F.col("rating")
+    if dict(df.dtypes)["rating"] == "string":
+        rating = F.when(rating.rlike(JAVA_NUMBER), F.concat(rating, F.lit(" is no number"))
+                        ).otherwise(rating)
     return df.select(
         F.col("user_id").cast("string").alias("user_id"),
         F.col("product_id").cast("string").alias("product_id"),

@@ -26,7 +26,7 @@ class AlsSettings:
     cold_start: str = "drop"
     checkpoint_interval: int = 5
     ratings_per_block: int = 2_000_000
-    max_blocks: int = 400
+    max_blocks: int = 1000
 
     def blocks(self, ratings: int) -> int:
         return min(max(10, math.ceil(ratings / self.ratings_per_block)), self.max_blocks)

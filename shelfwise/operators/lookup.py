@@ -10,17 +10,25 @@ def key_counts(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias("n"))
 
 
+def _hashed(key: str):
+    return F.xxhash64(F.col(key).cast("string"))
+
+
 def hot_keys(counts: DataFrame, key: str, total: int, *, slots=HOT_SLOTS, rows=HOT_ROWS):
     """Keys with more than ``share`` of ``total`` rows, and into how many parts to split each.
 
     ``share`` is at least ``total / slots``, so there are fewer than ``slots`` such keys
-    whatever the data: the result may be broadcast. None if no key can have that many rows.
+    whatever the data. Each is told by a hash, so that the result has twelve bytes a row and
+    may be broadcast; a key that happens to have the same hash is split as well, which does no
+    harm. None if no key can have that many rows.
     """
     share = max(-(-total // slots), rows)
     if total <= share:
         return None
-    return counts.filter(F.col("n") > share).select(
-        F.col(key).alias("_hot"), F.ceil(F.col("n") / share).cast("int").alias("_parts")
+    parts = F.ceil(F.col("n") / share).cast("int")
+    return (
+        counts.filter(F.col("n") > share).groupBy(_hashed(key).alias("_hot"))
+        .agg(F.max(parts).alias("_parts"))
     )
 
 
@@ -35,14 +43,17 @@ def spread_lookup(left: DataFrame, right: DataFrame, key: str, hot, spread_on) -
     if hot is None:
         return left.join(right, key, "left")
     parts = F.coalesce(F.col("_parts"), F.lit(1))
-    hot = F.broadcast(hot)
+
+    def with_parts(df):
+        return df.join(F.broadcast(hot), _hashed(key) == F.col("_hot"), "left")
+
     spread = (
-        left.join(hot, F.col(key).eqNullSafe(F.col("_hot")), "left")
+        with_parts(left)
         .withColumn("_part", F.pmod(F.xxhash64(*spread_on), parts).cast("int"))
         .drop("_hot", "_parts")
     )
     repeated = (
-        right.join(hot, F.col(key) == F.col("_hot"), "left")
+        with_parts(right)
         .withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
         .drop("_hot", "_parts")
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from shelfwise.functions.recommendations import answer_items, iso_timestamp
 from shelfwise.operators.lookup import hot_keys, spread_lookup
 from shelfwise.operators.topk import recommend_for
-from shelfwise.schemas import DEFAULT_N, EMPTY_MESSAGE
+from shelfwise.schemas import DEFAULT_N, EMPTY_MESSAGE, REQUESTS
 from shelfwise.session import job_folder, materialize, path_exists
 
 INT_MAX = 2**31 - 1
@@ -42,6 +42,11 @@ def _askers(requests: DataFrame) -> DataFrame:
     )
 
 
+def one_request(spark: SparkSession, user_id: int, n: int = DEFAULT_N) -> DataFrame:
+    """A single request as a table."""
+    return spark.createDataFrame([(0, user_id, n)], REQUESTS)
+
+
 def with_default_n(requests: DataFrame) -> DataFrame:
     return requests.withColumn("n", F.coalesce("n", F.lit(DEFAULT_N)))
 

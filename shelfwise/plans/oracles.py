@@ -200,7 +200,7 @@ ORACLES = {
         FROM embeddings u CROSS JOIN embeddings v
         QUALIFY rank <= 5""",
     "serve_batch": ANSWER_SHAPE,
-    "serve_stream_answers": ANSWER_SHAPE,
+    "serve_stream": ANSWER_SHAPE,
     "serve_fallback": _with("answers", select="""
         SELECT request_id, user_id, "timestamp", product_id, score FROM answers
         WHERE source = 'stored'"""),

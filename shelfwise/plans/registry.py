@@ -14,7 +14,7 @@ from shelfwise.plans import fixture, jobs, publish
 from shelfwise.schemas import DEFAULT_N, LIST_LENGTH, RATING_KEY
 from shelfwise.session import materialize, scratch_path
 from shelfwise.sources import reviews as review_files, sinks
-from shelfwise.streaming.requests import read_answers, request_stream, serve_stream
+from shelfwise.streaming import requests as streaming
 
 # A train share small enough that many ids of the test half are unknown.
 SPARSE_SHARE = 1 / 32
@@ -401,17 +401,17 @@ def serve_log(spark, folder):
 
 
 @query
-def serve_stream_answers(spark, folder):
+def serve_stream(spark, folder):
     """The requests as a stream of files, answered in several batches."""
     paths = {name: scratch_path(spark, name) for name in ("requests", "out", "log", "state")}
     fixture.requests(spark, folder).repartition(4, "request_id").write.parquet(paths["requests"])
-    run = serve_stream(
-        request_stream(spark, paths["requests"], files_per_batch=2),
+    run = streaming.serve_stream(
+        streaming.request_stream(spark, paths["requests"], files_per_batch=2),
         model(spark, folder, 1), paths["out"], paths["log"], paths["state"],
         stored=lambda: fixture.stored_answers(spark, folder),
     )
     run.awaitTermination()
-    return _answer_shape(read_answers(spark, paths["out"]))
+    return _answer_shape(streaming.read_answers(spark, paths["out"]))
 
 
 # --- jobs ---------------------------------------------------------------------------------

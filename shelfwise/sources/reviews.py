@@ -34,7 +34,9 @@ def read_raw_reviews(
 
 def read_ratings_csv(spark: SparkSession, path: str) -> DataFrame:
     """Cleaned rating CSV as written by :func:`shelfwise.sources.sinks.write_csv`."""
-    return spark.read.schema(RATINGS).csv(path, header=True, escape='"', mode="FAILFAST")
+    return spark.read.schema(RATINGS).csv(
+        path, header=True, enforceSchema=False, escape='"', mode="FAILFAST"
+    )
 
 
 def read_ratings(spark: SparkSession, path: str) -> DataFrame:

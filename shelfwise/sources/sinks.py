@@ -60,7 +60,7 @@ def read_recs_json(spark: SparkSession, path: str) -> DataFrame:
 
 def read_recs_csv(spark: SparkSession, path: str) -> DataFrame:
     text = spark.read.schema("user_id_int int, recommendations_str string").csv(
-        path, header=True, escape='"', mode="FAILFAST"
+        path, header=True, enforceSchema=False, escape='"', mode="FAILFAST"
     )
     return text.select(
         "user_id_int", F.from_json("recommendations_str", EXPORT_ITEMS).alias("recommendations")
@@ -70,7 +70,7 @@ def read_recs_csv(spark: SparkSession, path: str) -> DataFrame:
 def read_printed_recs(spark: SparkSession, path: str) -> DataFrame:
     """Lists of an older export, whose CSV holds them as printed rows."""
     text = spark.read.schema("user_id_int int, recommendations string").csv(
-        path, header=True, escape='"'
+        path, header=True, enforceSchema=False, escape='"'
     )
     return text.select("user_id_int", printed_items("recommendations").alias("recommendations"))
 

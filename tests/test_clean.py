@@ -63,6 +63,14 @@ def test_bad_rating_fails_or_is_dropped(spark):
         clean.clean_reviews(df, "ignore")
 
 
+@pytest.mark.parametrize("text", ["5d", "4.f", "0x1p1", " 3F "])
+def test_numbers_of_another_language_are_bad(spark, text):
+    df = raw(spark, [("A", "p", text), ("B", "p", " 4e0 "), ("C", "p", "inf")])
+    with pytest.raises(Exception, match="is no number"):
+        clean.clean_reviews(df).collect()
+    assert triples(clean.clean_reviews(df, "drop")) == [("B", "p", 4.0)]
+
+
 def test_bad_rating_beside_a_missing_id_is_no_error(spark):
     df = raw(spark, [(None, "p", "abc"), ("B", "p", "4")])
     assert clean.clean_reviews(df).count() == 1

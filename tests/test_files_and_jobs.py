@@ -72,6 +72,12 @@ def test_ratings_csv_with_awkward_ids(spark, tmp_path):
     assert sorted(read_ratings_csv(spark, str(tmp_path / "csv")).collect()) == sorted(df.collect())
 
 
+def test_ratings_csv_checks_its_header(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("product_id,user_id,rating\np,u,1.0\n")
+    with pytest.raises(Exception, match="header"):
+        read_ratings_csv(spark, str(tmp_path)).collect()
+
+
 def test_preview_is_ordered(spark):
     df = spark.range(100).repartition(7)
     assert [r.id for r in sinks.preview(df, "id").collect()] == [0, 1, 2, 3, 4]

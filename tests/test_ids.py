@@ -68,8 +68,11 @@ def test_hot_keys_are_few_and_spread(spark):
     df = skewed(spark)
     counts = lookup.key_counts(df, "user_id")
     hot = lookup.hot_keys(counts, "user_id", 30_000, **LIMITS)
+    assert hot.dtypes == [("_hot", "bigint"), ("_parts", "int")]
     parts = {r._hot: r._parts for r in hot.collect()}
-    assert parts["hot"] == 17 and None in parts and len(parts) < 50
+    names = spark.createDataFrame([("hot",), (None,)], "user_id string")
+    of_hot, of_null = [r[0] for r in names.select(F.xxhash64("user_id")).collect()]
+    assert parts[of_hot] == 17 and of_null in parts and len(parts) < 50
     assert lookup.hot_keys(counts, "user_id", 30_000) is None
 
 

@@ -129,3 +129,9 @@ def test_stream_answers_each_request_once(spark, model, tmp_path):
     assert len(rows) == 42 and rows[100].source == "model"
     known = {r.request_id for r in rows.values() if r.source == "model"}
     assert serve.read_log(spark, paths["log"]).count() == len(known)
+
+
+def test_one_request(spark, model):
+    row = serve.answer(serve.one_request(spark, 3), model).first()
+    assert (row.user_id, row.n, len(row.recommendations), row.source) == (3, 5, 5, "model")
+    assert serve.answer(serve.one_request(spark, 3, 0), model).first().source == "none"
