@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfwise.functions.recommendations import answer_items, iso_timestamp
 from shelfwise.operators.lookup import hot_keys, spread_lookup
-from shelfwise.operators.topk import recommend_for
+from shelfwise.operators.topk import Catalogue, recommend_for
 from shelfwise.schemas import DEFAULT_N, EMPTY_MESSAGE, REQUESTS
 from shelfwise.session import job_folder, materialize, path_exists
 
@@ -53,7 +53,7 @@ def with_default_n(requests: DataFrame) -> DataFrame:
 
 def answer(
     requests: DataFrame, model: ALSModel, stored: DataFrame | None = None,
-    served_at: Column | None = None, **limits,
+    served_at: Column | None = None, products: Catalogue | None = None, **limits,
 ) -> DataFrame:
     """One row a request: ``(request_id, user_id, n, recommendations, timestamp, message,
     source)`` with ``source`` one of ``model``, ``stored`` and ``none``.
@@ -65,7 +65,8 @@ def answer(
     requests = with_default_n(requests)
     askers = materialize(_askers(requests), "askers")
     n_askers, total = askers.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    lists = recommend_for(model, askers.filter(F.col("k").isNotNull()).select("user_id", "k"))
+    wanted = askers.filter(F.col("k").isNotNull()).select("user_id", "k")
+    lists = recommend_for(model, wanted, products)
     known = askers.select("user_id").join(
         lists.withColumnRenamed("user_id_int", "user_id"), "user_id", "left"
     )

@@ -8,10 +8,11 @@ score. The bound only skips what cannot enter the list, so results are exact.
 """
 
 import math
+from dataclasses import dataclass, field
 from functools import reduce
 
 import numpy as np
-from pyspark import cloudpickle
+from pyspark import Broadcast, cloudpickle
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, functions as F
 
@@ -65,25 +66,47 @@ def _may_improve(longest: float):
     return last.isNull() | (_length() * longest * (1 + 1e-9) >= last)
 
 
+@dataclass(frozen=True)
+class Catalogue:
+    """Items made ready for ranking, to be used for any number of user tables: one broadcast
+    if they fit into it, else slices by falling length with the greatest length of each."""
+
+    n_items: int
+    per_chunk: int
+    chunk: Broadcast | None = None
+    slices: DataFrame | None = None
+    longest: dict[int, float] = field(default_factory=dict)
+
+
+def catalogue(items: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> Catalogue:
+    """``chunk_bytes`` bounds the items in one broadcast."""
+    n_items, width = items.agg(F.count("*"), F.max(F.size("features"))).first()
+    per_chunk = max(1, chunk_bytes // (4 * (width or 0) + 16))
+    if n_items <= per_chunk:
+        return Catalogue(n_items, per_chunk, chunk=_broadcast(items) if n_items else None)
+    slices = _slices(items, per_chunk)
+    longest = dict(slices.groupBy("slice").agg(F.max("length")).collect())
+    return Catalogue(n_items, per_chunk, slices=slices, longest=longest)
+
+
 def top_k(
-    users: DataFrame, items: DataFrame, k: int | None = None, *, n_users: int | None = None,
-    chunk_bytes: int = CHUNK_BYTES, pairs_per_task: int = PAIRS_PER_TASK,
+    users: DataFrame, items: DataFrame | Catalogue, k: int | None = None, *,
+    n_users: int | None = None, chunk_bytes: int = CHUNK_BYTES,
+    pairs_per_task: int = PAIRS_PER_TASK,
 ) -> DataFrame:
     """``(id, best)`` for each user: ``(id, score)`` entries, best first, equal scores by id.
 
     Both inputs are ``(id, features)``; users may have a ``k`` of their own. ``n_users`` is
-    about how many there are, counted if not given. ``chunk_bytes`` bounds the items in one
-    broadcast. More items take more rounds, longest items first; the
-    lists so far are kept in the shared folder, and a round only goes over users whose lists
-    its items may still improve.
+    about how many there are, counted if not given. More items than a chunk holds take more
+    rounds, longest items first; the lists so far are kept in the shared folder, and a round
+    only goes over users whose lists its items may still improve.
     """
     n_users = users.count() if n_users is None else n_users
-    n_items, width = items.agg(F.count("*"), F.max(F.size("features"))).first()
-    per_chunk = max(1, chunk_bytes // (4 * (width or 0) + 16))
-    rounds = -(-n_items // per_chunk)
+    if not isinstance(items, Catalogue):
+        items = catalogue(items, chunk_bytes)
     slots = users.sparkSession.sparkContext.defaultParallelism
     tasks = max(
-        slots, math.ceil(n_users * min(n_items, per_chunk) / pairs_per_task),
+        slots, math.ceil(n_users * min(items.n_items, items.per_chunk) / pairs_per_task),
         math.ceil(n_users / USERS_PER_TASK),
     )
 
@@ -96,20 +119,19 @@ def top_k(
         F.col("features").cast("array<float>"),
         F.array().cast("array<struct<id:bigint,score:double>>").alias("best"),
     )
-    if rounds <= 1:
-        lists = improved(state, _broadcast(items)) if rounds else state
+    if items.slices is None:
+        lists = improved(state, items.chunk) if items.n_items else state
         return lists.filter(F.size("best") > 0).select("id", "best")
-    slices = _slices(items, per_chunk)
-    longest = dict(slices.groupBy("slice").agg(F.max("length")).collect())
     finished = []
-    for number in range(rounds):
-        chunk = _broadcast(slices.filter(F.col("slice") == number))
+    for number in sorted(items.longest):
+        chunk = _broadcast(items.slices.filter(F.col("slice") == number))
         state = materialize(improved(state, chunk), "lists")
         chunk.unpersist()
-        live = _may_improve(longest.get(number + 1, 0.0)) & F.lit(number + 1 < rounds)
+        last = number + 1 not in items.longest
+        live = F.lit(False) if last else _may_improve(items.longest[number + 1])
         finished.append(state.filter(~live).select("id", "best"))
         state = state.filter(live)
-        if state.isEmpty():
+        if last or state.isEmpty():
             break
     return reduce(DataFrame.unionAll, finished)
 
@@ -130,14 +152,17 @@ def recommend_all(model: ALSModel, k: int = LIST_LENGTH, **limits) -> DataFrame:
     return _as_recommendations(top_k(model.userFactors, model.itemFactors, k, **limits))
 
 
-def recommend_for(model: ALSModel, wanted: DataFrame, **limits) -> DataFrame:
+def recommend_for(
+    model: ALSModel, wanted: DataFrame, products: Catalogue | None = None, **limits
+) -> DataFrame:
     """The same for the users in ``wanted``, one row ``(user_id, k)`` each; unknown ones are
-    left out. Each list has the length its own row asks for, or all products if fewer."""
+    left out. Each list has the length its own row asks for, or all products if fewer.
+    ``products`` saves preparing the model's products again."""
     users = model.userFactors.join(wanted, F.col("id") == F.col("user_id")).select(
         "id", "features", "k"
     )
-    lists = top_k(users, model.itemFactors, n_users=wanted.count(), **limits)
-    return _as_recommendations(lists)
+    items = model.itemFactors if products is None else products
+    return _as_recommendations(top_k(users, items, n_users=wanted.count(), **limits))
 
 
 def long_form(recs: DataFrame, *keys: str, length: int | None = None) -> DataFrame:

@@ -3,6 +3,10 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
+# Keys of large tables are folded into the range of the integer ids.
+INTS = 2**31 - 1
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -38,7 +42,7 @@ def stored_answers(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "orders").select(
         (F.col("o_custkey") * 3).alias("user_id"),
         F.array(F.struct(
-            F.col("o_orderkey").cast("int").alias("product_id"),
+            (F.col("o_orderkey") % INTS).cast("int").alias("product_id"),
             F.col("o_totalprice").alias("score"),
         )).alias("recommendations"),
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
@@ -54,13 +58,13 @@ def printed_lists(spark: SparkSession, folder: str) -> DataFrame:
         number = F.when(i % 3 == 0, F.concat(F.lit("-"), whole, F.lit(".5")))
         number = number.when(i % 3 == 1, F.concat(whole, F.lit(".25e-05")))
         number = number.otherwise(F.concat(whole, F.lit(".75")))
-        product = (F.col("user_id") * 100 + i).cast("string")
+        product = ((F.col("user_id") * 100 + i) % INTS).cast("string")
         return F.concat(
             F.lit("Row(product_id_int="), product, F.lit(", rating="), number, F.lit(")")
         )
 
     entries = F.transform(F.sequence(F.lit(0), F.lit(11)), entry)
     return table(spark, folder, "events").select(
-        F.col("event_id").cast("int").alias("user_id_int"),
+        (F.col("event_id") % INTS).cast("int").alias("user_id_int"),
         F.concat(F.lit("["), F.array_join(entries, ", "), F.lit("]")).alias("recommendations"),
     )

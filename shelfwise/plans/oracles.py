@@ -1,5 +1,7 @@
 """The registered queries in SQL, over the same tables, for an independent engine."""
 
+from shelfwise.schemas import EMPTY_MESSAGE
+
 # Name -> (tables it builds on, text). ``_with`` puts together what a query needs.
 STEPS = {
     "reviews": ((), """
@@ -37,7 +39,7 @@ STEPS = {
         SELECT event_id AS request_id, user_id * 20 AS user_id,
                CAST(event_id % 7 AS INTEGER) AS n FROM events"""),
     "stored": ((), """
-        SELECT o_custkey * 3 AS user_id, CAST(o_orderkey AS INTEGER) AS product_id,
+        SELECT o_custkey * 3 AS user_id, CAST(o_orderkey % 2147483647 AS INTEGER) AS product_id,
                o_totalprice AS score,
                strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f') AS "timestamp"
         FROM orders"""),
@@ -115,6 +117,8 @@ ORACLES = {
                (SELECT count(*) FROM ratings) AS final_rows,
                (SELECT count(*) FROM reviews)
                    - (SELECT count(*) FROM (SELECT DISTINCT * FROM complete)) AS removed_rows"""),
+    "raw_shape": _with("reviews", select="""
+        SELECT count(*) AS "rows", 4 AS "columns" FROM reviews"""),
     "first_ratings": _with("ratings", select="""
         SELECT user_id, product_id, rating FROM ratings
         ORDER BY user_id, product_id, rating LIMIT 5"""),
@@ -166,6 +170,9 @@ ORACLES = {
     "coldstart_survivors_sparse": _survivors("sparse_train", "sparse_test"),
     "prediction_coverage": _coverage("train", "test"),
     "prediction_coverage_sparse": _coverage("sparse_train", "sparse_test"),
+    "evaluation_report": f"""
+        SELECT total AS test_rows, valid AS predicted_rows, percent, true AS rmse_agrees
+        FROM ({_coverage("train", "test")})""",
     "model_roundtrip": _with("train", "test", select="""
         SELECT user_id, product_id, rating, true AS same FROM test
         WHERE user_id IN (SELECT user_id FROM train)
@@ -184,8 +191,8 @@ ORACLES = {
                true AS json_same, true AS csv_same FROM listed"""),
     "legacy_recs_parse": _with("ranks", select="""
         , whole AS (SELECT *, CAST(CAST(trunc(value) AS INTEGER) AS VARCHAR) AS w FROM events)
-        SELECT CAST(event_id AS INTEGER) AS user_id_int, rank,
-               CAST(user_id * 100 + rank - 1 AS INTEGER) AS product_id,
+        SELECT CAST(event_id % 2147483647 AS INTEGER) AS user_id_int, rank,
+               CAST((user_id * 100 + rank - 1) % 2147483647 AS INTEGER) AS product_id,
                CAST(CASE (rank - 1) % 3 WHEN 0 THEN '-' || w || '.5'
                     WHEN 1 THEN w || '.25e-05' ELSE w || '.75' END AS DOUBLE)
                    AS predicted_rating
@@ -204,12 +211,16 @@ ORACLES = {
     "serve_fallback": _with("answers", select="""
         SELECT request_id, user_id, "timestamp", product_id, score FROM answers
         WHERE source = 'stored'"""),
+    "answer_documents": _with("answers", select=f"""
+        SELECT request_id, user_id, n_items, source <> 'none' AS has_time,
+               CASE WHEN source = 'none' THEN '{EMPTY_MESSAGE}' END AS message FROM answers"""),
     "serve_log": _with("answers", select="""
         SELECT user_id, n_items, count(*) AS n FROM answers WHERE source = 'model'
         GROUP BY user_id, n_items"""),
     "publish_current": _with("sizes", select="""
         SELECT CAST(v AS INTEGER) AS version, v = 3 AS is_current, v >= 2 AS is_kept,
-               10 AS rank, n_users AS users, n_products AS products
+               10 AS rank, 10 AS max_iter, CAST(0.1 AS DOUBLE) AS reg_param,
+               'drop' AS cold_start, n_users AS users, n_products AS products
         FROM sizes CROSS JOIN range(1, 4) AS t(v)"""),
     "retrain_report": _with("reviews", "complete", "train", "test", "sizes", select="""
         SELECT 1 AS version, (SELECT count(*) FROM test) AS test_rows,

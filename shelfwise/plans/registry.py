@@ -6,10 +6,13 @@ that results are plain columns another engine can check.
 
 from functools import wraps
 
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise.operators import clean, encode, evaluate, serve, split, topk
-from shelfwise.operators.factorize import AlsSettings, fit_and_store, load_model, predict, save_model
+from shelfwise.operators.factorize import (
+    AlsSettings, fit_and_store, load_model, predict, save_model, settings_report,
+)
 from shelfwise.plans import fixture, jobs, publish
 from shelfwise.schemas import DEFAULT_N, LIST_LENGTH, RATING_KEY
 from shelfwise.session import materialize, scratch_path
@@ -124,6 +127,15 @@ def ratings_csv_roundtrip(spark, folder):
     return review_files.read_ratings_csv(spark, path)
 
 
+@query
+def raw_shape(spark, folder):
+    """Rows and columns of the raw table."""
+    raw = fixture.reviews(spark, folder)
+    return raw.agg(
+        F.count("*").alias("rows"), F.lit(len(sinks.column_types(raw))).alias("columns")
+    )
+
+
 @query
 def first_ratings(spark, folder):
     return sinks.preview(ratings(spark, folder), *RATING_KEY)
@@ -263,6 +275,21 @@ def prediction_coverage_sparse(spark, folder):
     return evaluate.coverage(predict(model(spark, folder, SPARSE_SHARE), test, "nan"))
 
 
+@query
+def evaluation_report(spark, folder):
+    """All figures of a run in one pass; the RMSE beside that of Spark's evaluator."""
+    _, test = halves(spark, folder)
+    fitted = model(spark, folder, 0.8)
+    theirs = RegressionEvaluator(
+        metricName="rmse", labelCol="rating", predictionCol="prediction"
+    ).evaluate(predict(fitted, test))
+    figures = evaluate.evaluation(predict(fitted, test, "nan"))
+    return figures.select(
+        "test_rows", "predicted_rows", "percent",
+        (F.abs(F.col("rmse") - theirs) < 1e-9).alias("rmse_agrees"),
+    )
+
+
 @query
 def model_roundtrip(spark, folder):
     """Predictions of a model and of the same model saved and loaded, side by side."""
@@ -387,6 +414,23 @@ def serve_fallback(spark, folder):
     )
 
 
+@query
+def answer_documents(spark, folder):
+    """The answers as JSON documents, and what a caller finds in them."""
+    answers = serve.answer(
+        fixture.requests(spark, folder), model(spark, folder, 1),
+        fixture.stored_answers(spark, folder),
+    )
+    found = F.get_json_object("document", "$.recommendations")
+    return sinks.answer_documents(answers).select(
+        "request_id",
+        F.get_json_object("document", "$.user_id").cast("bigint").alias("user_id"),
+        F.json_array_length(found).alias("n_items"),
+        F.get_json_object("document", "$.timestamp").isNotNull().alias("has_time"),
+        F.get_json_object("document", "$.message").alias("message"),
+    )
+
+
 @query
 def serve_log(spark, folder):
     """What a batch adds to the log, also if it is answered twice."""
@@ -422,10 +466,9 @@ def publish_current(spark, folder):
     """Three publishes in a row: the last one is current, and it and one backup are kept."""
     root, fitted = scratch_path(spark, "published"), model(spark, folder, 0.8)
     users, products = id_map(spark, folder, "user_id"), id_map(spark, folder, "product_id")
+    settings = settings_report(AlsSettings(), halves(spark, folder)[0].count())
     for _ in range(3):
-        publish.publish(
-            spark, root, fitted, users, products, settings={"rank": str(fitted.rank)}
-        )
+        publish.publish(spark, root, fitted, users, products, settings=settings)
     current = publish.current_version(spark, root)
     kept = publish.kept_versions(spark, root)
     now = publish.load_published(spark, root)
@@ -433,6 +476,9 @@ def publish_current(spark, folder):
         "version", (F.col("version") == current).alias("is_current"),
         F.col("version").isin(kept).alias("is_kept"),
         F.col("settings")["rank"].cast("int").alias("rank"),
+        F.col("settings")["maxIter"].cast("int").alias("max_iter"),
+        F.col("settings")["regParam"].cast("double").alias("reg_param"),
+        F.col("settings")["coldStartStrategy"].alias("cold_start"),
         F.lit(now.user_map.count()).cast("bigint").alias("users"),
         F.lit(now.product_map.count()).cast("bigint").alias("products"),
     )

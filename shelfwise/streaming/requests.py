@@ -6,6 +6,7 @@ from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.operators.serve import serve
+from shelfwise.operators.topk import catalogue
 from shelfwise.schemas import REQUESTS
 from shelfwise.session import job_folder, scratch_path
 
@@ -24,10 +25,12 @@ def serve_stream(
     """Start answering; the default trigger takes all files present and stops.
 
     A batch that is repeated after a failure has the same number and replaces its own
-    folders, so every request has one answer and the log one entry for it.
+    folders, so every request has one answer and the log one entry for it. The products are
+    made ready once for all batches.
     """
 
     spark = requests.sparkSession
+    products = catalogue(model.itemFactors)
 
     def answer_batch(batch: DataFrame, number: int) -> None:
         # The session of a micro-batch has adaptive execution off, so go on from a file.
@@ -35,7 +38,9 @@ def serve_stream(
             path = scratch_path(spark, "requests")
             batch.write.parquet(path)
             table = spark.read.schema(REQUESTS).parquet(path)
-            serve(table, model, answers_path, log_path, str(number), stored)
+            serve(
+                table, model, answers_path, log_path, str(number), stored, products=products
+            )
 
     return (
         requests.writeStream.foreachBatch(answer_batch)
