@@ -38,7 +38,10 @@ def parser() -> argparse.ArgumentParser:
         "clean", "raw_path", "out_path", **raw, csv_path={},
         on_bad_rating={"choices": ["fail", "drop"], "default": "fail"},
     )
-    command("train", "ratings_path", "root", **model)
+    command(
+        "train", "ratings_path", "root", **model,
+        file_format={"choices": ["csv", "parquet"], "default": "parquet"},
+    )
     command("retrain", "raw_path", "root", **raw, **model)
     command("recommend", "root", "out_path", k={"type": int, "default": LIST_LENGTH})
     command("serve", "requests_path", "root", "answers_path", "log_path", "batch")

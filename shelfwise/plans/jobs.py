@@ -14,7 +14,9 @@ from shelfwise.plans.publish import load_published, publish
 from shelfwise.schemas import LIST_LENGTH
 from shelfwise.session import job_folder, materialize, sized_shuffles, together
 from shelfwise.sources import sinks
-from shelfwise.sources.reviews import blank_to_null, read_ratings, read_raw_reviews
+from shelfwise.sources.reviews import (
+    blank_to_null, read_ratings, read_ratings_csv, read_raw_reviews,
+)
 
 SPLITS = {"random": random_halves, "hashed": hashed_halves}
 
@@ -49,12 +51,15 @@ def clean_job(
 
 
 def train_job(
-    spark: SparkSession, ratings_path: str, root: str, *,
+    spark: SparkSession, ratings_path: str, root: str, *, file_format: str = "parquet",
     settings: AlsSettings = AlsSettings(), split: str = "random", top: int | None = None,
 ) -> Row:
     """Index, encode, split, fit, evaluate and publish; with ``top``, all lists as well."""
     with job_folder(spark), sized_shuffles(spark, ratings_path):
-        ratings = read_ratings(spark, ratings_path)
+        if file_format == "csv":
+            ratings = materialize(read_ratings_csv(spark, ratings_path), "ratings")
+        else:
+            ratings = read_ratings(spark, ratings_path)
         users, products = index_columns(ratings, "user_id", "product_id")
         encoded = materialize(encode(ratings, users, products, fitted_on_df=True), "encoded")
         train, test = SPLITS[split](encoded)

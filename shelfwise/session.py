@@ -78,7 +78,8 @@ def sized_shuffles(spark: SparkSession, path: str):
     small ones again but cannot split large ones, so the default would not do for terabytes."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    size = files.getContentSummary(folder).getLength()
+    matches = files.globStatus(folder) or []
+    size = sum(files.getContentSummary(match.getPath()).getLength() for match in matches)
     needed = min(size * EXPANSION // SHUFFLE_BYTES, MAX_SHUFFLE_PARTITIONS)
     before = spark.conf.get(INITIAL_PARTITIONS, None)
     if needed > int(before or spark.conf.get("spark.sql.shuffle.partitions")):

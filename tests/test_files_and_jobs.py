@@ -174,8 +174,13 @@ def test_command_line_runs_the_jobs(spark, tmp_path):
 
     raw, root, ratings = tmp_path / "raw", tmp_path / "models", tmp_path / "ratings"
     sinks.write_csv(fixture.reviews(spark, SMALL), str(raw))
-    assert call("clean", raw, ratings).final_rows == 3532
-    assert call("train", ratings, root, "--max-iter", 1, "--split", "hashed").version == 1
+    as_csv = tmp_path / "ratings_csv"
+    assert call("clean", f"{raw}/*.csv", ratings, "--csv-path", as_csv).final_rows == 3532
+    first = call("train", as_csv, tmp_path / "other", "--max-iter", 1, "--split", "hashed",
+                 "--file-format", "csv")
+    run_again = call("train", ratings, root, "--max-iter", 1, "--split", "hashed")
+    assert run_again.version == 1
+    assert (first.train_rows, first.users) == (run_again.train_rows, run_again.users)
     assert call("retrain", raw, root, "--rank", 4, "--max-iter", 1)[1].version == 2
     assert publish.load_published(spark, str(root)).model.rank == 4
     assert call("recommend", root, tmp_path / "exports", "--k", 2) == 150
