@@ -11,8 +11,9 @@ import pyarrow.compute as pc
 USERS_AT_ONCE = 256
 ITEMS_AT_ONCE = 4096
 
-# Relative error that single precision may add to a dot product, with room to spare.
-NEAR = 1e-6
+# Error that single precision may add to a dot product, with room to spare: relative to the
+# lengths, and absolute where numbers get too small. Beyond WIDE it would overflow.
+NEAR, TINY, WIDE = 1e-6, 1e-36, 1e30
 
 
 def matrix(lists) -> np.ndarray:
@@ -47,22 +48,24 @@ def improve(users, k, best, chunk):
     """
     ids, factors, lengths = chunk
     reach = np.linalg.norm(users, axis=1)
-    narrow = users.astype(np.float32)
+    fits = len(ids) == 0 or reach.max(initial=0.0) * lengths[0] < WIDE
+    kind = np.float32 if fits else np.float64
+    rough = users.astype(kind)
     row, item, score, floor, edge = leaders(*best, k)
     for start in range(0, len(ids), ITEMS_AT_ONCE):
         bound = reach * lengths[start]
-        margin = NEAR * bound * users.shape[1]
+        margin = NEAR * bound * users.shape[1] + TINY
         live = np.flatnonzero(bound + margin >= floor)
         if not live.size:
             break
         block = factors[start:start + ITEMS_AT_ONCE]
-        near = narrow[live] @ block.T
+        near = rough[live] @ block.T.astype(kind, copy=False)
         least = floor[live]
         new, most = np.isinf(least), int(k[live].max())
         if new.any() and most < len(block):
             least[new] = np.partition(near[new], -most, axis=1)[:, -most]
         # Rounded down, so that the narrower type cannot lift it past a candidate.
-        limit = np.nextafter((least - 2 * margin[live]).astype(np.float32), np.float32(-np.inf))
+        limit = np.nextafter((least - 2 * margin[live]).astype(kind), kind(-np.inf))
         hits = np.flatnonzero(near >= limit[:, None])
         hit_row, hit_item = live[hits // len(block)], hits % len(block)
         hit_id = ids[start:start + ITEMS_AT_ONCE][hit_item]

@@ -35,9 +35,19 @@ def typed(df: DataFrame, on_bad_rating: str = "fail") -> DataFrame:
     )
 
 
+def _is_complete(df: DataFrame) -> Column:
+    """No NULL and no NaN in any column. Unlike ``dropna``, its parts reach a Parquet scan."""
+    complete = F.lit(True)
+    for name, kind in df.dtypes:
+        complete &= F.col(name).isNotNull()
+        if kind in ("double", "float"):
+            complete &= ~F.isnan(name)
+    return complete
+
+
 def drop_incomplete(df: DataFrame) -> DataFrame:
     """Drop rows with a NULL or NaN in any column."""
-    return df.dropna("any")
+    return df.filter(_is_complete(df))
 
 
 def drop_copies(df: DataFrame) -> DataFrame:
@@ -60,15 +70,6 @@ def clean_reviews(raw: DataFrame, on_bad_rating: str = "fail") -> DataFrame:
     return drop_copies(valid_ratings(drop_incomplete(typed(complete, on_bad_rating))))
 
 
-def _is_complete(df: DataFrame) -> Column:
-    complete = F.lit(True)
-    for name, kind in df.dtypes:
-        complete &= F.col(name).isNotNull()
-        if kind in ("double", "float"):
-            complete &= ~F.isnan(name)
-    return complete
-
-
 def count_copies(raw: DataFrame, on_bad_rating: str = "fail") -> DataFrame:
     """Distinct triples with their number of ``copies``, from one scan and one shuffle.
 

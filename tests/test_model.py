@@ -183,6 +183,16 @@ def test_far_apart_lengths(spark, monkeypatch, chunk_bytes):
     assert len(rounds) < 3
 
 
+@pytest.mark.parametrize("scale", [1e-25, 1e-20, 1e15, 1e30])
+def test_very_small_and_very_large_vectors(spark, scale):
+    """Scores beyond the range of single precision, which only finds candidates."""
+    rng = np.random.default_rng(5)
+    items = (rng.normal(size=(60, 4)) * scale).astype(np.float32)
+    users = (rng.normal(size=(9, 4)) * scale).astype(np.float32)
+    got = topk.top_k(vectors(spark, users), vectors(spark, items), 5)
+    assert {r.id: [i.id for i in r.best] for r in got.collect()} == brute_force(users, items, 5)
+
+
 def test_no_items_no_lists(spark):
     none = vectors(spark, np.ones((1, 2))).limit(0)
     assert topk.top_k(vectors(spark, np.ones((2, 2))), none, 3).count() == 0
