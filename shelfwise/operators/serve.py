@@ -12,36 +12,45 @@ from shelfwise.schemas import DEFAULT_N, EMPTY_MESSAGE, REQUESTS
 from shelfwise.session import job_folder, materialize, path_exists
 
 INT_MAX = 2**31 - 1
+STORED = "struct<timestamp:string,recommendations:array<struct<product_id:int,score:double>>>"
 
 
 # A broadcast of that many user ids takes a few megabytes.
 BROADCAST_USERS = 500_000
 
 
-def first_stored(stored: DataFrame, askers: DataFrame | None = None, n_askers: int = 0):
+def first_stored(stored: DataFrame, users: DataFrame | None = None, n_users: int = 0):
     """The earliest stored answer of each user, equal times by content.
 
-    A bounded number of askers is broadcast, so that the store is only scanned for them.
-    With more, the store is aggregated in each task first, which also takes care of users
-    with very many answers, and the caller's join picks the askers.
+    A bounded number of wanted ``users`` is broadcast, so that the store is only scanned for
+    them. With more, the store is aggregated in each task first, which also takes care of
+    users with very many answers, and the caller's join picks the wanted ones.
     """
-    if askers is not None and n_askers <= BROADCAST_USERS:
-        stored = stored.join(F.broadcast(askers.select("user_id")), "user_id", "left_semi")
+    if users is not None and n_users <= BROADCAST_USERS:
+        stored = stored.join(F.broadcast(users.select("user_id")), "user_id", "left_semi")
     content = F.struct("timestamp", "recommendations")
     return stored.groupBy("user_id").agg(F.min(content).alias("stored"))
 
 
 def _askers(requests: DataFrame) -> DataFrame:
-    """Each requested user once: number of requests and the longest list asked for, if any.
-
-    An id the model cannot hold, or ``n`` below 1, asks for no list.
-    """
+    """Each requested user once: number of requests, the longest list asked for, if any, and
+    whether a request asks for no list: an id the model cannot hold, or ``n`` below 1."""
     listable = (F.col("n") > 0) & F.col("user_id").between(0, INT_MAX)
     return requests.groupBy("user_id").agg(
-        F.count("*").alias("n"), F.max(F.when(listable, F.col("n"))).alias("k")
+        F.count("*").alias("n"), F.max(F.when(listable, F.col("n"))).alias("k"),
+        F.coalesce(F.bool_or(~listable), F.lit(True)).alias("unlisted"),
     )
 
 
+def _with_stored(known: DataFrame, stored: DataFrame | None) -> DataFrame:
+    """Add the stored answer of the users who need one; the store is left alone if none does."""
+    needy = known.filter(F.col("unlisted") | F.col("recommendations").isNull())
+    n_needy = needy.count() if stored is not None else 0
+    if n_needy:
+        return known.join(first_stored(stored, needy, n_needy), "user_id", "left")
+    return known.withColumn("stored", F.lit(None).cast(STORED))
+
+
 def one_request(spark: SparkSession, user_id: int, n: int = DEFAULT_N) -> DataFrame:
     """A single request as a table."""
     return spark.createDataFrame([(0, user_id, n)], REQUESTS)
@@ -60,25 +69,21 @@ def answer(
 
     Each user is scored once, for the longest list any of their requests asks for. Both kinds
     of answer are put beside the user first, so the requests are shuffled once, with the
-    requests of very frequent users spread over several tasks.
+    requests of very frequent users spread over several tasks. The store is read only for
+    users the model does not know or who have a request it cannot answer.
     """
     requests = with_default_n(requests)
     askers = materialize(_askers(requests), "askers")
-    n_askers, total = askers.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    total = askers.agg(F.sum("n")).first()[0] or 0
     wanted = askers.filter(F.col("k").isNotNull()).select("user_id", "k")
     lists = recommend_for(model, wanted, products)
-    known = askers.select("user_id").join(
-        lists.withColumnRenamed("user_id_int", "user_id"), "user_id", "left"
+    known = materialize(
+        askers.select("user_id", "unlisted").join(
+            lists.withColumnRenamed("user_id_int", "user_id"), "user_id", "left"
+        ),
+        "known",
     )
-    if stored is None:
-        known = known.withColumn(
-            "stored", F.lit(None).cast(
-                "struct<timestamp:string,"
-                "recommendations:array<struct<product_id:int,score:double>>>"
-            )
-        )
-    else:
-        known = known.join(first_stored(stored, askers, n_askers), "user_id", "left")
+    known = _with_stored(known, stored).drop("unlisted")
     found = spread_lookup(
         requests, known, "user_id", hot_keys(askers, "user_id", total, **limits), ["request_id"]
     )

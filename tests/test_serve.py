@@ -135,3 +135,11 @@ def test_one_request(spark, model):
     row = serve.answer(serve.one_request(spark, 3), model).first()
     assert (row.user_id, row.n, len(row.recommendations), row.source) == (3, 5, 5, "model")
     assert serve.answer(serve.one_request(spark, 3, 0), model).first().source == "none"
+
+
+def test_store_is_left_alone_if_nobody_needs_it(spark, model):
+    broken = stored(spark).withColumn("user_id", F.raise_error(F.lit("read")).cast("bigint"))
+    rows = serve.answer(requests(spark, [(1, 3, 5), (2, 4, 2)]), model, broken).collect()
+    assert {r.source for r in rows} == {"model"}
+    with pytest.raises(Exception, match="read"):
+        serve.answer(requests(spark, [(1, 3, 0)]), model, broken).collect()
