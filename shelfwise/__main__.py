@@ -8,7 +8,7 @@ import argparse
 from shelfwise.operators.factorize import AlsSettings
 from shelfwise.plans import jobs
 from shelfwise.plans.publish import load_published
-from shelfwise.schemas import LIST_LENGTH, MAX_ITER, RANK, REG_PARAM
+from shelfwise.schemas import DEFAULT_N, LIST_LENGTH, MAX_ITER, RANK, REG_PARAM
 from shelfwise.session import build_session
 from shelfwise.streaming.requests import request_stream, serve_stream
 
@@ -45,6 +45,9 @@ def parser() -> argparse.ArgumentParser:
     command("retrain", "raw_path", "root", **raw, **model)
     command("recommend", "root", "out_path", k={"type": int, "default": LIST_LENGTH})
     command("serve", "requests_path", "root", "answers_path", "log_path", "batch")
+    answer = command("answer", "root", "answers_path", "log_path")
+    answer.add_argument("user_id", type=int)
+    answer.add_argument("--n", type=int, default=DEFAULT_N)
     command("stream", "requests_path", "root", "answers_path", "log_path", "checkpoint")
     return top
 
@@ -66,6 +69,7 @@ def run(spark, args):
     job = {
         "convert": jobs.convert_job, "clean": jobs.clean_job, "train": jobs.train_job,
         "retrain": jobs.retrain, "recommend": jobs.recommend_all_job, "serve": jobs.serve_job,
+        "answer": jobs.answer_job,
     }[args.command]
     return job(spark, **options)
 

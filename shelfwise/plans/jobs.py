@@ -1,5 +1,7 @@
 """The jobs a scheduler calls, each from paths to paths."""
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from shelfwise.operators.clean import audit_of, count_copies, ratings_of
@@ -7,11 +9,11 @@ from shelfwise.operators.encode import encode, index_columns
 from shelfwise.operators.evaluate import evaluation
 from shelfwise.operators.factorize import AlsSettings, fit_and_store, predict, settings_report
 from shelfwise.operators.lookup import hot_keys, key_counts, spread_lookup
-from shelfwise.operators.serve import serve
+from shelfwise.operators.serve import one_request, serve
 from shelfwise.operators.split import hashed_halves, random_halves
 from shelfwise.operators.topk import long_form, recommend_all
 from shelfwise.plans.publish import load_published, publish
-from shelfwise.schemas import LIST_LENGTH
+from shelfwise.schemas import DEFAULT_N, LIST_LENGTH
 from shelfwise.session import job_folder, materialize, sized_shuffles, together
 from shelfwise.sources import sinks
 from shelfwise.sources.reviews import (
@@ -139,3 +141,13 @@ def serve_job(
     requests = spark.read.parquet(requests_path)
     model = load_published(spark, root).model
     return serve(requests, model, answers_path, log_path, batch)
+
+
+def answer_job(
+    spark: SparkSession, root: str, answers_path: str, log_path: str, user_id: int,
+    n: int = DEFAULT_N,
+) -> str:
+    """Answer one user with the current version: the JSON document a caller gets."""
+    model = load_published(spark, root).model
+    answers = serve(one_request(spark, user_id, n), model, answers_path, log_path, uuid4().hex)
+    return sinks.answer_documents(answers).first().document

@@ -188,6 +188,12 @@ def test_command_line_runs_the_jobs(spark, tmp_path):
     fixture.requests(spark, SMALL).write.parquet(str(requests))
     paths = [tmp_path / "answers", tmp_path / "log"]
     assert call("serve", requests, root, *paths, "first").count() == 1000
+    found = json.loads(call("answer", root, *paths, 3, "--n", 2))
+    assert found["user_id"] == 3 and len(found["recommendations"]) == 2 and found["timestamp"]
+    stored = json.loads(call("answer", root, *paths, 20, "--n", 0))
+    assert stored["recommendations"] and "message" not in stored
+    assert json.loads(call("answer", root, *paths, 10**7)) == {
+        "user_id": 10**7, "recommendations": [], "message": EMPTY_MESSAGE}
     call("stream", requests, root, tmp_path / "streamed", tmp_path / "log2", tmp_path / "state")
     assert read_answers(spark, str(tmp_path / "streamed")).count() == 1000
 
