@@ -25,7 +25,12 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument("--" + option.replace("_", "-"), **settings)
         return sub
 
-    raw = {"file_format": {"choices": ["csv", "parquet"], "default": "csv"}}
+    lines = {"multi_line": {"action": argparse.BooleanOptionalAction, "default": True}}
+    raw = {
+        "file_format": {"choices": ["csv", "parquet"], "default": "csv"},
+        "on_bad_rating": {"choices": ["fail", "drop"], "default": "fail"},
+        **lines,
+    }
     model = {
         "rank": {"type": int, "default": RANK},
         "max_iter": {"type": int, "default": MAX_ITER},
@@ -33,11 +38,8 @@ def parser() -> argparse.ArgumentParser:
         "split": {"choices": list(jobs.SPLITS), "default": "random"},
         "top": {"type": int},
     }
-    command("convert", "csv_path", "parquet_path")
-    command(
-        "clean", "raw_path", "out_path", **raw, csv_path={},
-        on_bad_rating={"choices": ["fail", "drop"], "default": "fail"},
-    )
+    command("convert", "csv_path", "parquet_path", **lines)
+    command("clean", "raw_path", "out_path", **raw, csv_path={})
     command(
         "train", "ratings_path", "root", **model,
         file_format={"choices": ["csv", "parquet"], "default": "parquet"},

@@ -19,19 +19,25 @@ def keep_rating_columns(df: DataFrame) -> DataFrame:
 JAVA_NUMBER = r"(\d\.?[dDfF]|^\s*[+-]?0[xX].*)\s*$"
 
 
+def _number(text: Column, on_bad_rating: str) -> Column:
+    """A text as a double, with or without the ANSI mode of the session."""
+    number = F.when(~text.rlike(JAVA_NUMBER), text.try_cast("double"))
+    if on_bad_rating == "drop":
+        return number
+    failure = F.raise_error(F.concat(text, F.lit(" is no number")))
+    return F.when(text.isNull() | number.isNotNull(), number).otherwise(failure)
+
+
 def typed(df: DataFrame, on_bad_rating: str = "fail") -> DataFrame:
     """Text ids and a double rating. A rating that is no number fails the run, or is dropped."""
     if on_bad_rating not in ("fail", "drop"):
         raise ValueError("on_bad_rating is 'fail' or 'drop'")
     rating = F.col("rating")
-    if dict(df.dtypes)["rating"] == "string":
-        rating = F.when(rating.rlike(JAVA_NUMBER), F.concat(rating, F.lit(" is no number"))
-                        ).otherwise(rating)
+    is_text = dict(df.dtypes)["rating"] == "string"
     return df.select(
         F.col("user_id").cast("string").alias("user_id"),
         F.col("product_id").cast("string").alias("product_id"),
-        (rating.cast("double") if on_bad_rating == "fail" else rating.try_cast("double"))
-        .alias("rating"),
+        (_number(rating, on_bad_rating) if is_text else rating.cast("double")).alias("rating"),
     )
 
 

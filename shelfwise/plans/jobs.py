@@ -37,14 +37,14 @@ def convert_job(spark: SparkSession, csv_path: str, parquet_path: str, **options
 
 def clean_job(
     spark: SparkSession, raw_path: str, out_path: str, *, file_format: str = "csv",
-    on_bad_rating: str = "fail", csv_path: str | None = None,
+    on_bad_rating: str = "fail", csv_path: str | None = None, multi_line: bool = True,
 ) -> Row:
     """Clean ratings to Parquet, and to CSV if asked for; returns the audit.
 
     The raw files are read once: ratings and audit both come from the counted triples.
     """
     with job_folder(spark), sized_shuffles(spark, raw_path):
-        raw = read_reviews(spark, raw_path, file_format)
+        raw = read_reviews(spark, raw_path, file_format, multi_line=multi_line)
         groups = materialize(count_copies(raw, on_bad_rating), "groups")
         sinks.write_parquet(ratings_of(groups), out_path)
         if csv_path:
@@ -123,11 +123,15 @@ def recommend_all_job(spark: SparkSession, root: str, out_path: str, k: int = LI
 def retrain(
     spark: SparkSession, raw_path: str, root: str, *, file_format: str = "csv",
     settings: AlsSettings = AlsSettings(), split: str = "random", top: int | None = None,
+    on_bad_rating: str = "fail", multi_line: bool = True,
 ) -> tuple[Row, Row]:
     """Clean, train, publish. Serving jobs started later pick up the new version."""
     with job_folder(spark) as folder:
         ratings_path = f"{folder}/ratings"
-        audit = clean_job(spark, raw_path, ratings_path, file_format=file_format)
+        audit = clean_job(
+            spark, raw_path, ratings_path, file_format=file_format,
+            on_bad_rating=on_bad_rating, multi_line=multi_line,
+        )
         return audit, train_job(
             spark, ratings_path, root, settings=settings, split=split, top=top
         )

@@ -54,7 +54,16 @@ def test_nan_numbers_are_missing(spark):
     assert clean.cleaning_audit(df).first().complete_rows == 1
 
 
-def test_bad_rating_fails_or_is_dropped(spark):
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_bad_rating_fails_or_is_dropped(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        check_bad_rating(spark)
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def check_bad_rating(spark):
     df = raw(spark, [("A", "p", "abc"), ("B", "p", "4")])
     with pytest.raises(Exception, match="abc"):
         clean.clean_reviews(df).collect()

@@ -176,6 +176,10 @@ def test_command_line_runs_the_jobs(spark, tmp_path):
     sinks.write_csv(fixture.reviews(spark, SMALL), str(raw))
     as_csv = tmp_path / "ratings_csv"
     assert call("clean", f"{raw}/*.csv", ratings, "--csv-path", as_csv).final_rows == 3532
+    assert call("clean", raw, tmp_path / "again", "--no-multi-line").final_rows == 3532
+    call("convert", raw, tmp_path / "parquet")
+    assert call("clean", tmp_path / "parquet", tmp_path / "third", "--file-format", "parquet",
+                "--on-bad-rating", "drop").final_rows == 3532
     first = call("train", as_csv, tmp_path / "other", "--max-iter", 1, "--split", "hashed",
                  "--file-format", "csv")
     run_again = call("train", ratings, root, "--max-iter", 1, "--split", "hashed")
