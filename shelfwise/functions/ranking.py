@@ -10,6 +10,7 @@ import pyarrow.compute as pc
 
 USERS_AT_ONCE = 256
 ITEMS_AT_ONCE = 4096
+ENTRIES_AT_ONCE = 100_000_000
 
 # Error that single precision may add to a dot product, with room to spare: relative to the
 # lengths, and absolute where numbers get too small. Beyond WIDE it would overflow.
@@ -82,31 +83,49 @@ def improve(users, k, best, chunk):
     return row, item, score
 
 
+def _users_at_once(batch, n_items):
+    """Fewer users in a step if their lists are very long."""
+    known = pc.max(pc.list_value_length(batch["best"])).as_py()
+    longest = min(pc.max(batch["k"]).as_py(), known + n_items)
+    return max(1, min(USERS_AT_ONCE, ENTRIES_AT_ONCE // longest))
+
+
+def _best_so_far(lists):
+    """Lists as flat arrays: row, item and score of each entry."""
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    entries = lists.flatten()
+    return (
+        np.repeat(np.arange(len(lists)), sizes),
+        entries.field("id").to_numpy(zero_copy_only=False),
+        entries.field("score").to_numpy(zero_copy_only=False),
+    )
+
+
+def _as_lists(row, item, score, rows):
+    """Flat arrays, sorted by row, as one list a row."""
+    entries = pa.StructArray.from_arrays(
+        [pa.array(item, pa.int64()), pa.array(score, pa.float64())], ["id", "score"]
+    )
+    ends = np.searchsorted(row, np.arange(rows + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), entries)
+
+
 def ranker(broadcast):
     """The Arrow function that runs one chunk of items over batches of users."""
 
     def run(batches):
         chunk = broadcast.value
         for batch in batches:
-            for start in range(0, batch.num_rows, USERS_AT_ONCE):
-                part = batch.slice(start, USERS_AT_ONCE)
+            if not batch.num_rows:
+                continue
+            step = _users_at_once(batch, len(chunk[0]))
+            for start in range(0, batch.num_rows, step):
+                part = batch.slice(start, step)
                 users = matrix(part["features"]).astype(np.float64)
                 k = part["k"].to_numpy(zero_copy_only=False)
-                sizes = pc.list_value_length(part["best"]).to_numpy(zero_copy_only=False)
-                known = part["best"].flatten()
-                best = (
-                    np.repeat(np.arange(len(k)), sizes),
-                    known.field("id").to_numpy(zero_copy_only=False),
-                    known.field("score").to_numpy(zero_copy_only=False),
-                )
-                row, item, score = improve(users, k, best, chunk)
-                entries = pa.StructArray.from_arrays(
-                    [pa.array(item, pa.int64()), pa.array(score, pa.float64())], ["id", "score"]
-                )
-                ends = np.searchsorted(row, np.arange(len(k) + 1)).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), entries)
+                best = improve(users, k, _best_so_far(part["best"]), chunk)
                 yield pa.RecordBatch.from_arrays(
-                    [part["id"], part["k"], part["features"], lists],
+                    [part["id"], part["k"], part["features"], _as_lists(*best, len(k))],
                     ["id", "k", "features", "best"],
                 )
 

@@ -183,6 +183,18 @@ def test_far_apart_lengths(spark, monkeypatch, chunk_bytes):
     assert len(rounds) < 3
 
 
+@pytest.mark.parametrize("entries", [ranking.ENTRIES_AT_ONCE, 60, 1])
+@pytest.mark.parametrize("chunk_bytes", [topk.CHUNK_BYTES, 28 * 40])
+def test_steps_over_users_change_nothing(spark, monkeypatch, entries, chunk_bytes):
+    monkeypatch.setattr(ranking, "USERS_AT_ONCE", 7)
+    monkeypatch.setattr(ranking, "ENTRIES_AT_ONCE", entries)
+    rng = np.random.default_rng(6)
+    items = rng.normal(size=(100, 3)).astype(np.float32)
+    users = rng.normal(size=(120, 3)).astype(np.float32)
+    got = topk.top_k(vectors(spark, users), vectors(spark, items), 30, chunk_bytes=chunk_bytes)
+    assert {r.id: [i.id for i in r.best] for r in got.collect()} == brute_force(users, items, 30)
+
+
 @pytest.mark.parametrize("scale", [1e-25, 1e-20, 1e15, 1e30])
 def test_very_small_and_very_large_vectors(spark, scale):
     """Scores beyond the range of single precision, which only finds candidates."""
