@@ -52,6 +52,25 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM base
 """
 
+OP10 = """
+WITH rules(rhost, rpath, verdict) AS (VALUES
+    ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+    ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+rest AS (
+    SELECT row_number() OVER () AS r, page_id,
+        CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+    FROM pages),
+page AS (
+    SELECT r, page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest)
+SELECT page_id, host, path, rhost || rpath AS rule, coalesce(verdict, 'allow') AS verdict
+FROM page LEFT JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost))
+    AND starts_with(path, rpath)
+QUALIFY row_number() OVER (PARTITION BY r ORDER BY length(rhost || rpath) DESC) = 1
+"""
+
 ORACLES = {
+    "op10_url_filters": OP10,
     "op6_quality_rules": OP6,
 }

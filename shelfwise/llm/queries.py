@@ -1,6 +1,6 @@
 """The operators as registered queries over whole tables."""
 
-from shelfwise.llm import quality
+from shelfwise.llm import quality, urls
 from shelfwise.llm.tables import table
 
 
@@ -11,6 +11,22 @@ def op6_quality_rules(spark, folder):
         "base_failed", "kept", "removed_chars")
 
 
+RULES = """
+SELECT * FROM VALUES
+    ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+    ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+AS rules(host, path, verdict)
+"""
+
+
+def op10_url_filters(spark, folder):
+    """Which rule holds for each page, and what does it say?"""
+    rules = spark.sql(RULES)
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    return urls.verdicts(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES = {
+    "op10_url_filters": op10_url_filters,
     "op6_quality_rules": op6_quality_rules,
 }
