@@ -3,6 +3,25 @@
 BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 WORDS = rf"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
+OP2 = f"""
+WITH line AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+        generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i
+    FROM documents),
+keyed AS (
+    SELECT *, translate(trim(line, {BLANKS}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                        'abcdefghijklmnopqrstuvwxyz') AS key FROM line),
+holder AS (
+    SELECT key, min(doc_id) AS first FROM keyed WHERE length(key) >= 10
+    GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+judged AS (
+    SELECT doc_id, i, line, first IS NOT NULL AND first <> doc_id AS gone
+    FROM keyed LEFT JOIN holder USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
 OP6 = rf"""
 WITH docs AS (
     SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, source
@@ -72,5 +91,6 @@ QUALIFY row_number() OVER (PARTITION BY r ORDER BY length(rhost || rpath) DESC)
 
 ORACLES = {
     "op10_url_filters": OP10,
+    "op2_line_dedup": OP2,
     "op6_quality_rules": OP6,
 }

@@ -1,9 +1,21 @@
 """The operators as registered queries over whole tables."""
 
-from shelfwise.llm import quality, urls
+from pyspark.sql import functions as F
+
+from shelfwise.llm import line_dedup, quality, urls
 from shelfwise.llm.tables import table
 
 
+def op2_line_dedup(spark, folder):
+    """Which lines of which documents stay when each line is kept in its first document only?"""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    rows = line_dedup.apply(documents, line_dedup.keep_bitmaps(documents))
+    return rows.select(
+        "row.doc_id", F.col("lines").cast("long").alias("n_lines"),
+        F.col("n_dropped").cast("long").alias("n_dropped"),
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 def op6_quality_rules(spark, folder):
     """Which documents pass the rules on their own text and on lines shared within a source?"""
     return quality.judge(table(spark, folder, "documents")).select(
@@ -28,5 +40,6 @@ def op10_url_filters(spark, folder):
 
 QUERIES = {
     "op10_url_filters": op10_url_filters,
+    "op2_line_dedup": op2_line_dedup,
     "op6_quality_rules": op6_quality_rules,
 }
