@@ -2,10 +2,15 @@
 
 from pyspark.sql import functions as F
 
-from shelfwise.llm import line_dedup, quality, urls
+from shelfwise.llm import line_dedup, packing, quality, token_files, urls
 from shelfwise.llm.tables import table
 
 
+def op1_token_files(spark, folder):
+    """Where does each document lie in the corpus of token ids, as the written files say?"""
+    return token_files.round_trip(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op2_line_dedup(spark, folder):
     """Which lines of which documents stay when each line is kept in its first document only?"""
     documents = table(spark, folder, "documents").select("doc_id", "text")
@@ -16,6 +21,11 @@ def op2_line_dedup(spark, folder):
         F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def op3_packing(spark, folder):
+    """In which sequence, and where in it, is each piece of each document?"""
+    return packing.pack(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op6_quality_rules(spark, folder):
     """Which documents pass the rules on their own text and on lines shared within a source?"""
     return quality.judge(table(spark, folder, "documents")).select(
@@ -40,6 +50,8 @@ def op10_url_filters(spark, folder):
 
 QUERIES = {
     "op10_url_filters": op10_url_filters,
+    "op1_token_files": op1_token_files,
     "op2_line_dedup": op2_line_dedup,
+    "op3_packing": op3_packing,
     "op6_quality_rules": op6_quality_rules,
 }
