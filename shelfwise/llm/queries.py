@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from shelfwise.llm import line_dedup, packing, quality, token_files, urls
+from shelfwise.llm import language, line_dedup, packing, quality, token_files, urls
 from shelfwise.llm.tables import table
 
 
@@ -33,6 +33,13 @@ def op6_quality_rules(spark, folder):
         "base_failed", "kept", "removed_chars")
 
 
+def op8_language_id(spark, folder):
+    """Which language is each document in?"""
+    return language.identify(
+        table(spark, folder, "documents").select("doc_id", "text", "lang")
+    ).select("doc_id", "held_out", "lang_pred", "score")
+
+
 RULES = """
 SELECT * FROM VALUES
     ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
@@ -54,4 +61,5 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_packing": op3_packing,
     "op6_quality_rules": op6_quality_rules,
+    "op8_language_id": op8_language_id,
 }
