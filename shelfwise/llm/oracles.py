@@ -22,6 +22,24 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM judged GROUP BY doc_id
 """
 
+OP4 = """
+WITH RECURSIVE unit AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM unit AS a JOIN unit AS b
+    ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9),
+reach AS (
+    SELECT vec_id AS a, vec_id AS b FROM embeddings
+    UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+component AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT vec_id, (SELECT count(*) FROM link WHERE a = vec_id) AS n_links, component_id,
+    vec_id = component_id AS kept
+FROM embeddings JOIN component ON vec_id = a
+"""
+
 OP6 = rf"""
 WITH docs AS (
     SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, source
@@ -92,5 +110,6 @@ QUALIFY row_number() OVER (PARTITION BY r ORDER BY length(rhost || rpath) DESC)
 ORACLES = {
     "op10_url_filters": OP10,
     "op2_line_dedup": OP2,
+    "op4_vectors": OP4,
     "op6_quality_rules": OP6,
 }

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from shelfwise.llm import language, line_dedup, packing, quality, token_files, urls
+from shelfwise.llm import language, line_dedup, packing, quality, token_files, urls, vectors
 from shelfwise.llm.tables import table
 
 
@@ -26,6 +26,11 @@ def op3_packing(spark, folder):
     return packing.pack(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op4_vectors(spark, folder):
+    """Which vectors have near duplicates, and which group is each one in?"""
+    return vectors.near_duplicates(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+
+
 def op6_quality_rules(spark, folder):
     """Which documents pass the rules on their own text and on lines shared within a source?"""
     return quality.judge(table(spark, folder, "documents")).select(
@@ -60,6 +65,7 @@ QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_line_dedup": op2_line_dedup,
     "op3_packing": op3_packing,
+    "op4_vectors": op4_vectors,
     "op6_quality_rules": op6_quality_rules,
     "op8_language_id": op8_language_id,
 }
