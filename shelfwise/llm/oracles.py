@@ -89,6 +89,32 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM base
 """
 
+OP9 = rf"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+        lambda x: x <> '') AS w FROM documents),
+shingle AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []
+        WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]
+        END) AS s FROM words),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingle AS a JOIN shingle AS b
+    USING (s) WHERE a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+link AS (
+    SELECT a, b FROM shared JOIN size AS x ON x.doc_id = a JOIN size AS y ON y.doc_id = b
+    WHERE 100 * shared.n >= 90 * (x.n + y.n - shared.n)),
+reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
+SELECT documents.doc_id, coalesce(any_value(size.n), 0) AS n_shingles, min(b) AS component_id
+FROM documents JOIN reach ON documents.doc_id = a
+    LEFT JOIN size ON size.doc_id = documents.doc_id
+GROUP BY documents.doc_id
+"""
+
 OP10 = """
 WITH rules(rhost, rpath, verdict) AS (VALUES
     ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
@@ -112,4 +138,5 @@ ORACLES = {
     "op2_line_dedup": OP2,
     "op4_vectors": OP4,
     "op6_quality_rules": OP6,
+    "op9_jaccard": OP9,
 }

@@ -2,7 +2,16 @@
 
 from pyspark.sql import functions as F
 
-from shelfwise.llm import language, line_dedup, packing, quality, token_files, urls, vectors
+from shelfwise.llm import (
+    jaccard,
+    language,
+    line_dedup,
+    packing,
+    quality,
+    token_files,
+    urls,
+    vectors,
+)
 from shelfwise.llm.tables import table
 
 
@@ -45,6 +54,12 @@ def op8_language_id(spark, folder):
     ).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op9_jaccard(spark, folder):
+    """Which group of near-equal texts is each document in?"""
+    return jaccard.groups(table(spark, folder, "documents").select("doc_id", "text"),
+                          width=3, percent=90)
+
+
 RULES = """
 SELECT * FROM VALUES
     ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
@@ -68,4 +83,5 @@ QUERIES = {
     "op4_vectors": op4_vectors,
     "op6_quality_rules": op6_quality_rules,
     "op8_language_id": op8_language_id,
+    "op9_jaccard": op9_jaccard,
 }
