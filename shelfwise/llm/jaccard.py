@@ -34,6 +34,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.llm.batches import small
 from shelfwise.llm.components import components
 from shelfwise.llm.shingles import mixed, shingle_sets, text_bytes
 from shelfwise.llm.vectors import Forest
@@ -43,6 +44,7 @@ SAMPLE = 5_000  # documents that tell which shingles are frequent
 FREQUENT = 65_536  # shingles at most that come last in the order
 CLASSES = 32
 RUN = 4_096  # texts of one region that are compared by bounds
+MET = 500_000  # sets a task remembers to have met
 LEAF = 2_000  # texts of a cell that one task joins
 LEAF_SHINGLES = 4_000_000
 PIVOTS = 24
@@ -81,18 +83,20 @@ def binaries(rows: np.ndarray) -> pa.Array:
 
 def region_rows(batches: Iterator[pa.RecordBatch], width, percent, frequent):
     """One row a text with its set's size and fingerprint, and a row for each region it is in.
-    Texts of a batch with equal sets enter the regions once."""
+    Of texts of a task with equal sets one enters the regions."""
     late = frequent.value
-    for batch in batches:
+    met: set[tuple] = set()
+    for batch in small(batches):
         ids = batch.column(0).to_pylist()
         sets = shingle_sets(text_bytes(batch.column(1)), width)
         marks = [fingerprints(s) for s in sets]
-        first: dict[tuple, int] = {}
+        first = []
         for i, mark in enumerate(marks):
-            if ids[i] is not None and len(sets[i]):
-                j = first.setdefault(mark, i)
-                if ids[i] < ids[j]:
-                    first[mark] = i
+            if ids[i] is not None and len(sets[i]) and mark not in met:
+                met.add(mark)
+                first.append(i)
+        if len(met) > MET:
+            met.clear()
         n = np.array([len(s) for s in sets], np.int32)
         a, b = (np.array([mark[k] for mark in marks], np.int64) for k in (0, 1))
         yield pa.RecordBatch.from_arrays(
@@ -100,7 +104,7 @@ def region_rows(batches: Iterator[pa.RecordBatch], width, percent, frequent):
              pa.array(ids, pa.int64()), pa.array(n), pa.array(a), pa.array(b),
              pa.nulls(len(ids), pa.binary())], names=_NAMES)
         keys, owners = [], []
-        for i in first.values():
+        for i in first:
             shingles = sets[i]
             if len(late):
                 at = np.minimum(np.searchsorted(late, shingles), len(late) - 1)
@@ -111,7 +115,7 @@ def region_rows(batches: Iterator[pa.RecordBatch], width, percent, frequent):
         if keys:
             keys, owners = np.concatenate(keys), np.concatenate(owners)
             counts = np.zeros((len(ids), CLASSES), np.uint8)
-            for i in first.values():
+            for i in first:
                 counts[i] = class_counts(sets[i])
             known = pa.array(ids, pa.int64())
             for begin in range(0, len(keys), 100_000):
@@ -225,7 +229,7 @@ class _Region:
 
 
 def sampled_shingles(batches, width) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches):
         sets = shingle_sets(text_bytes(batch.column(0)), width)
         found, counts = np.unique(
             np.concatenate(sets or [np.empty(0, np.uint64)]), return_counts=True)
@@ -247,7 +251,7 @@ def frequent_shingles(documents: DataFrame, width: int) -> np.ndarray:
 
 def cell_sets(batches, width) -> Iterator[pa.RecordBatch]:
     """The sets of texts in cells, for the rows whose set is the one that is meant."""
-    for batch in batches:
+    for batch in small(batches):
         sets = shingle_sets(text_bytes(batch.column("text")), width)
         a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
         right = [i for i, s in enumerate(sets) if fingerprints(s) == (a[i], b[i])]
@@ -358,23 +362,26 @@ def cut_by_pivots(cells: DataFrame, sizes: DataFrame, percent: int, salt: int, l
     """The texts of large cells in the regions of pivots drawn from the cells themselves."""
     rows = cells.join(sizes, "cell")
     place = F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(1 << 30))
-    pivots = rows.where(place * F.col("texts") < F.lit(PIVOTS << 30)).select(
-        "cell", F.col("id").alias("pivot"), "shingles", "texts")
-    # Each part of a cell gets a copy of the cell's few pivots.
     parts = F.ceil(F.col("texts") / F.lit(leaf)).cast("int")
+    # Each part of a cell gets a copy of the cell's few pivots.
+    pivots = rows.where(place * F.col("texts") < F.lit(PIVOTS << 30)).select(
+        F.col("cell").alias("in_cell"), F.col("id").alias("pivot"),
+        F.col("shingles").alias("shingles"),
+        F.explode(F.sequence(F.lit(0), parts - 1)).alias("in_part"))
     rows = rows.withColumn("part", F.pmod(F.xxhash64("id", F.lit(-salt)), parts).cast("int"))
-    pivots = pivots.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
 
     def dealt(key: tuple[pa.Scalar, ...], members: pa.Table, drawn: pa.Table) -> pa.Table:
         if not members.num_rows:
             return _NO_REGIONS
         return to_regions(members, drawn, percent)
 
-    found = rows.groupBy("cell", "part").cogroup(pivots.groupBy("cell", "part")).applyInArrow(
+    found = rows.groupBy("cell", "part").cogroup(
+        pivots.groupBy("in_cell", "in_part")).applyInArrow(
         dealt, "cell long, id long, n int, shingles binary, pivot long")
     return found.select(
         F.xxhash64("cell", F.coalesce("pivot", F.lit(-1)), F.col("pivot").isNull(),
-                   F.lit(salt)).alias("cell"), "id", "n", "shingles")
+                   F.lit(salt)).alias("cell"), F.col("cell").alias("whole"), "id", "n",
+        "shingles")
 
 
 _NO_REGIONS = pa.table({
@@ -402,21 +409,28 @@ def exact_links(cells: DataFrame, percent: int, leaf=LEAF, leaf_shingles=LEAF_SH
         return rows.repartition("cell").sortWithinPartitions("cell", "id").mapInArrow(
             partial(joined_cells, percent=percent), "first long, second long")
 
-    links, before = None, None
+    links = None
     for turn in range(ROUNDS + 1):
         sizes = materialize(sized(cells), "cells")
         small = is_leaf(leaf, leaf_shingles)
         found = joined(cells.join(sizes.where(small), "cell"))
         links = found if links is None else links.unionByName(found)
         large = sizes.where(~small)
-        count, most = large.agg(F.sum("texts"), F.max("texts")).first()
-        if not count:
+        if large.isEmpty():
             return links
-        cells = cells.join(large.select("cell"), "cell", "left_semi")
-        if turn == ROUNDS or (before and count > 0.7 * before):
+        if turn == ROUNDS:
             return links.unionByName(joined(as_blocks(cells, large, leaf, leaf_shingles)))
-        before = count
-        cells = materialize(cut_by_pivots(cells, large, percent, turn + 1, leaf), "regions")
+        regions = materialize(cut_by_pivots(cells, large, percent, turn + 1, leaf), "regions")
+        # A cut that would leave most of a cell's pairs to compare is dropped.
+        pairs = regions.groupBy("whole", "cell").agg(F.count("*").alias("part")).groupBy(
+            F.col("whole").alias("cell")).agg(F.sum(F.col("part") ** 2).alias("pairs"))
+        cut = large.join(pairs, "cell").withColumn(
+            "helps", F.col("pairs") < 0.7 * F.col("texts") ** 2)
+        cut = materialize(cut, "cuts")
+        links = links.unionByName(joined(as_blocks(
+            cells, cut.where("NOT helps").drop("pairs", "helps"), leaf, leaf_shingles)))
+        cells = regions.join(cut.where("helps").select(F.col("cell").alias("whole")), "whole",
+                             "left_semi").drop("whole")
     return links
 
 

@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from shelfwise.llm.batches import small
+
 PROFILE = 400
 FIT_DOCUMENTS = 4000
 UNKNOWN = "und"
@@ -62,7 +64,7 @@ def most_frequent(codes, counts, size) -> np.ndarray:
 
 def tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """N-grams of each language, counted a batch."""
-    for batch in batches:
+    for batch in small(batches):
         by_language: dict[str, list[np.ndarray]] = {}
         for language, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             by_language.setdefault(language, []).append(ngrams(text))
@@ -118,7 +120,7 @@ def predicted(batches: Iterator[pa.RecordBatch], shared, size) -> Iterator[pa.Re
     for name in names:
         order = np.argsort(shared.value[name])
         known.append((shared.value[name][order], order))
-    for batch in batches:
+    for batch in small(batches):
         languages, scores = [], []
         for text in batch.column("text"):
             found = distances(text.as_py(), known, size) if text.is_valid and names else None

@@ -23,6 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.llm.batches import small
 from shelfwise.llm.tables import fingerprint, line_key
 from shelfwise.session import materialize
 
@@ -139,7 +140,7 @@ def keep_bitmaps(documents: DataFrame, min_chars=10) -> DataFrame:
 
 
 def laid_over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches):
         texts, keeps = batch.column("text"), batch.column("keep")
         kept = []
         for text, keep in zip(texts, keeps):
