@@ -40,6 +40,48 @@ SELECT vec_id, (SELECT count(*) FROM link WHERE a = vec_id) AS n_links, componen
 FROM embeddings JOIN component ON vec_id = a
 """
 
+OP5 = """
+WITH RECURSIVE calls AS (
+    SELECT conv_id, turn AS seq, md5(conv_id || ':' || turn) AS call_id, text,
+        ['search', 'summarise', 'translate'][(turn // 2) % 3 + 1] AS tool,
+        length(text) AS chars, length(text) - length(replace(text, '.', '')) AS sentences
+    FROM conversations WHERE role = 'user'),
+needs AS (
+    SELECT a.conv_id, a.call_id, b.call_id AS needed FROM calls AS a JOIN calls AS b
+    ON a.conv_id = b.conv_id AND b.seq IN (a.seq - 2, a.seq - 4)),
+walk AS (
+    SELECT conv_id, call_id, 0 AS level FROM calls
+    UNION SELECT needs.conv_id, needs.call_id, level + 1 FROM walk JOIN needs
+    ON needs.conv_id = walk.conv_id AND needs.needed = walk.call_id),
+levels AS (SELECT conv_id, call_id, max(level) AS level FROM walk GROUP BY conv_id, call_id),
+depends AS (
+    SELECT conv_id, call_id, string_agg('"' || needed || '"', ',' ORDER BY needed) AS ids
+    FROM needs GROUP BY conv_id, call_id),
+results AS (
+    SELECT md5(conv_id || ':' || (turn - 1)) AS call_id, min(text) AS result
+    FROM conversations WHERE role <> 'user' GROUP BY 1),
+checked AS (
+    SELECT *, CASE WHEN tool = 'search' AND chars > 400 THEN '"limit: above maximum"'
+        WHEN tool = 'summarise' AND sentences < 1 THEN '"sentences: below minimum"'
+        WHEN tool = 'translate' AND chars % 2 <> 0 AND chars % 3 = 0 THEN '"target: not allowed"'
+        WHEN tool = 'translate' AND chars % 2 <> 0 THEN '"target: missing"'
+        ELSE '' END AS errors,
+        to_json(text)::VARCHAR AS quoted
+    FROM calls)
+SELECT c.conv_id, c.call_id, c.seq, CAST(levels.level AS INTEGER) AS level, errors = '' AS valid,
+    '{"arguments":{' || CASE tool
+        WHEN 'search' THEN '"limit":' || chars || ',"query":' || quoted
+        WHEN 'summarise' THEN '"sentences":' || sentences || ',"text":' || quoted
+        ELSE CASE WHEN chars % 2 = 0 THEN '"target":"en",'
+            WHEN chars % 3 = 0 THEN '"target":"xx",' ELSE '' END || '"text":' || quoted END
+    || '},"call_id":"' || c.call_id || '","conv_id":' || c.conv_id || ',"depends_on":['
+    || coalesce(ids, '') || '],"errors":[' || errors || '],"level":' || levels.level
+    || ',"result":' || coalesce(to_json(result)::VARCHAR, 'null') || ',"tool":"' || tool || '"}'
+    AS json
+FROM checked AS c JOIN levels USING (conv_id, call_id) LEFT JOIN depends USING (conv_id, call_id)
+    LEFT JOIN results USING (call_id)
+"""
+
 OP6 = rf"""
 WITH docs AS (
     SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, source
@@ -137,6 +179,7 @@ ORACLES = {
     "op10_url_filters": OP10,
     "op2_line_dedup": OP2,
     "op4_vectors": OP4,
+    "op5_tool_calls": OP5,
     "op6_quality_rules": OP6,
     "op9_jaccard": OP9,
 }

@@ -9,8 +9,10 @@ from shelfwise.llm import (
     packing,
     quality,
     token_files,
+    tool_calls,
     urls,
     vectors,
+    viterbi,
 )
 from shelfwise.llm.tables import table
 
@@ -40,6 +42,45 @@ def op4_vectors(spark, folder):
     return vectors.near_duplicates(table(spark, folder, "embeddings").select("vec_id", "embedding"))
 
 
+SCHEMAS = {
+    "search": {
+        "required": ["query", "limit"],
+        "properties": {"query": {"type": "string"}, "limit": {"type": "integer", "maximum": 400}}},
+    "summarise": {
+        "required": ["text", "sentences"],
+        "properties": {"text": {"type": "string"},
+                       "sentences": {"type": "integer", "minimum": 1}}},
+    "translate": {
+        "required": ["text", "target"],
+        "properties": {"text": {"type": "string"},
+                       "target": {"type": "string", "enum": ["en", "fr"]}}},
+}
+
+
+def op5_tool_calls(spark, folder):
+    """Every user turn as a tool call with the next turn as its result: linked and checked.
+
+    The tables hold no tool calls, so turns stand for them. A call needs those two and four
+    turns before it.
+    """
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    key = "md5(concat(conv_id, ':', {}))".format
+    users = turns.where("role = 'user'").select(
+        "conv_id", F.expr(key("turn")).alias("call_id"), F.col("turn").alias("seq"), "text",
+        F.expr("element_at(array('search', 'summarise', 'translate'),"
+               " CAST((turn div 2) % 3 AS INT) + 1)").alias("tool"),
+        F.expr(f"array({key('turn - 2')}, {key('turn - 4')})").alias("depends_on"))
+    calls = users.withColumn("arguments", F.expr("""CASE tool
+        WHEN 'search' THEN to_json(struct(text AS query, length(text) AS limit))
+        WHEN 'summarise' THEN to_json(struct(
+            text, length(text) - length(replace(text, '.', '')) AS sentences))
+        ELSE to_json(struct(CASE WHEN length(text) % 2 = 0 THEN 'en'
+                            WHEN length(text) % 3 = 0 THEN 'xx' END AS target, text)) END"""))
+    results = turns.where("role <> 'user'").select(
+        F.expr(key("turn - 1")).alias("call_id"), F.col("text").alias("result"))
+    return tool_calls.linked(calls, results, SCHEMAS)
+
+
 def op6_quality_rules(spark, folder):
     """Which documents pass the rules on their own text and on lines shared within a source?"""
     return quality.judge(table(spark, folder, "documents")).select(
@@ -47,6 +88,11 @@ def op6_quality_rules(spark, folder):
         "base_failed", "kept", "removed_chars")
 
 
+def op7_viterbi(spark, folder):
+    """How many pieces has each document, which ones, and do they decode to its text?"""
+    return viterbi.encode(table(spark, folder, "documents").select("doc_id", "text")).drop("ids")
+
+
 def op8_language_id(spark, folder):
     """Which language is each document in?"""
     return language.identify(
@@ -81,7 +127,9 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_packing": op3_packing,
     "op4_vectors": op4_vectors,
+    "op5_tool_calls": op5_tool_calls,
     "op6_quality_rules": op6_quality_rules,
+    "op7_viterbi": op7_viterbi,
     "op8_language_id": op8_language_id,
     "op9_jaccard": op9_jaccard,
 }
