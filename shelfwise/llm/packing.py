@@ -30,7 +30,7 @@ from shelfwise.session import materialize
 
 TIERS = (2048, 1024, 512, 256)
 STEP_TOKENS = 1 << 16
-HELD = 8_000_000
+HELD = 4_000_000
 LEVEL = 1 << 62
 
 

@@ -12,14 +12,14 @@ import os
 import re
 import unicodedata
 from functools import lru_cache
+from struct import pack
 
 import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 TOKENIZER = "word_bpe_49k.json"
-MEMORY_WORDS = 400_000
-BATCH_CHARS = 4_000_000
+MEMORY_WORDS = 300_000
 
 
 def default_path() -> str:
@@ -42,6 +42,23 @@ def _classes():
     return {name: re.escape("".join(members)) for name, members in kinds.items()}
 
 
+class Words(dict):
+    """Ids of words as bytes; the library is asked for those not met before."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.whole = tokenizer
+        self.model = tokenizer.model
+
+    def __missing__(self, word):
+        if word.isascii():  # such bytes stand for themselves
+            ids = [token.id for token in self.model.tokenize(word)]
+        else:
+            ids = self.whole.encode(word, add_special_tokens=False).ids
+        code = self[word] = pack(f"<{len(ids)}H", *ids)
+        return code
+
+
 class WordEncoder:
     """Ids of whole texts as arrays of unsigned 16-bit integers."""
 
@@ -49,52 +66,45 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.words = Tokenizer.from_file(path)
-        self.words.normalizer = None  # texts are in lower case already when words are cut
         kinds = _classes()
+        single = kinds["N"] + kinds["PS"]
+        self.apart = [(c, f" {c} ") for c in re.sub(r"\\(.)", r"\1", single, flags=re.S)]
         self.other = re.compile(f"[^ \t\n\r\x0b\x0c{''.join(kinds.values())}]")
+        self.runs = re.compile(f"'|[{kinds['PS']}][{kinds['PS']}]")
         self.cut = re.compile(
             f"'s|'t|'re|'ve|'m|'ll|'d|[{kinds['L']}]+|[{kinds['N']}]|[{kinds['PS']}]+").findall
-        self.special = "|".join(
-            re.escape(t.content) for t in self.whole.get_added_tokens_decoder().values())
-        self.special = re.compile(self.special or "(?!)")
-        self.memory: dict[str, bytes] = {}
+        names = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, names)) or "(?!)")
+        self.memory = Words(Tokenizer.from_file(path))
+        self.memory.whole.normalizer = None  # texts are in lower case when words are cut
+
+    def words(self, text: str) -> list[str]:
+        """A text in lower case, cut as the tokenizer does."""
+        text = text.lower()
+        if self.runs.search(text):
+            return self.cut(text)
+        for c, spaced in self.apart:
+            if c in text:
+                text = text.replace(c, spaced)
+        return text.split()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text; the batch is cut so that its words never outgrow the memory much."""
-        out: list[np.ndarray] = []
-        begin = 0
-        while begin < len(texts):
-            end, size = begin, 0
-            while end < len(texts) and (end == begin or size + len(texts[end]) <= BATCH_CHARS):
-                size += len(texts[end])
-                end += 1
-            out += self._encode(texts[begin:end])
-            begin = end
-        return out
-
-    def _encode(self, texts):
-        cut = [None if self.other.search(text) or self.special.search(text)
-               else self.cut(text.lower()) for text in texts]
-        memory = self.memory
-        new = [word for word in dict.fromkeys(w for words in cut if words for w in words)
-               if word not in memory]
-        if len(memory) + len(new) > MEMORY_WORDS:
-            memory.clear()
-            new = list(dict.fromkeys(w for words in cut if words for w in words))
-        for begin in range(0, len(new), 10_000):
-            some = new[begin:begin + 10_000]
-            for word, code in zip(some, self.words.encode_batch_fast(
-                    some, add_special_tokens=False)):
-                memory[word] = np.array(code.ids, np.uint16).tobytes()
-        get = memory.__getitem__
-        result = []
-        for text, words in zip(texts, cut):
-            if words is None:
-                ids = self.whole.encode_batch_fast([text], add_special_tokens=False)[0].ids
-                result.append(np.array(ids, np.uint16))
-            else:
-                result.append(np.frombuffer(b"".join(map(get, words)), np.uint16))
+        memory, result = self.memory, []
+        ids = memory.__getitem__
+        for text in texts:
+            if self.other.search(text) or self.special.search(text):
+                code = self.whole.encode(text, add_special_tokens=False).ids
+                result.append(np.array(code, np.uint16))
+                continue
+            words = self.words(text)
+            for begin in range(0, max(len(words), 1), MEMORY_WORDS):
+                if len(memory) > MEMORY_WORDS:
+                    memory.clear()
+                part = words if len(words) <= MEMORY_WORDS else words[begin:begin + MEMORY_WORDS]
+                code = b"".join(map(ids, part))
+                result.append(np.frombuffer(code, np.uint16))
+                if begin:
+                    result[-2:] = [np.concatenate(result[-2:])]
         return result
 
 
