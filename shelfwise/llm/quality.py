@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.tables import BLANKS, fingerprint, line_key, words
+from shelfwise.session import materialize
 
 SYMBOLS = "#*$%&|<>"
 
@@ -47,6 +48,21 @@ def identity(host):
             F.col(host).isNull().alias("no_host"))
 
 
+# Windows of three words by hash, each with its place; equal ones are neighbours once sorted.
+# Words and windows are bound to names, so that no optimiser rule makes them more than once.
+WORD_COUNTS = """
+element_at(transform(array(words), w -> struct(
+    size(w) AS n_words,
+    element_at(transform(
+        array(sort_array(transform(if(size(w) > 2, sequence(0, size(w) - 3), array()),
+            i -> struct(xxhash64(w[i], w[i + 1], w[i + 2]) AS h, i AS i)))),
+        s -> size(array_distinct(flatten(transform(
+            filter(s, (x, i) -> (i > 0 AND s[i - 1].h = x.h)
+                OR (i + 1 < size(s) AND s[i + 1].h = x.h)),
+            x -> array(x.i, x.i + 1, x.i + 2)))))), 1) AS n_repeat_words)), 1)
+"""
+
+
 def text_counts(documents: DataFrame, host="source", limits: Limits = Limits()) -> DataFrame:
     """Counts of each document's own text, one row a row, beside what identifies it."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -56,21 +72,11 @@ def text_counts(documents: DataFrame, host="source", limits: Limits = Limits())
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).alias("n_symbols"),
         F.filter(F.split(text, "\n"),
                  lambda line: F.btrim(line, F.lit(BLANKS)) != "").alias("lines"))
-    # Windows of three words by hash, each with its place; equal ones are neighbours once sorted.
-    windows = parted.select("*", F.size("words").alias("n_words"), F.expr(
-        "sort_array(transform(if(size(words) > 2, sequence(0, size(words) - 3), array()),"
-        " i -> struct(xxhash64(words[i], words[i + 1], words[i + 2]) AS h, i AS i)))"
-    ).alias("windows"))
-    repeated = F.expr(
-        "size(array_distinct(flatten(transform(filter(windows, (x, i) ->"
-        " (i > 0 AND windows[i - 1].h = x.h)"
-        " OR (i + 1 < size(windows) AND windows[i + 1].h = x.h)),"
-        " x -> array(x.i, x.i + 1, x.i + 2)))))")
-    counted = windows.select(
-        *DOCUMENT, "chars", F.col("n_words").cast("long"), F.col("word_chars").cast("long"),
-        F.col("n_symbols").cast("long"),
+    counted = parted.withColumn("counts", F.expr(WORD_COUNTS)).select(
+        *DOCUMENT, "chars", F.col("counts.n_words").cast("long").alias("n_words"),
+        F.col("word_chars").cast("long"), F.col("n_symbols").cast("long"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        repeated.cast("long").alias("n_repeat_words"))
+        F.col("counts.n_repeat_words").cast("long").alias("n_repeat_words"))
     return counted.withColumn(
         "base_failed", (F.col("n_words") < limits.min_words)
         | (100 * F.col("n_repeat_words") > limits.repeat_percent * F.col("n_words")))
@@ -115,29 +121,29 @@ def with_removed(rows: DataFrame, removed: DataFrame) -> DataFrame:
 
 
 def judge(documents: DataFrame, host="source", limits: Limits = Limits()) -> DataFrame:
-    """The counts of every document, ``removed_chars``, ``base_failed`` and ``kept``. No text is
-    shuffled, only hashes of lines and counts."""
-    removed = removed_lines(documents, host, limits).drop("removed_keys").withColumn(
-        "removed_keys", F.lit(None).cast("string"))
-    rows = with_removed(text_counts(documents, host, limits), removed).drop("removed_keys")
+    """The counts of every document, ``removed_chars`` and ``removed_keys``, ``base_failed`` and
+    ``kept``. No text is shuffled, only hashes of lines and counts are."""
+    rows = with_removed(text_counts(documents, host, limits),
+                        removed_lines(documents, host, limits))
     gone = F.coalesce(F.col("removed_chars"), F.lit(0))
     depleted = 100 * (F.col("chars") - gone) < limits.kept_percent * F.col("chars")
     return rows.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        gone.alias("removed_chars"), "base_failed",
-        (~F.col("base_failed") & ~depleted).alias("kept"), "print", "host", "no_host")
+        *DOCUMENT, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        gone.alias("removed_chars"), "removed_keys", "base_failed",
+        (~F.col("base_failed") & ~depleted).alias("kept"))
 
 
 def clean(documents: DataFrame, host="source", limits: Limits = Limits()) -> DataFrame:
     """The documents that pass, without the lines above the limit; all columns are kept, and
     ``n_chars`` is counted anew where a text changes."""
-    inner = documents.select(F.struct(*(F.col(f"`{name}`") for name in documents.columns))
-                             .alias("row"), *identity(host), "text")
-    verdict = judge(documents, host, limits).where("kept").select(*DOCUMENT).distinct()
-    verdict = verdict.select(*(F.col(name).alias(f"v_{name}") for name in DOCUMENT))
-    passed = inner.join(
-        verdict, [F.col(name).eqNullSafe(F.col(f"v_{name}")) for name in DOCUMENT], "left_semi")
-    found = with_removed(passed, removed_lines(documents, host, limits))
+    judged = materialize(
+        judge(documents, host, limits).select(*DOCUMENT, "removed_keys", "kept"), "judged")
+    passed = judged.where("kept").groupBy(*DOCUMENT).agg(
+        F.max("removed_keys").alias("removed_keys"))
+    own = F.struct(*(F.col(f"`{name}`") for name in documents.columns if name != "text"))
+    rows = documents.select(own.alias("row"), "text", *identity(host))
+    same = [rows[name].eqNullSafe(passed[name]) for name in DOCUMENT]
+    found = rows.join(passed, same).select("row", "text", "removed_keys")
     left = F.filter(F.split("text", "\n"), lambda line: ~F.array_contains(
         F.col("removed_keys"), F.struct(F.xxhash64(line_key(line)).alias("k1"),
                                         F.xxhash64(F.lit(1), line_key(line)).alias("k2"))))
