@@ -4,9 +4,8 @@ from pyspark.sql import Column, functions as F
 
 from shelfwise.schemas import EXPORT_ITEMS, LIST_LENGTH
 
-# How a printed list shows the two fields of an entry, and the time format.
-PRINTED_PRODUCT = r"product_id_int=(\d+), rating="
-PRINTED_RATING = r"product_id_int=\d+, rating=(-?[\d.]+(?:[eE][-+]?\d+)?)"
+# How a printed list shows an entry, and the time format.
+PRINTED_ENTRY = r"product_id_int=(\d+), rating=(-?[\d.]+(?:[eE][-+]?\d+)?)"
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
@@ -18,22 +17,21 @@ def answer_items(recs) -> Column:
     ))
 
 
-def export_items(recs, length: int = LIST_LENGTH) -> Column:
-    """The first ``length`` entries as exported: ``(product_id, predicted_rating)``."""
-    return F.transform(F.slice(recs, 1, length), lambda x: F.struct(
+def export_items(recs) -> Column:
+    """Entries as exported, all that were ranked: ``(product_id, predicted_rating)``."""
+    return F.transform(recs, lambda x: F.struct(
         x["product_id_int"].alias("product_id"),
         x["rating"].cast("double").alias("predicted_rating"),
     ))
 
 
 def printed_items(text, length: int = LIST_LENGTH) -> Column:
-    """Entries of a list that an older export printed as text, signs and exponents included."""
-    products = F.regexp_extract_all(text, F.lit(PRINTED_PRODUCT), F.lit(1))
-    ratings = F.regexp_extract_all(text, F.lit(PRINTED_RATING), F.lit(1))
-    pairs = F.slice(F.arrays_zip(products.alias("p"), ratings.alias("r")), 1, length)
-    return F.transform(pairs, lambda x: F.struct(
-        x["p"].cast("int").alias("product_id"),
-        x["r"].cast("double").alias("predicted_rating"),
+    """Entries of a list that an older export printed as text, signs and exponents included.
+    Entries are taken whole, so one without a number for a rating leaves the others as they are."""
+    entries = F.regexp_extract_all(text, F.lit(PRINTED_ENTRY), F.lit(0))
+    return F.transform(F.slice(entries, 1, length), lambda x: F.struct(
+        F.regexp_extract(x, PRINTED_ENTRY, 1).cast("int").alias("product_id"),
+        F.regexp_extract(x, PRINTED_ENTRY, 2).cast("double").alias("predicted_rating"),
     )).cast(EXPORT_ITEMS)
 
 

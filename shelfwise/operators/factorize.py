@@ -15,8 +15,10 @@ class AlsSettings:
     """Settings of one fit.
 
     ``ratings_per_block`` sizes the blocks once the default number of ten would make them
-    too large. ``max_blocks`` bounds them again, because grouping the ratings keeps a small
-    buffer for each pair of a user block and an item block in every task.
+    too large, unless ``n_blocks`` gives their number. Grouping the ratings keeps a small buffer
+    for each pair of a user block and an item block in every task, so a fit that would need more
+    than ``max_blocks`` fails before it starts; larger blocks, or a larger limit for larger
+    executors, are the caller's choice.
     ``checkpoint_interval`` bounds what a lost executor costs.
     """
 
@@ -27,9 +29,16 @@ class AlsSettings:
     checkpoint_interval: int = 5
     ratings_per_block: int = 2_000_000
     max_blocks: int = 1000
+    n_blocks: int | None = None
 
     def blocks(self, ratings: int) -> int:
-        return min(max(10, math.ceil(ratings / self.ratings_per_block)), self.max_blocks)
+        needed = self.n_blocks or max(10, math.ceil(ratings / self.ratings_per_block))
+        if needed > self.max_blocks:
+            raise ValueError(
+                f"{ratings} ratings need {needed} blocks and max_blocks is {self.max_blocks}: "
+                "raise it, or ratings_per_block"
+            )
+        return needed
 
     def estimator(self, ratings: int) -> ALS:
         blocks = self.blocks(ratings)

@@ -38,13 +38,16 @@ def convert_job(spark: SparkSession, csv_path: str, parquet_path: str, **options
 def clean_job(
     spark: SparkSession, raw_path: str, out_path: str, *, file_format: str = "csv",
     on_bad_rating: str = "fail", csv_path: str | None = None, multi_line: bool = True,
+    on_malformed: str = "fail",
 ) -> Row:
     """Clean ratings to Parquet, and to CSV if asked for; returns the audit.
 
     The raw files are read once: ratings and audit both come from the counted triples.
     """
     with job_folder(spark), sized_shuffles(spark, raw_path):
-        raw = read_reviews(spark, raw_path, file_format, multi_line=multi_line)
+        raw = read_reviews(
+            spark, raw_path, file_format, multi_line=multi_line, on_malformed=on_malformed
+        )
         groups = materialize(count_copies(raw, on_bad_rating), "groups")
         sinks.write_parquet(ratings_of(groups), out_path)
         if csv_path:
@@ -55,11 +58,13 @@ def clean_job(
 def train_job(
     spark: SparkSession, ratings_path: str, root: str, *, file_format: str = "parquet",
     settings: AlsSettings = AlsSettings(), split: str = "random", top: int | None = None,
+    multi_line: bool = True,
 ) -> Row:
     """Index, encode, split, fit, evaluate and publish; with ``top``, all lists as well."""
     with job_folder(spark), sized_shuffles(spark, ratings_path):
         if file_format == "csv":
-            ratings = materialize(read_ratings_csv(spark, ratings_path), "ratings")
+            ratings = materialize(read_ratings_csv(
+                spark, ratings_path, multi_line=multi_line), "ratings")
         else:
             ratings = read_ratings(spark, ratings_path)
         users, products = index_columns(ratings, "user_id", "product_id")
@@ -90,33 +95,40 @@ def decoded_lists(recs: DataFrame, user_map: DataFrame, product_map: DataFrame)
     """
     counts = key_counts(long_form(recs), "product_id_int")
     total = recs.agg(F.sum(F.size("recommendations"))).first()[0] or 0
-    named = recs.join(user_map.select("user_id_int", "user_id"), "user_id_int")
-    return spread_lookup(
+    named = recs.join(user_map.select("user_id_int", "user_id"), "user_id_int", "left")
+    found = spread_lookup(
         long_form(named, "user_id"),
         product_map.select("product_id_int", "product_id"),
         "product_id_int",
         hot_keys(counts, "product_id_int", total),
         ["user_id", "rank"],
-    ).select("user_id", "rank", "product_id", "score")
+    )
+
+    def named_id(column):
+        unknown = F.raise_error(F.lit(f"a list has an index without a {column} in the map"))
+        return F.coalesce(column, unknown.cast("string")).alias(column)
+
+    return found.select(named_id("user_id"), "rank", named_id("product_id"), "score")
 
 
 def recommend_all_job(spark: SparkSession, root: str, out_path: str, k: int = LIST_LENGTH) -> int:
     """Lists of all users of the current version, as Parquet, JSON, CSV and decoded rows,
     and both id maps; returns the number of users."""
     published = load_published(spark, root)
-    with job_folder(spark):
-        recs = materialize(
-            recommend_all(published.model, k), "recommendations", f"{out_path}/recommendations"
-        )
+    lists = f"{out_path}/recommendations"
+    with job_folder(spark), sized_shuffles(spark, f"{root}/version={published.version}"):
+        recs = materialize(recommend_all(published.model, k), "recommendations", lists)
     users, products = published.user_map, published.product_map
-    together(
-        spark,
-        lambda: sinks.write_recs_json(recs, f"{out_path}/recommendations_json"),
-        lambda: sinks.write_recs_csv(recs, f"{out_path}/recommendations_csv"),
-        lambda: sinks.write_parquet(decoded_lists(recs, users, products), f"{out_path}/decoded"),
-        lambda: sinks.write_map(users, f"{out_path}/user_map"),
-        lambda: sinks.write_map(products, f"{out_path}/product_map"),
-    )
+    with sized_shuffles(spark, lists):
+        together(
+            spark,
+            lambda: sinks.write_recs_json(recs, f"{out_path}/recommendations_json"),
+            lambda: sinks.write_recs_csv(recs, f"{out_path}/recommendations_csv"),
+            lambda: sinks.write_parquet(
+                decoded_lists(recs, users, products), f"{out_path}/decoded"),
+            lambda: sinks.write_map(users, f"{out_path}/user_map"),
+            lambda: sinks.write_map(products, f"{out_path}/product_map"),
+        )
     return recs.count()
 
 
@@ -141,10 +153,12 @@ def serve_job(
     spark: SparkSession, requests_path: str, root: str, answers_path: str, log_path: str,
     batch: str,
 ) -> DataFrame:
-    """Answer a table of requests with the current version."""
+    """Answer a table of requests with the current version. Names of batches have a prefix of
+    their own, so none is that of a stream's batch."""
     requests = spark.read.parquet(requests_path)
     model = load_published(spark, root).model
-    return serve(requests, model, answers_path, log_path, batch)
+    with sized_shuffles(spark, requests_path):
+        return serve(requests, model, answers_path, log_path, f"job-{batch}")
 
 
 def answer_job(
@@ -153,5 +167,6 @@ def answer_job(
 ) -> str:
     """Answer one user with the current version: the JSON document a caller gets."""
     model = load_published(spark, root).model
-    answers = serve(one_request(spark, user_id, n), model, answers_path, log_path, uuid4().hex)
+    answers = serve(one_request(spark, user_id, n), model, answers_path, log_path,
+                    f"one-{uuid4().hex}")
     return sinks.answer_documents(answers).first().document

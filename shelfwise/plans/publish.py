@@ -7,7 +7,7 @@ old version until the new one is whole, and never none.
 from dataclasses import dataclass
 
 from pyspark.ml.recommendation import ALSModel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from shelfwise.operators.factorize import load_model, save_model
 from shelfwise.schemas import PRODUCT_MAP, RECOMMENDATIONS, USER_MAP
@@ -45,10 +45,12 @@ def current_version(spark: SparkSession, root: str) -> int:
 def publish(
     spark: SparkSession, root: str, model: ALSModel, user_map: DataFrame,
     product_map: DataFrame, *, recs: DataFrame | None = None, settings=None,
-    test_rows=None, predicted_rows=None, rmse=None, keep: int = KEEP,
+    test_rows=None, predicted_rows=None, rmse=None, keep: int = KEEP, min_age: float = 0,
 ) -> int:
-    """Write a new version, make it the current one and drop all but the last ``keep``."""
-    version = current_version(spark, root) + 1
+    """Write a new version, make it the current one and drop all but the last ``keep``. None is
+    dropped that was still the current one ``min_age`` seconds ago, so that jobs which loaded it
+    can go on reading."""
+    version = claimed_version(spark, root)
     path = f"{root}/version={version}"
     save_model(model, f"{path}/model")
     user_map.write.mode("overwrite").parquet(f"{path}/user_map")
@@ -59,21 +61,45 @@ def publish(
     spark.createDataFrame([row], CURRENT).withColumn(
         "published_at", F.current_timestamp()
     ).coalesce(1).write.mode("append").parquet(f"{root}/current")
-    retired = version - keep
-    if retired > 0:
+    for retired in retired_versions(spark, root, version, keep, min_age):
         delete_path(spark, f"{root}/version={retired}")
     return version
 
 
-def kept_versions(spark: SparkSession, root: str) -> list[int]:
-    """Versions whose files are still there: the current one and its backups."""
-    latest = current_version(spark, root)
+def claimed_version(spark: SparkSession, root: str) -> int:
+    """A version number that no other publisher gets: whoever creates its file has it."""
+    version = current_version(spark, root)
+    files = spark._jvm.org.apache.hadoop.fs.Path(root).getFileSystem(
+        spark._jsc.hadoopConfiguration()
+    )
+    while True:
+        version += 1
+        if files.createNewFile(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/claims/{version}")):
+            return version
+
+
+def retired_versions(spark, root, version, keep, min_age) -> list[int]:
+    """Versions beyond the last ``keep`` that were replaced at least ``min_age`` seconds ago and
+    still have files; one small row a version is read."""
+    replaced = F.lead("published_at").over(Window.orderBy("version"))
+    old = versions(spark, root).select("version", replaced.alias("replaced_at")).where(
+        (F.col("version") <= version - keep)
+        & (F.col("replaced_at") <= F.current_timestamp() - F.make_dt_interval(secs=F.lit(min_age)))
+    )
     return [
-        v for v in range(max(1, latest - KEEP), latest + 1)
-        if path_exists(spark, f"{root}/version={v}")
+        row.version for row in old.collect()
+        if path_exists(spark, f"{root}/version={row.version}")
     ]
 
 
+def kept_versions(spark: SparkSession, root: str) -> list[int]:
+    """Versions whose files are still there: the current one and its backups."""
+    return sorted(
+        row.version for row in versions(spark, root).select("version").collect()
+        if path_exists(spark, f"{root}/version={row.version}")
+    )
+
+
 def load_published(spark: SparkSession, root: str, version: int | None = None) -> Published:
     """The current version, or an earlier one that is kept."""
     version = version or current_version(spark, root)

@@ -29,11 +29,6 @@ RATINGS = T.StructType([
     T.StructField("rating", T.DoubleType(), False),
 ])
 
-ENCODED = T.StructType(RATINGS.fields + [
-    T.StructField("user_id_int", T.IntegerType(), False),
-    T.StructField("product_id_int", T.IntegerType(), False),
-])
-
 USER_MAP = T.StructType([
     T.StructField("user_id", T.StringType(), False),
     T.StructField("user_id_int", T.IntegerType(), False),

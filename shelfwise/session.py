@@ -20,7 +20,6 @@ SETTINGS = {
 # Shuffled bytes a byte of stored input may become, and what one task should read of them.
 EXPANSION = 4
 SHUFFLE_BYTES = 128 << 20
-MAX_SHUFFLE_PARTITIONS = 200_000
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 _LOCAL_ROOTS: dict[str, str] = {}
@@ -81,7 +80,7 @@ def sized_shuffles(spark: SparkSession, path: str):
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     matches = files.globStatus(folder) or []
     size = sum(files.getContentSummary(match.getPath()).getLength() for match in matches)
-    needed = min(size * EXPANSION // SHUFFLE_BYTES, MAX_SHUFFLE_PARTITIONS)
+    needed = size * EXPANSION // SHUFFLE_BYTES
     before = spark.conf.get(INITIAL_PARTITIONS, None)
     if needed > int(before or spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set(INITIAL_PARTITIONS, str(needed))

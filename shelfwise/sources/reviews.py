@@ -14,28 +14,35 @@ def blank_to_null(df: DataFrame, na_tokens=NA_TOKENS) -> DataFrame:
 
 
 def read_raw_reviews(
-    spark: SparkSession, path: str, *, na_tokens=NA_TOKENS, multi_line: bool = True
+    spark: SparkSession, path: str, *, na_tokens=NA_TOKENS, multi_line: bool = True,
+    on_malformed: str = "fail",
 ) -> DataFrame:
     """Raw review CSV with a header; every column is text, so ids keep leading zeros.
 
     Quoted line breaks need ``multi_line``, which makes a file the unit of parallelism.
     Pass ``False`` for files known to have none, and Spark splits large files.
+    Records with too few or too many fields fail the read, unless ``on_malformed`` is
+    ``"drop"``. All columns are parsed, since otherwise such records go unnoticed.
     """
+    modes = {"fail": "FAILFAST", "drop": "DROPMALFORMED"}
     raw = (
         spark.read.option("header", True)
         .option("inferSchema", False)
         .option("enforceSchema", False)
         .option("multiLine", multi_line)
         .option("escape", '"')
+        .option("mode", modes[on_malformed])
+        .option("columnPruning", False)
         .csv(path)
     )
     return blank_to_null(raw, na_tokens)
 
 
-def read_ratings_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Cleaned rating CSV as written by :func:`shelfwise.sources.sinks.write_csv`."""
+def read_ratings_csv(spark: SparkSession, path: str, *, multi_line: bool = True) -> DataFrame:
+    """Cleaned rating CSV as written by :func:`shelfwise.sources.sinks.write_csv`; line breaks in
+    ids need ``multi_line``, as in :func:`read_raw_reviews`."""
     return spark.read.schema(RATINGS).csv(
-        path, header=True, enforceSchema=False, escape='"', mode="FAILFAST"
+        path, header=True, enforceSchema=False, escape='"', mode="FAILFAST", multiLine=multi_line
     )
 
 

@@ -11,7 +11,11 @@ def write_parquet(df: DataFrame, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, header=True, escape='"')
+    """CSV that keeps blanks at the ends of a text, which may tell ids apart."""
+    df.write.mode("overwrite").csv(
+        path, header=True, escape='"', ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
 
 
 def preview(df: DataFrame, *order: str, rows: int = 5) -> DataFrame:

@@ -1,6 +1,7 @@
 """Answer requests as their files arrive."""
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
@@ -18,18 +19,27 @@ def request_stream(spark: SparkSession, path: str, files_per_batch: int = 1000)
     )
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the stream with this checkpoint; made when it starts for the first time."""
+    path = f"{checkpoint}/serving"
+    spark.createDataFrame([(uuid4().hex,)], "id string").write.mode("ignore").parquet(path)
+    return spark.read.parquet(path).first().id
+
+
 def serve_stream(
     requests: DataFrame, model: ALSModel, answers_path: str, log_path: str, checkpoint: str,
     stored: Callable[[], DataFrame | None] | None = None, trigger=None,
 ):
     """Start answering; the default trigger takes all files present and stops.
 
-    A batch that is repeated after a failure has the same number and replaces its own
-    folders, so every request has one answer and the log one entry for it. The products are
-    made ready once for all batches.
+    A batch that is repeated after a failure has the same name and replaces its own
+    folders, so every request has one answer and the log one entry for it. The name has the
+    stream's own id, which is kept with its checkpoint, so streams and batch jobs may share
+    folders. The products are made ready once for all batches.
     """
 
     spark = requests.sparkSession
+    name = stream_id(spark, checkpoint)
     products = catalogue(model.itemFactors)
 
     def answer_batch(batch: DataFrame, number: int) -> None:
@@ -39,7 +49,8 @@ def serve_stream(
             batch.write.parquet(path)
             table = spark.read.schema(REQUESTS).parquet(path)
             serve(
-                table, model, answers_path, log_path, str(number), stored, products=products
+                table, model, answers_path, log_path, f"stream-{name}-{number}", stored,
+                products=products,
             )
 
     return (

@@ -34,12 +34,12 @@ def items(rows):
             for r in rows}
 
 
-def test_exports_keep_signs_small_numbers_and_ten_entries(spark, lists, tmp_path):
+def test_exports_keep_signs_small_numbers_and_all_entries(spark, lists, tmp_path):
     as_json, as_csv = str(tmp_path / "json"), str(tmp_path / "csv")
     sinks.write_recs_json(lists, as_json)
     sinks.write_recs_csv(lists, as_csv)
     expected = items(sinks.export_table(lists).collect())
-    assert len(expected[2]) == 10 and expected[1][1] == (6, -0.5)
+    assert len(expected[2]) == 12 and expected[1][1] == (6, -0.5)
     assert expected[1][0] == (5, pytest.approx(1.5e-05))
     assert items(sinks.read_recs_json(spark, as_json).collect()) == expected
     assert items(sinks.read_recs_csv(spark, as_csv).collect()) == expected

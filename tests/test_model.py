@@ -41,7 +41,9 @@ def test_settings_and_blocks():
     assert (settings.rank, settings.max_iter, settings.reg_param) == (10, 10, 0.1)
     assert settings.blocks(6_700_000) == 10
     assert settings.blocks(100_000_000) == 50
-    assert settings.blocks(10**12) == settings.max_blocks
+    with pytest.raises(ValueError, match="max_blocks"):
+        settings.blocks(10**12)
+    assert AlsSettings(n_blocks=40).blocks(10**12) == 40
 
 
 def test_report_names_every_setting(spark):
