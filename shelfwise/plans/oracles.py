@@ -206,6 +206,18 @@ ORACLES = {
                round(dot, 6) AS score
         FROM embeddings u CROSS JOIN embeddings v
         QUALIFY rank <= 5""",
+    "recs_match_builtin": _with("listed", "ranks", select="""
+        SELECT user_id_int, rank, true AS same_score FROM listed JOIN ranks ON rank <= n_items"""),
+    "recs_export_lengths": _with("listed", select="""
+        SELECT user_id_int, n AS n_parquet, n AS n_json, n AS n_csv, n AS n_decoded
+        FROM (SELECT user_id_int, CAST(least(20, n_items) AS INTEGER) AS n FROM listed)"""),
+    "ratings_csv_awkward": _with("ratings", select="""
+        SELECT ' ' || user_id || CASE WHEN ends_with(user_id, '7') THEN chr(10) || '"x'
+               ELSE ' ' END AS user_id, product_id, rating FROM ratings"""),
+    "serve_two_streams": _with("answers", select="""
+        SELECT user_id, 2 * count(*) AS n_answers,
+               2 * count(*) FILTER (source = 'model') AS n_logged
+        FROM answers GROUP BY user_id"""),
     "serve_batch": ANSWER_SHAPE,
     "serve_stream": ANSWER_SHAPE,
     "serve_fallback": _with("answers", select="""

@@ -120,6 +120,16 @@ def cleaning_audit(spark, folder):
     return clean.cleaning_audit(fixture.reviews(spark, folder))
 
 
+@query
+def ratings_csv_awkward(spark, folder):
+    """Ids with blanks at their ends and line breaks, by way of CSV."""
+    odd = F.when(F.col("user_id").endswith("7"), F.lit("\n\"x")).otherwise(" ")
+    rows = ratings(spark, folder).withColumn("user_id", F.concat(F.lit(" "), "user_id", odd))
+    path = scratch_path(spark, "ratings_csv")
+    sinks.write_csv(rows, path)
+    return review_files.read_ratings_csv(spark, path)
+
+
 @query
 def ratings_csv_roundtrip(spark, folder):
     path = scratch_path(spark, "ratings_csv")
@@ -458,6 +468,26 @@ def serve_stream(spark, folder):
     return _answer_shape(streaming.read_answers(spark, paths["out"]))
 
 
+@query
+def serve_two_streams(spark, folder):
+    """Two streams with checkpoints of their own into the same folders, the first one started
+    again: every request is answered once by each."""
+    paths = {name: scratch_path(spark, name) for name in ("requests", "out", "log")}
+    fixture.requests(spark, folder).write.parquet(paths["requests"])
+    states = [scratch_path(spark, "state") for _ in range(2)]
+    for state in (*states, states[0]):
+        streaming.serve_stream(
+            streaming.request_stream(spark, paths["requests"]), model(spark, folder, 1),
+            paths["out"], paths["log"], state, stored=lambda: None,
+        ).awaitTermination()
+    logged = serve.read_log(spark, paths["log"]).groupBy("user_id").agg(
+        F.count("*").alias("n_logged"))
+    answered = streaming.read_answers(spark, paths["out"]).groupBy("user_id").agg(
+        F.count("*").alias("n_answers"))
+    return answered.join(logged, "user_id", "left").select(
+        "user_id", "n_answers", F.coalesce("n_logged", F.lit(0)).alias("n_logged"))
+
+
 # --- jobs ---------------------------------------------------------------------------------
 
 
@@ -517,6 +547,42 @@ def recommend_all_export(spark, folder):
     return spark.read.parquet(f"{out}/decoded").select("user_id", "rank")
 
 
+@query
+def recs_export_lengths(spark, folder):
+    """Lists of twenty through all four exports of one run."""
+    root, out = scratch_path(spark, "published"), scratch_path(spark, "exports")
+    users = id_map(spark, folder, "user_id")
+    publish.publish(
+        spark, root, model(spark, folder, 0.8), users, id_map(spark, folder, "product_id"))
+    jobs.recommend_all_job(spark, root, out, k=20)
+    size = F.size("recommendations")
+    exports = {
+        "n_parquet": sinks.read_recs(spark, f"{out}/recommendations").select("user_id_int", size),
+        "n_json": sinks.read_recs_json(spark, f"{out}/recommendations_json").select(
+            "user_id_int", size),
+        "n_csv": sinks.read_recs_csv(spark, f"{out}/recommendations_csv").select(
+            "user_id_int", size),
+        "n_decoded": spark.read.parquet(f"{out}/decoded").join(users, "user_id").groupBy(
+            "user_id_int").agg(F.count("*").cast("int")),
+    }
+    lengths = users.select("user_id_int")
+    for name, rows in exports.items():
+        lengths = lengths.join(rows.toDF("user_id_int", name), "user_id_int", "left")
+    return lengths.where("n_parquet IS NOT NULL")
+
+
+@query
+def recs_match_builtin(spark, folder):
+    """Every entry of every list beside Spark's own: the same score at the same rank."""
+    fitted = model(spark, folder, 0.8)
+    own = topk.long_form(topk.recommend_all(fitted, LIST_LENGTH))
+    other = topk.long_form(materialize(fitted.recommendForAllUsers(LIST_LENGTH), "builtin"))
+    other = other.select("user_id_int", "rank", F.col("score").alias("builtin"))
+    return own.join(other, ["user_id_int", "rank"], "full").select(
+        "user_id_int", "rank", (F.abs(F.col("score") - F.col("builtin")) < 1e-5).alias(
+            "same_score"))
+
+
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
     """What should each customer be shown? Raw reviews to decoded lists, end to end."""
     return jobs.decoded_lists(

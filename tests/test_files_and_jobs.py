@@ -212,3 +212,39 @@ def test_answer_documents(spark):
     assert found == {"user_id": 3, "recommendations": [{"product_id": 5, "score": 1.5}],
                      "timestamp": "2024-01-01T00:00:00.000000"}
     assert empty == {"user_id": 4, "recommendations": [], "message": EMPTY_MESSAGE}
+
+
+def test_printed_entries_without_a_number_leave_the_others(spark):
+    from shelfwise.functions.recommendations import printed_items
+
+    text = ", ".join(f"Row(product_id_int={i}, rating={r})" for i, r in enumerate(
+        ("4.5", "nan", "-0.5", "inf", "1.5e-05")))
+    (row,) = spark.createDataFrame([(f"[{text}]",)], "t string").select(
+        printed_items("t").alias("items")).collect()
+    assert [tuple(x) for x in row["items"]] == [(0, 4.5), (2, -0.5), (4, 1.5e-05)]
+
+
+def test_malformed_records_fail_unless_dropped(spark, tmp_path):
+    from shelfwise.sources.reviews import read_raw_reviews
+
+    path = tmp_path / "raw.csv"
+    path.write_text('reviewerID,asin,overall\nA,p,1\nB,"q\nr",2\nC,s\nD,t,3,extra\n')
+    with pytest.raises(Exception, match="MALFORMED|Malformed|malformed"):
+        read_raw_reviews(spark, str(path)).collect()
+    kept = read_raw_reviews(spark, str(path), on_malformed="drop").collect()
+    assert [row.asin for row in kept] == ["p", "q\nr"]
+
+
+def test_retired_versions_go_by_number_and_age(spark, tmp_path):
+    from shelfwise.plans import publish
+
+    root = str(tmp_path / "models")
+    for version in range(1, 5):
+        assert publish.claimed_version(spark, root) == version
+        (tmp_path / "models" / f"version={version}").mkdir(parents=True)
+        spark.createDataFrame([(version, "", None, 0, 0, 0.0, {})], publish.CURRENT).selectExpr(
+            "version", "path", "current_timestamp() AS published_at", "test_rows",
+            "predicted_rows", "rmse", "settings").write.mode("append").parquet(f"{root}/current")
+    assert publish.retired_versions(spark, root, 4, 2, 0) == [1, 2]
+    assert publish.retired_versions(spark, root, 4, 2, 3600) == []
+    assert publish.kept_versions(spark, root) == [1, 2, 3, 4]
