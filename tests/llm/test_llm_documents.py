@@ -20,7 +20,7 @@ BLANKS = " \t\n\x0b\f\r"
 
 def frame(spark, rows):
     return spark.createDataFrame(
-        [(i, text, lang, source, len(text) if text else None, "x")
+        [(i, text, lang, source, None if text is None else len(text), "x")
          for i, text, lang, source in rows], SCHEMA)
 
 
