@@ -30,9 +30,11 @@ def run(spark, folder):
         seconds[name] = round(time.perf_counter() - start, 3)
         return result
 
-    ratings = step("join_clean", lambda: materialize(
-        clean.clean_reviews(fixture.reviews(spark, folder)), "ratings"))
-    step("cleaning_audit", lambda: clean.cleaning_audit(fixture.reviews(spark, folder)).first())
+    # As the job does it: one pass over the reviews for both the ratings and the audit.
+    groups = step("join_count_copies", lambda: materialize(
+        clean.count_copies(fixture.reviews(spark, folder)), "groups"))
+    ratings = step("clean", lambda: materialize(clean.ratings_of(groups), "ratings"))
+    step("cleaning_audit", lambda: clean.audit_of(groups).first())
     users, products = step(
         "index", lambda: encode.index_columns(ratings, "user_id", "product_id"))
     encoded = step("encode", lambda: materialize(
