@@ -87,7 +87,8 @@ def profiles(documents: DataFrame, fit_documents=FIT_DOCUMENTS, size=PROFILE) ->
         "doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL").where(~held_out())
     known = labelled.groupBy("lang").agg(F.count("*").alias("known"))
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / F.lit(1 << 20)
-    sample = labelled.join(known, "lang").where(
+    # A row a language, as the profiles are; texts stay where they are read.
+    sample = labelled.join(F.broadcast(known), "lang").where(
         place * F.col("known") < fit_documents).select("lang", "text")
     counts = sample.mapInArrow(tallied, "lang string, code long, n long")
     counts = counts.groupBy("lang", "code").agg(F.sum("n").alias("n"))
