@@ -40,9 +40,10 @@ from shelfwise.llm.shingles import mixed, shingle_sets, text_bytes
 from shelfwise.llm.vectors import Forest
 from shelfwise.session import materialize
 
-SAMPLE = 5_000  # documents that tell which shingles are frequent
-FREQUENT = 65_536  # shingles at most that come last in the order
-CLASSES = 32
+SAMPLE = 10_000  # documents that tell which shingles are frequent
+FREQUENT = 262_144  # shingles at most that come last in the order
+CLASSES = (32, 256)  # fewest and most classes whose shingles are counted
+MARGIN = 1.2  # unrelated texts should differ in them by so many times the bound
 RUN = 4_096  # texts of one region that are compared by bounds
 MET = 500_000  # sets a task remembers to have met
 LEAF = 2_000  # texts of a cell that one task joins
@@ -50,6 +51,7 @@ LEAF_SHINGLES = 4_000_000
 PIVOTS = 24
 NEAR = 0.5  # texts farther than this from all pivots make a region of their own
 ROUNDS = 4
+SLOTS = 1 << 20  # numbers a broadcast holds at most
 
 ROWS = "kind int, key long, id long, n int, a long, b long, counts binary"
 _SALT = np.uint64(0x5851F42D4C957F2D)
@@ -66,19 +68,25 @@ def fingerprints(shingles: np.ndarray) -> tuple[int, int]:
             int(mixed(shingles + _SALT).sum(dtype=np.uint64).view(np.int64)))
 
 
-def class_counts(shingles: np.ndarray) -> np.ndarray:
-    """How many shingles are in each class; full at 255, which keeps differences bounds."""
-    counts = np.bincount((mixed(shingles ^ _SALT) >> np.uint64(32)) % np.uint64(CLASSES),
-                         minlength=CLASSES)
-    return np.minimum(counts, 255).astype(np.uint8)
+def class_counts(shingles: np.ndarray, percent: int) -> bytes:
+    """How many shingles are in each class; full at 255, which keeps differences bounds. Counts
+    of unrelated texts of ``n`` differ by about ``1.13 * sqrt(n * classes)``."""
+    share = (100 - percent) / (100 + percent) * 2
+    wanted = (MARGIN * share / 1.13) ** 2 * len(shingles)
+    classes = CLASSES[0]
+    while classes < min(wanted, CLASSES[1]):
+        classes *= 2
+    counts = np.bincount(((mixed(shingles ^ _SALT) >> np.uint64(32)) % np.uint64(classes)).astype(
+        np.int64), minlength=classes)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
-def binaries(rows: np.ndarray) -> pa.Array:
-    """A matrix of bytes as a binary column, one value a row."""
-    n, width = rows.shape
-    offsets = np.arange(n + 1, dtype=np.int32) * width
-    return pa.Array.from_buffers(pa.binary(), n, [
-        None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(rows))])
+def folded(counts: np.ndarray, classes: int) -> np.ndarray:
+    """Rows of counts in fewer classes."""
+    if counts.shape[1] == classes:
+        return counts.astype(np.int16)
+    parts = counts.reshape(len(counts), -1, classes).sum(1, dtype=np.int32)
+    return np.minimum(parts, 255).astype(np.int16)
 
 
 def region_rows(batches: Iterator[pa.RecordBatch], width, percent, frequent):
@@ -114,10 +122,10 @@ def region_rows(batches: Iterator[pa.RecordBatch], width, percent, frequent):
             owners.append(np.full(len(keys[-1]), i))
         if keys:
             keys, owners = np.concatenate(keys), np.concatenate(owners)
-            counts = np.zeros((len(ids), CLASSES), np.uint8)
-            for i in first:
-                counts[i] = class_counts(sets[i])
             known = pa.array(ids, pa.int64())
+            chosen = set(first)
+            counts = pa.array([class_counts(s, percent) if i in chosen else None
+                               for i, s in enumerate(sets)], pa.binary())
             for begin in range(0, len(keys), 100_000):
                 some = slice(begin, begin + 100_000)
                 size = len(keys[some])
@@ -125,7 +133,7 @@ def region_rows(batches: Iterator[pa.RecordBatch], width, percent, frequent):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.ones(size, np.int32)), pa.array(keys[some].view(np.int64)),
                      known.take(pa.array(owners[some])), pa.array(n[owners[some]]), blank, blank,
-                     binaries(counts[owners[some]])], names=_NAMES)
+                     counts.take(pa.array(owners[some]))], names=_NAMES)
 
 
 _NAMES = [column.split()[0] for column in ROWS.split(",")]
@@ -177,8 +185,16 @@ class _Region:
         table = pa.Table.from_batches(batches).combine_chunks()
         self.table = table
         self.key, self.id, self.n = (table.column(i).to_numpy() for i in (1, 2, 3))
-        column = table.column(6).combine_chunks()
-        self.counts = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, CLASSES)
+        counts = table.column(6).to_pylist()
+        self.width = np.array([len(c) for c in counts])
+        # Rows of one number of classes make a matrix; ``place`` is the row in it.
+        self.place = np.empty(len(counts), np.int64)
+        self.counts = {}
+        for width in np.unique(self.width).tolist():
+            at = np.flatnonzero(self.width == width)
+            self.place[at] = np.arange(len(at))
+            self.counts[width] = np.frombuffer(
+                b"".join([counts[i] for i in at]), np.uint8).reshape(-1, width)
         self.runs = np.cumsum(np.concatenate([[False], self.key[1:] != self.key[:-1]]))
 
     def batches(self, begin):
@@ -186,10 +202,24 @@ class _Region:
 
     def part(self, begin, end):
         part = object.__new__(_Region)
-        for name in ("key", "id", "n", "counts", "runs"):
+        for name in ("key", "id", "n", "width", "place", "runs"):
             setattr(part, name, getattr(self, name)[begin:end])
+        part.counts = self.counts
         return part
 
+    def gaps(self, left, right):
+        """Least number of shingles that only one of two texts has, for each pair."""
+        out = np.zeros(len(left), np.int64)
+        for a in np.unique(self.width[left]).tolist():
+            for b in np.unique(self.width[right]).tolist():
+                at = np.flatnonzero((self.width[left] == a) & (self.width[right] == b))
+                if len(at):
+                    classes = min(a, b)
+                    one = folded(self.counts[a][self.place[left[at]]], classes)
+                    two = folded(self.counts[b][self.place[right[at]]], classes)
+                    out[at] = np.abs(one - two).sum(1, dtype=np.int64)
+        return out
+
     def links(self, percent):
         """Links that connect: neighbours of long runs, and pairs that may be close enough."""
         where = np.searchsorted(self.runs, self.runs)
@@ -210,7 +240,7 @@ class _Region:
             apart = root[label[left]] != root[label[right]]
             left, right = left[apart], right[apart]
             if len(left):
-                gap = np.abs(self.counts[left].astype(np.int16) - self.counts[right]).sum(1)
+                gap = self.gaps(left, right)
                 both = self.n[left].astype(np.int64) + self.n[right]
                 may = gap * (100 + percent) <= (100 - percent) * both
                 pairs = np.unique(np.stack([label[left[may]], label[right[may]]]), axis=1)
@@ -458,6 +488,11 @@ def groups(documents: DataFrame, width=5, percent=80, leaf=LEAF, leaf_shingles=L
     cells = materialize(cells, "members")
     several = cells.groupBy("cell").agg(F.count("*").alias("texts")).where("texts > 1")
     cells = cells.join(several.select("cell"), "cell", "left_semi")
+    # Most texts are in no cell; they are left out before the join shuffles any text. The slots
+    # are at most ``SLOTS`` numbers, and a text that shares one by chance goes in the join.
+    slots = cells.select(F.pmod(F.xxhash64("id"), F.lit(SLOTS)).alias("slot")).distinct()
+    texts = texts.withColumn("slot", F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS))).join(
+        F.broadcast(slots), "slot", "left_semi").drop("slot")
     found = texts.join(cells, texts["doc_id"] == cells["id"]).select(
         "cell", "id", "a", "b", "text").mapInArrow(
         partial(cell_sets, width=width), "cell long, id long, n int, shingles binary")
