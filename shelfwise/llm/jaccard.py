@@ -45,6 +45,7 @@ FREQUENT = 262_144  # shingles at most that come last in the order
 CLASSES = (32, 256)  # fewest and most classes whose shingles are counted
 MARGIN = 1.2  # unrelated texts should differ in them by so many times the bound
 RUN = 4_096  # texts of one region that are compared by bounds
+BUFFER = 50_000  # rows of regions a task looks at together
 MET = 500_000  # sets a task remembers to have met
 LEAF = 2_000  # texts of a cell that one task joins
 LEAF_SHINGLES = 4_000_000
@@ -144,6 +145,7 @@ def candidate_links(batches: Iterator[pa.RecordBatch], percent) -> Iterator[pa.R
     ``id`` that connect the texts no bound tells apart."""
     waiting: list[pa.RecordBatch] = []
     size = 0
+    chained = False  # the first run waiting has rows that are chained already
     for batch in batches:
         kinds = batch.column(0)
         texts = batch.filter(pa.compute.equal(kinds, 0))
@@ -154,20 +156,23 @@ def candidate_links(batches: Iterator[pa.RecordBatch], percent) -> Iterator[pa.R
             continue
         waiting.append(regions)
         size += regions.num_rows
-        if size < 50_000:
+        if size < BUFFER:
             continue
         rows = _Region(waiting)
-        # The last run may go on, unless it is long, when its end is chained to the next part.
+        # The last run may go on. If it fills the buffer it is chained, and so is all that is to
+        # come of it: texts on either side of a cut are never compared by bounds.
         cut = int(np.searchsorted(rows.runs, rows.runs[-1]))
-        if cut == 0:
+        if cut:
+            yield from rows.part(0, cut).links(percent, chained)
+            chained = False
+        else:
             cut = len(rows.key) - 1
-        yield from rows.part(0, cut).links(percent)
+            chained = True
+            yield _links(rows.id[:-1], rows.id[1:])
         waiting = rows.batches(cut)
         size = len(rows.key) - cut
-        if size and rows.runs[cut] == rows.runs[cut - 1]:
-            yield _links(rows.id[cut - 1:cut], rows.id[cut:cut + 1])
     if waiting:
-        yield from _Region(waiting).links(percent)
+        yield from _Region(waiting).links(percent, chained)
 
 
 def _links(first, second) -> pa.RecordBatch:
@@ -220,15 +225,19 @@ class _Region:
                     out[at] = np.abs(one - two).sum(1, dtype=np.int64)
         return out
 
-    def links(self, percent):
-        """Links that connect: neighbours of long runs, and pairs that may be close enough."""
+    def links(self, percent, chained=False):
+        """Links that connect: neighbours of long runs, and pairs that may be close enough. The
+        first run is the rest of a long one if ``chained``."""
         where = np.searchsorted(self.runs, self.runs)
         length = np.searchsorted(self.runs, self.runs, "right") - where
-        long = np.flatnonzero((length[:-1] > RUN) & (self.runs[:-1] == self.runs[1:]))
+        islong = length > RUN
+        if chained:
+            islong |= self.runs == self.runs[0]
+        long = np.flatnonzero(islong[:-1] & (self.runs[:-1] == self.runs[1:]))
         ids, label = np.unique(self.id, return_inverse=True)
         forest = Forest(len(ids))
         root = np.arange(len(ids))
-        some = np.flatnonzero((length <= RUN) & (length > 1))
+        some = np.flatnonzero(~islong & (length > 1))
         step = 1
         while len(some):
             some = some[some + step < where[some] + length[some]]

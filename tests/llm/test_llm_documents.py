@@ -126,6 +126,31 @@ def test_groups_equal_all_pairs(spark, texts, monkeypatch, width, percent, leaf,
     assert Counter(map(tuple, rows)) == reference_groups(texts, width, percent)
 
 
+@pytest.mark.parametrize("tail", [1, 2, 3, 9])
+def test_runs_longer_than_the_buffer_are_chained_to_their_end(monkeypatch, tail):
+    """Texts on either side of a cut meet, however few rows of a run are left after it."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(jaccard, "BUFFER", 20)
+    monkeypatch.setattr(jaccard, "RUN", 10)
+    rng = np.random.default_rng(tail)
+    keys = [1] * 5 + [2] * (58 + tail) + [3] * 30 + [4] * 3
+    rows = []
+    for i, key in enumerate(keys):  # all texts of a run unrelated, so no bound ties them
+        shingles = rng.integers(0, 1 << 60, 40).astype(np.uint64)
+        rows.append((1, key, i, 40, None, None, jaccard.class_counts(shingles, 80)))
+    schema = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("id", pa.int64()),
+                        ("n", pa.int32()), ("a", pa.int64()), ("b", pa.int64()),
+                        ("counts", pa.binary())])
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(
+        zip(*rows[k:k + 20]), schema)], schema=schema) for k in range(0, len(rows), 20)]
+    links = [link for batch in jaccard.candidate_links(iter(batches), 80)
+             for link in zip(batch["key"].to_pylist(), batch["id"].to_pylist())]
+    label = components(range(len(keys)), links)
+    for key in (2, 3):
+        assert len({label[i] for i, k in enumerate(keys) if k == key}) == 1, key
+
+
 def test_groups_of_nothing(spark):
     assert jaccard.groups(frame(spark, [])).count() == 0
 
