@@ -397,11 +397,13 @@ def is_leaf(leaf, leaf_shingles):
     return (F.col("texts") <= leaf) & (F.col("shingles_in") <= leaf_shingles)
 
 
-def cut_by_pivots(cells: DataFrame, sizes: DataFrame, percent: int, salt: int, leaf) -> DataFrame:
+def cut_by_pivots(cells: DataFrame, sizes: DataFrame, percent: int, salt: int, leaf,
+                  leaf_shingles) -> DataFrame:
     """The texts of large cells in the regions of pivots drawn from the cells themselves."""
     rows = cells.join(sizes, "cell")
     place = F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(1 << 30))
-    parts = F.ceil(F.col("texts") / F.lit(leaf)).cast("int")
+    parts = F.greatest(F.ceil(F.col("texts") / F.lit(leaf)),
+                       F.ceil(F.col("shingles_in") / F.lit(leaf_shingles))).cast("int")
     # Each part of a cell gets a copy of the cell's few pivots.
     pivots = rows.where(place * F.col("texts") < F.lit(PIVOTS << 30)).select(
         F.col("cell").alias("in_cell"), F.col("id").alias("pivot"),
@@ -459,7 +461,8 @@ def exact_links(cells: DataFrame, percent: int, leaf=LEAF, leaf_shingles=LEAF_SH
             return links
         if turn == ROUNDS:
             return links.unionByName(joined(as_blocks(cells, large, leaf, leaf_shingles)))
-        regions = materialize(cut_by_pivots(cells, large, percent, turn + 1, leaf), "regions")
+        regions = materialize(cut_by_pivots(
+            cells, large, percent, turn + 1, leaf, leaf_shingles), "regions")
         # A cut that would leave most of a cell's pairs to compare is dropped.
         pairs = regions.groupBy("whole", "cell").agg(F.count("*").alias("part")).groupBy(
             F.col("whole").alias("cell")).agg(F.sum(F.col("part") ** 2).alias("pairs"))

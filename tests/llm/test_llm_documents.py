@@ -155,6 +155,24 @@ def test_groups_of_nothing(spark):
     assert jaccard.groups(frame(spark, [])).count() == 0
 
 
+def test_cells_of_few_long_texts_are_cut_in_parts(spark, monkeypatch):
+    """Forty texts of 100 shingles are too many shingles for one task, if not too many texts."""
+    whole = jaccard.to_regions
+
+    def bounded(members, pivots, percent):
+        assert members.num_rows <= 20
+        return whole(members, pivots, percent)
+
+    monkeypatch.setattr(jaccard, "to_regions", bounded)
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 1 << 60, (20, 100)).astype(np.uint64)
+    rows = [(1, i, 100, base[i // 2].tobytes()) for i in range(40)]  # pairs of equal texts
+    cells = spark.createDataFrame(rows, "cell long, id long, n int, shingles binary")
+    links = jaccard.exact_links(cells, 80, leaf=2000, leaf_shingles=500).collect()
+    label = components(range(40), [tuple(link) for link in links])
+    assert label == {i: i - i % 2 for i in range(40)}
+
+
 def test_regions_bring_close_texts_together():
     import pyarrow as pa
 
