@@ -9,13 +9,14 @@ threshold; the part of a neighbour's offset that points at one plane is much sho
 subspace distances a visitor; the stored error of each code makes that filter lossless, and what
 passes is checked by the cosine in double precision.
 
-The quantiser is fitted on a bounded sample (``FIT``), the lists hold all vectors. Equal vectors
+Vectors link with those of their own length only, so each length has a quantiser and lists of its
+own. It is fitted on a bounded sample (``FIT``), the lists hold all vectors. Equal vectors
 count as one with a weight, lists are cut into blocks of at most ``BLOCK`` vectors, and a task
 gives out the number of links of a visitor in a block and a spanning forest of the links, never
 all pairs.
 
-Cases: vectors that are null, empty, zero, of another length than most, or hold null or
-non-finite components link with nothing; rows that share a ``vec_id`` are one vector for the
+Cases: vectors that are null, empty, zero, or hold null or non-finite components link with
+nothing; rows that share a ``vec_id`` are one vector for the
 components, and have the larger number of links; a null ``vec_id`` gets a null
 component; an empty table gives an empty result; other columns play no part.
 """
@@ -25,6 +26,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,12 +40,12 @@ CODES = 64
 SPREAD = 3.0
 
 
-def valid_rows(batches: Iterator[pa.RecordBatch], dim: int, kind: str) -> Iterator[pa.RecordBatch]:
+def valid_rows(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[pa.RecordBatch]:
     """The vectors that can link, as bytes."""
     for batch in batches:
         ids, out = [], []
         for vec_id, vector in zip(batch.column(0).to_pylist(), batch.column(1)):
-            if not vector.is_valid or len(vector) != dim or vector.values.null_count:
+            if not vector.is_valid or not len(vector) or vector.values.null_count:
                 continue
             values = vector.values.to_numpy().astype(kind)
             if np.isfinite(values).all() and values.any():
@@ -60,6 +62,14 @@ def points(column, kind: str) -> np.ndarray:
     return rows / np.sqrt(np.einsum("ij,ij->i", rows, rows))[:, None]
 
 
+def by_length(column, kind: str):
+    """For each length in a column its rows' numbers and points."""
+    lengths = pa.compute.binary_length(column).to_numpy() // np.dtype(kind).itemsize
+    for dim in np.unique(lengths).tolist():
+        at = np.flatnonzero(lengths == dim)
+        yield dim, at, points(column.take(pa.array(at)), kind)
+
+
 def k_means(sample, k, rounds, rng):
     """Plain Lloyd iterations on a sample; empty clusters keep their place."""
     centres = sample[rng.choice(len(sample), min(k, len(sample)), replace=False)].copy()
@@ -117,11 +127,24 @@ class Quantiser:
         return home, ~(plane > reach) | (np.arange(far.shape[1]) == home[:, None])
 
 
+class Quantisers:
+    """One for each length of vectors; their lists are numbered on from one to the next."""
+
+    def __init__(self, of_length: dict[int, Quantiser]):
+        self.of_length, self.first, number = of_length, {}, 0
+        for dim, quantiser in of_length.items():
+            self.first[dim] = number
+            number += len(quantiser.centres)
+
+
 def at_home(batches, shared, kind) -> Iterator[pa.RecordBatch]:
     """The list each vector lies in."""
     for batch in batches:
         if batch.num_rows:
-            home = nearest(points(batch.column("vector"), kind), shared.value.centres)
+            home = np.empty(batch.num_rows, np.int64)
+            for dim, at, rows in by_length(batch.column("vector"), kind):
+                centres = shared.value.of_length[dim].centres
+                home[at] = nearest(rows, centres) + shared.value.first[dim]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(home.astype(np.int32))],
                 names=[*batch.schema.names, "list"])
@@ -132,12 +155,14 @@ def visiting(batches, shared, kind, reach) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for begin in range(0, batch.num_rows, 512):
             some = batch.slice(begin, 512)
-            home, visit = shared.value.visits(points(some.column("vector"), kind), reach)
-            rows, lists = np.nonzero(visit)
-            some = some.take(pa.array(rows))
-            yield pa.RecordBatch.from_arrays(
-                [*some.columns, pa.array(lists.astype(np.int32)), pa.array(home[rows] == lists)],
-                names=[*some.schema.names, "list", "home"])
+            for dim, at, found in by_length(some.column("vector"), kind):
+                home, visit = shared.value.of_length[dim].visits(found, reach[dim])
+                rows, lists = np.nonzero(visit)
+                taken = some.take(pa.array(at[rows]))
+                numbers = (lists + shared.value.first[dim]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [*taken.columns, pa.array(numbers), pa.array(home[rows] == lists)],
+                    names=[*taken.schema.names, "list", "home"])
 
 
 class Forest:
@@ -164,14 +189,14 @@ def links_in_block(key, group: pa.Table, shared, kind, threshold) -> pa.Table:
     """Links of the visitors of one block with its vectors: counts a visitor, and a forest. The
     block's own vectors visit in the first share only."""
     number, _, share = (x.as_py() for x in key)
-    quantiser = shared.value
     ids = group.column("rep").to_numpy()
     weights = group.column("weight").to_numpy()
     rows = points(group.column("vector").combine_chunks(), kind)
     home = group.column("home").to_numpy()
     held = np.flatnonzero(home)
     guests = np.arange(len(ids)) if share == 0 else np.flatnonzero(~home)
-    centre = quantiser.centres[number]
+    quantiser = shared.value.of_length[rows.shape[1]]
+    centre = quantiser.centres[number - shared.value.first[rows.shape[1]]]
     codes, error = quantiser.encode(rows[held] - centre)
     radius = np.sqrt(2 - 2 * threshold)
     counts = np.zeros(len(ids), np.int64)
@@ -206,11 +231,16 @@ def fitted(vectors: DataFrame, total: int, kind: str, lists: int | None) -> Quan
     return Quantiser(sample, lists or max(1, min(int(np.sqrt(total)), len(sample) // 8)))
 
 
-def found_links(vectors: DataFrame, total, kind, dim, threshold, spread, lists, block):
-    """Rows ``rep, n`` with numbers of links to add up, and rows ``rep, other`` of a forest."""
-    quantiser = fitted(vectors, total, kind, lists)
-    shared = vectors.sparkSession.sparkContext.broadcast(quantiser)  # bounded by the sample
-    reach = min(1.0, spread / np.sqrt(dim)) * np.sqrt(2 - 2 * threshold) + 1e-6
+def found_links(vectors: DataFrame, totals, kind, threshold, spread, lists, block):
+    """Rows ``rep, n`` with numbers of links to add up, and rows ``rep, other`` of a forest.
+    ``totals`` has the number of vectors of each length."""
+    size = np.dtype(kind).itemsize
+    quantisers = Quantisers({
+        dim: fitted(vectors.where(F.length("vector") == dim * size), total, kind, lists)
+        for dim, total in totals.items()})
+    shared = vectors.sparkSession.sparkContext.broadcast(quantisers)  # bounded by the samples
+    reach = {dim: min(1.0, spread / np.sqrt(dim)) * np.sqrt(2 - 2 * threshold) + 1e-6
+             for dim in totals}
     names = "rep long, weight long, vector binary, list int"
     own = vectors.select("rep", "weight", "vector")
     held = materialize(own.mapInArrow(partial(at_home, shared=shared, kind=kind), names), "lists")
@@ -249,17 +279,15 @@ def near_duplicates(embeddings: DataFrame, threshold=0.9, spread=SPREAD, lists=N
     rows = embeddings.select(
         F.col("vec_id").cast("long").alias("vec_id"),
         F.col("embedding").cast(f"array<{'float' if single else 'double'}>").alias("embedding"))
-    dim = rows.where("size(embedding) > 0").groupBy(F.size("embedding").alias("dim")).agg(
-        F.count("*").alias("n")).orderBy(F.desc("n"), "dim").first()
-    dim = dim.dim if dim else 1
     valid = materialize(rows.where("vec_id IS NOT NULL").mapInArrow(
-        partial(valid_rows, dim=dim, kind=kind), "vec_id long, vector binary"), "valid-vectors")
+        partial(valid_rows, kind=kind), "vec_id long, vector binary"), "valid-vectors")
     vectors = materialize(valid.groupBy("vector").agg(
         F.min("vec_id").alias("rep"), F.count("*").alias("weight")), "vectors")
-    total = vectors.count()
-    if total:
+    counts = vectors.groupBy(F.length("vector").alias("bytes")).count().orderBy("bytes").collect()
+    totals = {row.bytes // np.dtype(kind).itemsize: row["count"] for row in counts}
+    if totals:
         found = materialize(found_links(
-            vectors, total, kind, dim, threshold, spread, lists, block), "vector-links")
+            vectors, totals, kind, threshold, spread, lists, block), "vector-links")
     else:
         found = rows.sparkSession.createDataFrame([], "rep long, n long, other long")
     members = valid.join(vectors, "vector").select("vec_id", "rep", "weight")

@@ -42,6 +42,38 @@ def test_vectors_equal_all_pairs(spark, block):
     assert vectors.near_duplicates(table.where("vec_id < 0")).count() == 0
 
 
+def brute_force(rows, threshold=0.9):
+    """Number of links and smallest connected id of each row, within equal lengths."""
+    counts, label = [], list(range(len(rows)))
+    near = []
+    unit = [np.array(v) / np.linalg.norm(v) for v in rows]
+    for i, v in enumerate(unit):
+        near.append([j for j, w in enumerate(unit)
+                     if j != i and len(v) == len(w) and v @ w >= threshold])
+        counts.append(len(near[-1]))
+    changed = True
+    while changed:
+        changed = False
+        for i, others in enumerate(near):
+            low = min([label[i], *(label[j] for j in others)])
+            for j in [i, *others]:
+                changed |= label[j] != low
+                label[j] = low
+    return {i: (counts[i], label[i], label[i] == i) for i in range(len(rows))}
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_vectors_of_each_length_link_with_their_own(spark, kind):
+    rng = np.random.default_rng(11)
+    rows = []
+    for dim, n in ((16, 90), (8, 60), (32, 40), (3, 2), (1, 3)):
+        centres = rng.normal(size=(8, dim))
+        rows += [list(map(float, centres[k % 8 if dim > 3 else 0] * (1 + k))) for k in range(n)]
+    table = spark.createDataFrame(list(enumerate(rows)), f"vec_id long, embedding array<{kind}>")
+    found = vectors.near_duplicates(table).collect()
+    assert {r.vec_id: tuple(r)[1:] for r in found} == brute_force(rows)
+
+
 def test_vectors_recall_on_pairs_at_the_threshold(spark):
     rng = np.random.default_rng(9)
     a = rng.normal(size=(400, 64))
