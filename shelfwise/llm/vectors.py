@@ -2,10 +2,12 @@
 
 Vectors of length one are assigned to the nearest of a set of coarse centroids; what is left after
 subtracting it (the residual) is cut into subspaces and stored as one code byte each. A vector
-visits every list whose cell its neighbours may lie in: the distance to the plane between its own
-cell and another one must not exceed ``reach``. That bound is exact for the full radius of the
-threshold; the part of a neighbour's offset that points at one plane is much shorter, and
-``reach`` is ``spread`` standard deviations of it. In a list, distances come from one table of
+visits every list for which the distance to the plane between its own cell and that one does not
+exceed ``reach``, half the radius of the threshold. Two linked vectors of different cells lie on
+either side of the plane between those, and their distances to it add up to no more than the radius,
+so the nearer one visits the other: no link is missed. That visit alone counts the link, for
+both of them. A ``spread`` narrows ``reach`` to so many standard deviations of a neighbour's
+offset, and may miss links. In a list, distances come from one table of
 subspace distances a visitor; the stored error of each code makes that filter lossless, and what
 passes is checked by the cosine in double precision.
 
@@ -37,7 +39,7 @@ FIT = 20_000
 BLOCK = 2_048
 SUBSPACES = 16
 CODES = 64
-SPREAD = 3.0
+PAIRS = 32_768  # whose distances to planes are computed at once
 
 
 def valid_rows(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[pa.RecordBatch]:
@@ -117,14 +119,21 @@ class Quantiser:
         """Squared distances from residuals to all codewords: row, subspace, code."""
         return [squared(residuals[:, cut], book) for cut, book in zip(self.cuts, self.books)]
 
-    def visits(self, rows, reach):
-        """For each point its own list, and a row of lists to visit."""
+    def planes(self, rows, own, other):
+        """For each point how far it is from the plane between two lists, its own first. A row's
+        result depends on that row alone, so all tasks find the same."""
+        step = self.centres[other] - self.centres[own]
+        middle = (self.centres[other] + self.centres[own]) / 2
+        length = np.sqrt((step ** 2).sum(1))
+        return ((middle - rows) * step).sum(1) / np.where(length > 0, length, 1)
+
+    def visits(self, rows, home, reach):
+        """For each point, whose own list is ``home``, a row of lists to visit."""
         far = squared(rows, self.centres)
-        home = far.argmin(1)
         gap = self.gaps[home]
         with np.errstate(divide="ignore", invalid="ignore"):
             plane = (far - far[np.arange(len(rows)), home, None]) / (2 * gap)
-        return home, ~(plane > reach) | (np.arange(far.shape[1]) == home[:, None])
+        return ~(plane > reach) | (np.arange(far.shape[1]) == home[:, None])
 
 
 class Quantisers:
@@ -147,7 +156,7 @@ def at_home(batches, shared, kind) -> Iterator[pa.RecordBatch]:
                 home[at] = nearest(rows, centres) + shared.value.first[dim]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(home.astype(np.int32))],
-                names=[*batch.schema.names, "list"])
+                names=[*batch.schema.names, "own"])
 
 
 def visiting(batches, shared, kind, reach) -> Iterator[pa.RecordBatch]:
@@ -156,7 +165,8 @@ def visiting(batches, shared, kind, reach) -> Iterator[pa.RecordBatch]:
         for begin in range(0, batch.num_rows, 512):
             some = batch.slice(begin, 512)
             for dim, at, found in by_length(some.column("vector"), kind):
-                home, visit = shared.value.of_length[dim].visits(found, reach[dim])
+                home = some.column("own").to_numpy()[at] - shared.value.first[dim]
+                visit = shared.value.of_length[dim].visits(found, home, reach[dim])
                 rows, lists = np.nonzero(visit)
                 taken = some.take(pa.array(at[rows]))
                 numbers = (lists + shared.value.first[dim]).astype(np.int32)
@@ -186,8 +196,9 @@ class Forest:
 
 
 def links_in_block(key, group: pa.Table, shared, kind, threshold) -> pa.Table:
-    """Links of the visitors of one block with its vectors: counts a visitor, and a forest. The
-    block's own vectors visit in the first share only."""
+    """Links of the visitors of one block with its vectors: counts, and a forest. The block's own
+    vectors visit in the first share only. A link of two lists is left to the vector nearer to
+    the plane between them, as the other one need not visit."""
     number, _, share = (x.as_py() for x in key)
     ids = group.column("rep").to_numpy()
     weights = group.column("weight").to_numpy()
@@ -196,7 +207,9 @@ def links_in_block(key, group: pa.Table, shared, kind, threshold) -> pa.Table:
     held = np.flatnonzero(home)
     guests = np.arange(len(ids)) if share == 0 else np.flatnonzero(~home)
     quantiser = shared.value.of_length[rows.shape[1]]
-    centre = quantiser.centres[number - shared.value.first[rows.shape[1]]]
+    number -= shared.value.first[rows.shape[1]]
+    own = group.column("own").to_numpy() - shared.value.first[rows.shape[1]]
+    centre = quantiser.centres[number]
     codes, error = quantiser.encode(rows[held] - centre)
     radius = np.sqrt(2 - 2 * threshold)
     counts = np.zeros(len(ids), np.int64)
@@ -211,7 +224,18 @@ def links_in_block(key, group: pa.Table, shared, kind, threshold) -> pa.Table:
         linked = (visitor != other) & (
             np.einsum("ij,ij->i", rows[visitor], rows[other]) >= threshold)
         visitor, other = visitor[linked], other[linked]
+        across = own[visitor] != number
+        mine = ~across
+        pairs = np.flatnonzero(across)
+        for at in range(0, len(pairs), PAIRS):
+            part = pairs[at:at + PAIRS]
+            one, two = visitor[part], other[part]
+            near = quantiser.planes(rows[one], own[one], own[two])
+            far = quantiser.planes(rows[two], own[two], own[one])
+            mine[part] = (near < far) | ((near == far) & (ids[one] < ids[two]))
+        visitor, other, across = visitor[mine], other[mine], across[mine]
         np.add.at(counts, visitor, weights[other])
+        np.add.at(counts, other[across], weights[visitor[across]])
         for i, j in zip(visitor.tolist(), other.tolist()):
             forest.join(i, j)
     found = np.flatnonzero(counts)
@@ -239,29 +263,30 @@ def found_links(vectors: DataFrame, totals, kind, threshold, spread, lists, bloc
         dim: fitted(vectors.where(F.length("vector") == dim * size), total, kind, lists)
         for dim, total in totals.items()})
     shared = vectors.sparkSession.sparkContext.broadcast(quantisers)  # bounded by the samples
-    reach = {dim: min(1.0, spread / np.sqrt(dim)) * np.sqrt(2 - 2 * threshold) + 1e-6
-             for dim in totals}
-    names = "rep long, weight long, vector binary, list int"
-    own = vectors.select("rep", "weight", "vector")
-    held = materialize(own.mapInArrow(partial(at_home, shared=shared, kind=kind), names), "lists")
+    share = {dim: min(0.5, spread / np.sqrt(dim)) if spread else 0.5 for dim in totals}
+    reach = {dim: share[dim] * np.sqrt(2 - 2 * threshold) + 1e-6 for dim in totals}
+    names = "rep long, weight long, vector binary, own int"
+    own = materialize(vectors.select("rep", "weight", "vector").mapInArrow(
+        partial(at_home, shared=shared, kind=kind), names), "lists")
+    held = own.withColumn("list", F.col("own"))
     # A list is cut into blocks which all its visitors see, and those come in shares, so that no
     # group grows with the table.
     sizes = held.groupBy("list").agg(
         F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks"))
     visits = own.mapInArrow(partial(visiting, shared=shared, kind=kind, reach=reach),
-                            names + ", home boolean")
+                            names + ", list int, home boolean")
     counts = visits.groupBy("list").agg(
         F.ceil(F.count("*") / F.lit(8 * block)).cast("int").alias("shares"))
     sizes = F.broadcast(materialize(sizes.join(counts, "list"), "list-sizes"))  # a row a list
     spot = F.pmod(F.xxhash64("rep"), "blocks").cast("int")
     held = held.join(sizes, "list").select(
-        "list", spot.alias("block"), "rep", "weight", "vector", F.lit(True).alias("home"),
+        "list", spot.alias("block"), "rep", "weight", "vector", "own", F.lit(True).alias("home"),
         F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"))
     guests = visits.join(sizes, "list").select(
         "*", spot.alias("spot"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias(
             "block")).where(~(F.col("home") & (F.col("block") == F.col("spot"))))
     guests = guests.select(
-        "list", "block", "rep", "weight", "vector", F.lit(False).alias("home"),
+        "list", "block", "rep", "weight", "vector", "own", F.lit(False).alias("home"),
         F.pmod(F.xxhash64("rep", F.lit(1)), "shares").cast("int").alias("share"))
 
     def linked(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
@@ -271,7 +296,7 @@ def found_links(vectors: DataFrame, totals, kind, threshold, spread, lists, bloc
         linked, "rep long, n long, other long")
 
 
-def near_duplicates(embeddings: DataFrame, threshold=0.9, spread=SPREAD, lists=None,
+def near_duplicates(embeddings: DataFrame, threshold=0.9, spread=None, lists=None,
                     block=BLOCK) -> DataFrame:
     """Every row's ``vec_id`` with ``n_links``, ``component_id`` and ``kept``."""
     single = embeddings.schema["embedding"].dataType.simpleString() == "array<float>"

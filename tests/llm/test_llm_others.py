@@ -74,6 +74,23 @@ def test_vectors_of_each_length_link_with_their_own(spark, kind):
     assert {r.vec_id: tuple(r)[1:] for r in found} == brute_force(rows)
 
 
+@pytest.mark.parametrize("block", [2048, 40])
+def test_no_link_is_missed_where_offsets_lie_in_few_directions(spark, block):
+    """A circle's arc in 64 dimensions: every offset points at the next list's plane."""
+    rng = np.random.default_rng(12)
+    plane = np.linalg.qr(rng.normal(size=(64, 2)))[0]
+    angle = rng.uniform(0, 2 * np.pi, 60)
+    # Each has a neighbour just within the threshold, and some are copies.
+    angle = np.concatenate([angle, angle + np.arccos(0.9) * 0.995, angle[:20]])
+    points = np.stack([np.cos(angle), np.sin(angle)], 1) @ plane.T
+    rows = [list(map(float, v)) for v in points]
+    table = spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<double>")
+    wanted = brute_force(rows)
+    for lists in (None, 40):
+        found = vectors.near_duplicates(table, lists=lists, block=block).collect()
+        assert {r.vec_id: tuple(r)[1:] for r in found} == wanted
+
+
 def test_vectors_recall_on_pairs_at_the_threshold(spark):
     rng = np.random.default_rng(9)
     a = rng.normal(size=(400, 64))
