@@ -4,7 +4,8 @@ Documents longer than the longest window are cut to full windows at once; what i
 and shorter documents, go to the tier of the smallest window that holds them. From the longest
 tier down, a window opens with its longest document, its gap is filled with the longest documents
 of shorter tiers that fit, and where none fits a document is cut, so every window is exactly full.
-Sequences of one tier make up step groups that all have the same number of tokens.
+Sequences of one tier, numbered over all tasks, make up step groups that all have the same number
+of tokens but for the last one of a tier; sequences that are not full come last.
 
 Each task packs its own documents and holds a bounded number of ids: full windows leave at once,
 and the rest is packed whenever it reaches ``HELD``. What a task cannot make a full window of is
@@ -22,7 +23,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.token_files import document_ids
@@ -32,10 +33,12 @@ TIERS = (2048, 1024, 512, 256)
 STEP_TOKENS = 1 << 16
 HELD = 4_000_000
 LEVEL = 1 << 62
+NOT_FULL = -1  # in place of a number in the tier
 
 
 class Packer:
-    """Documents of one task; ``rows`` gathers the pieces placed so far."""
+    """Documents of one task; ``rows`` gathers the pieces placed so far, with the number of their
+    sequence among the task's full ones of the tier."""
 
     def __init__(self, base: int, tiers=TIERS):
         self.base, self.tiers = base, tiers
@@ -68,14 +71,13 @@ class Packer:
         self.held -= n
         return item
 
-    def _place(self, tier, items):
-        group = self.of_tier[tier] // max(1, STEP_TOKENS // tier)
-        self.of_tier[tier] += 1
-        step = self.base + (self.tiers.index(tier) << 28) + group
+    def _place(self, tier, items, full=True):
+        number = self.of_tier[tier] if full else NOT_FULL
+        self.of_tier[tier] += full
         offset = 0
         for doc, start, total, ids in items:
             self.rows.append((doc, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()),
-                              total, self.base + self.sequences, offset, tier, step))
+                              total, self.base + self.sequences, offset, tier, number))
             offset += len(ids)
         self.sequences += 1
 
@@ -113,7 +115,7 @@ class Packer:
             while self.held >= tier:
                 self._place(tier, self._fill(tier, [], tier)[0])
         if self.held:
-            self._place(self.tiers[0], self._fill(self.tiers[0], [], self.tiers[0])[0])
+            self._place(self.tiers[0], self._fill(self.tiers[0], [], self.tiers[0])[0], full=False)
 
     def waiting(self):
         return [item for items in self.by_length for item in items]
@@ -161,6 +163,21 @@ def packed(batches: Iterator[pa.RecordBatch], id_type, last: bool) -> Iterator[p
                      for doc, start, total, ids in rest], id_type)
 
 
+def in_steps(pieces: DataFrame) -> DataFrame:
+    """Pieces with ``step_id`` in place of the number their task gave. A task counts its sequences
+    of a tier, and those few counts add up to where each task begins."""
+    pieces = pieces.withColumn("task", F.shiftright("sequence_id", 32)).withColumn(
+        "not_full", F.col("step_id") == NOT_FULL)
+    keys = ["context_size", "not_full", "task"]
+    counts = pieces.where("offset = 0").groupBy(*keys).agg(F.count("*").alias("n"))
+    before = Window.partitionBy("context_size").orderBy("not_full", "task")
+    begins = counts.select(*keys, (F.sum("n").over(before) - F.col("n")).alias("begin"))
+    number = F.col("begin") + F.greatest("step_id", F.lit(0))
+    each = F.greatest(F.lit(1), F.floor(F.lit(STEP_TOKENS) / F.col("context_size")))
+    step = F.shiftleft(F.col("context_size").cast("long"), 40) + F.floor(number / each)
+    return pieces.join(F.broadcast(begins), keys).withColumn("step_id", step)
+
+
 def pack(documents: DataFrame, end=1, tokenizer: str | None = None) -> DataFrame:
     """Every piece of every document with its place; see the module's text."""
     from pyspark.sql.pandas.types import to_arrow_type
@@ -172,6 +189,7 @@ def pack(documents: DataFrame, end=1, tokenizer: str | None = None) -> DataFrame
         partial(run, last=False), schema), "packed")
     rest = first.where("ids IS NOT NULL")
     tasks = rest.agg(F.ceil(F.sum("length") / F.lit(HELD))).first()[0] or 1
-    second = rest.repartition(int(tasks)).sortWithinPartitions("doc_id", "start").mapInArrow(
-        partial(run, last=True), schema)
-    return first.where("ids IS NULL").unionByName(second).drop("ids")
+    second = materialize(rest.repartition(int(tasks)).sortWithinPartitions(
+        "doc_id", "start").mapInArrow(partial(run, last=True), schema), "packed-rests")
+    pieces = in_steps(first.where("ids IS NULL").unionByName(second))
+    return pieces.select(*(name for name in first.columns if name != "ids"))

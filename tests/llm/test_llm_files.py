@@ -125,6 +125,23 @@ def test_pieces_hold_each_id_once_with_little_padding(spark, awkward, whole):
     assert packing.pack(awkward.where("doc_id = 99")).count() == 0
 
 
+def test_steps_are_equal_but_for_the_last_of_a_tier(spark):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices(["one", "two", "sea"], k=rng.randrange(1, 3000)))
+             for _ in range(150)]
+    documents = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = packing.pack(documents.repartition(6)).collect()
+    sizes = {(r.sequence_id, r.step_id, r.context_size) for r in rows}
+    assert len(sizes) == len({r.sequence_id for r in rows})
+    tokens, tiers = Counter(), {}
+    for _, step, size in sizes:
+        tokens[step] += size
+        assert tiers.setdefault(step, size) == size
+    short = Counter(tiers[step] for step, n in tokens.items() if n != packing.STEP_TOKENS)
+    assert max(tokens.values()) <= packing.STEP_TOKENS and max(short.values()) <= 1
+    assert len(tokens) > len(set(tiers.values()))
+
+
 def test_packer_drains_when_it_holds_much(spark, whole, monkeypatch):
     monkeypatch.setattr(packing, "HELD", 3000)
     packer, rng, wanted = packing.Packer(0), random.Random(1), []
