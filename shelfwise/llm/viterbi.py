@@ -1,7 +1,9 @@
 """Best segmentation into the pieces of a SentencePiece vocabulary, as a stream.
 
 The best path over a text is the one with the highest sum of piece scores; of equal ones the
-first that a left-to-right pass finds with the longest last piece. Going over the characters, only
+first that a left-to-right pass finds with the longest last piece. That is what the library gives
+for a unigram model. ``MODEL`` is a BPE model, whose scores order merges and are not log
+probabilities: its ids here are the best path's and not those of its merges. Going over the characters, only
 as many states are kept as the longest piece has characters. Whenever all of them lead back
 to one boundary, the ids up to it are given out and forgotten, so memory does not grow with the
 text. A character that no piece has is written as its bytes, at a score below all others.

@@ -191,6 +191,26 @@ def test_viterbi_finds_the_best_path_and_decodes(spark, awkward):
     assert viterbi.encode(awkward.where("doc_id = 99")).count() == 0
 
 
+def test_viterbi_gives_the_ids_of_a_unigram_model(tmp_path):
+    """Where scores are log probabilities, the best path is what the library itself gives."""
+    import io
+
+    from sentencepiece import SentencePieceProcessor, SentencePieceTrainer
+
+    rng, model = random.Random(6), io.BytesIO()
+    words = ["".join(rng.choices("abcdefgh", k=rng.randrange(1, 9))) for _ in range(300)]
+    texts = [" ".join(rng.choices(words, k=rng.randrange(1, 40))) for _ in range(400)]
+    SentencePieceTrainer.train(
+        sentence_iterator=iter(texts[:300]), model_writer=model, model_type="unigram",
+        vocab_size=500, byte_fallback=True, normalization_rule_name="identity",
+        remove_extra_whitespaces=False, minloglevel=2)
+    path = tmp_path / "unigram.model"
+    path.write_bytes(model.getvalue())
+    library, encoder = SentencePieceProcessor(model_file=str(path)), viterbi.encoder(str(path))
+    for text in [*texts, "", "xyz é", "a  b", "日本語 abc"]:
+        assert encoder.encode(text).tolist() == library.encode(text), text
+
+
 def test_stream_keeps_a_bounded_window_and_gives_ids_early():
     words = viterbi.encoder(viterbi.default_path()).vocabulary
     stream, out, text = viterbi.Stream(words), [], "abcdefgh" * 3000
