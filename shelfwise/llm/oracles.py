@@ -1,5 +1,7 @@
 """DuckDB counterparts of the queries that SQL can express."""
 
+from shelfwise.llm import credentials
+
 BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 WORDS = rf"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
@@ -175,8 +177,109 @@ FROM page LEFT JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost))
 QUALIFY row_number() OVER (PARTITION BY r ORDER BY length(rhost || rpath) DESC) = 1
 """
 
+K, ROUNDS = 40, 5
+
+
+def _assigned(number):
+    """Each vector's nearest centroid of a round; of equal ones the smaller number."""
+    return f"""
+a{number} AS (
+    SELECT r, min(distance) AS distance, arg_min(c, (distance, c)) AS c FROM (
+        SELECT r, c, list_sum(list_transform(list_zip(v.x, c{number}.x),
+            lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS distance
+        FROM v CROSS JOIN c{number}) GROUP BY r)"""
+
+
+def _moved(number):
+    """The floors of the means of a round's clusters; empty ones stay."""
+    return f"""
+s{number} AS (
+    SELECT c, i, sum(x) AS s, count(*) AS n FROM (
+        SELECT a{number}.c, unnest(v.x) AS x, generate_subscripts(v.x, 1) AS i
+        FROM v JOIN a{number} USING (r)) GROUP BY c, i),
+c{number + 1} AS (
+    SELECT c{number}.c, coalesce(moved.x, c{number}.x) AS x FROM c{number} LEFT JOIN (
+        SELECT c, list(((s - ((s % n + n) % n)) // n)::BIGINT ORDER BY i) AS x
+        FROM s{number} GROUP BY c) AS moved USING (c))"""
+
+
+OP12 = f"""
+WITH v AS (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding,
+        lambda e: floor(256 * e::DOUBLE)::BIGINT) AS x
+    FROM embeddings WHERE len(embedding) = 64
+        AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+c0 AS (
+    SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c, x FROM v
+    WHERE vec_id IS NOT NULL QUALIFY c < {K}),
+{",".join(f"{_assigned(i)},{_moved(i)}" for i in range(ROUNDS))},{_assigned(ROUNDS)}
+SELECT vec_id, a{ROUNDS}.c::INTEGER AS cluster, distance,
+    (sum(distance) OVER (PARTITION BY a{ROUNDS}.c))::BIGINT AS cluster_inertia,
+    (sum(distance) OVER ())::BIGINT AS inertia,
+    sha256(array_to_string(c{ROUNDS}.x, ',')) AS centroid_sha256
+FROM v JOIN a{ROUNDS} USING (r) JOIN c{ROUNDS} ON c{ROUNDS}.c = a{ROUNDS}.c
+"""
+
+
+def _secret_hits(pattern, kind):
+    """Places of a pattern's matches from the pieces between them."""
+    pattern = pattern.replace("'", "''")
+    return f"""
+    SELECT r, gap + size AS step, size, kind, sum(gap + size) OVER (
+        PARTITION BY r ORDER BY i) AS stop FROM (
+        SELECT r, i, len(pieces[i]) AS gap, len(found[i]) AS size, {kind} AS kind FROM (
+            SELECT r, unnest(range(1, len(found) + 1)) AS i, * FROM (
+                SELECT r, string_split_regex(t, '{pattern}') AS pieces,
+                    regexp_extract_all(t, '{pattern}') AS found,
+                    {", ".join(f"regexp_extract_all(t, '{pattern}', {g}) AS g{g}"
+                               if f"g{g}[" in kind else f"NULL AS g{g}" for g in (1, 2, 3))}
+                FROM doc)))"""
+
+
+_WEAK_KIND = """CASE WHEN g1[i] <> '' THEN 3 WHEN g2[i] <> '' THEN 4 WHEN g3[i] = '' THEN 5
+    WHEN regexp_matches(g3[i], '[a-z]') AND regexp_matches(g3[i], '[A-Z]')
+        AND regexp_matches(g3[i], '[0-9]') THEN 4 END"""
+
+OP13 = f"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+hit AS MATERIALIZED (
+    SELECT r, stop - size AS start, stop, kind FROM (
+        {_secret_hits(credentials.ASSIGN, "CASE WHEN len(g1[i]) >= 8 THEN 0 END")} UNION ALL
+        {_secret_hits(credentials.ACCESS, "1")} UNION ALL
+        {_secret_hits(credentials.HEX, "2")} UNION ALL
+        {_secret_hits(credentials.WEAK, _WEAK_KIND)} UNION ALL
+        {_secret_hits(credentials.BLANK_LINE, "-1")}) WHERE kind IS NOT NULL),
+part AS MATERIALIZED (
+    SELECT h.*, (SELECT count(*) FROM hit AS b WHERE b.r = h.r AND b.kind = -1
+                 AND b.start < h.start) AS scope
+    FROM hit AS h WHERE kind >= 0 AND (kind < 3 OR NOT EXISTS (
+        FROM hit AS b WHERE b.r = h.r AND b.kind IN (0, 1, 2) AND b.start < h.stop
+        AND b.stop > h.start))),
+near AS (
+    SELECT a.r, a.start, a.kind, bool_or(b.kind IN (0, 2)) AS strong,
+        bool_or(b.kind IN (1, 3)) AS who, bool_or(b.kind = 4) AS what
+    FROM part AS a JOIN part AS b ON a.r = b.r AND a.scope = b.scope AND a.kind >= 3
+        AND (b.stop BETWEEN a.start - {credentials.REACH} AND a.start
+             OR b.start BETWEEN a.stop AND a.stop + {credentials.REACH})
+    GROUP BY a.r, a.start, a.kind),
+span AS (
+    SELECT part.*, ['assign', 'access', 'hex', 'identifier', 'secret', 'endpoint'][kind + 1]
+        || ':' || start || ':' || stop AS name
+    FROM part LEFT JOIN near USING (r, start, kind)
+    WHERE kind < 3 OR kind = 3 AND (strong OR what) OR kind = 4 AND who
+        OR kind = 5 AND (strong OR what AND who))
+SELECT any_value(doc_id) AS doc_id, count(*) FILTER (kind = 0) AS n_assign,
+    count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+    sha256(coalesce(string_agg(name, ',' ORDER BY start, kind) FILTER (kind < 3), ''))
+        AS base_sha256,
+    coalesce(string_agg(name, ',' ORDER BY start, kind), '') AS spans
+FROM doc LEFT JOIN span USING (r) GROUP BY r
+"""
+
 ORACLES = {
     "op10_url_filters": OP10,
+    "op12_clusters": OP12,
+    "op13_secrets": OP13,
     "op2_line_dedup": OP2,
     "op4_vectors": OP4,
     "op5_tool_calls": OP5,

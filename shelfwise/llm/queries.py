@@ -3,6 +3,8 @@
 from pyspark.sql import functions as F
 
 from shelfwise.llm import (
+    clusters,
+    credentials,
     jaccard,
     language,
     line_dedup,
@@ -13,6 +15,7 @@ from shelfwise.llm import (
     urls,
     vectors,
     viterbi,
+    whitening,
 )
 from shelfwise.llm.tables import table
 
@@ -121,8 +124,37 @@ def op10_url_filters(spark, folder):
     return urls.verdicts(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_whitening(spark, folder):
+    """Each vector along the first four principal components, scaled to unit variance."""
+    return whitening.whiten(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+
+
+def op12_clusters(spark, folder):
+    """Which of 40 clusters is each vector in after five rounds, and how close to its centroid?"""
+    return clusters.cluster(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+
+
+def op13_secrets(spark, folder):
+    """Which secrets does each document hold, and which weak candidates beside them?"""
+    found = credentials.find(table(spark, folder, "documents").select("doc_id", "text"))
+    spans = F.col("spans")
+    base = F.filter(spans, lambda s: s["kind"] < credentials.FIRST_WEAK)
+
+    def number(kind):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id", number(0).alias("n_assign"), number(1).alias("n_access"),
+        number(2).alias("n_hex"),
+        F.sha2(credentials.spelled(base).cast("binary"), 256).alias("base_sha256"),
+        credentials.spelled(spans).alias("spans"))
+
+
 QUERIES = {
     "op10_url_filters": op10_url_filters,
+    "op11_whitening": op11_whitening,
+    "op12_clusters": op12_clusters,
+    "op13_secrets": op13_secrets,
     "op1_token_files": op1_token_files,
     "op2_line_dedup": op2_line_dedup,
     "op3_packing": op3_packing,
