@@ -26,6 +26,22 @@ def reviews(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The reviews as CSV lines under a header, their text quoted and with quotes and commas in
+    it. Of 97 products one has records that lack the last fields, one has a field too many and
+    one has lines that are no record at all."""
+    names = ["reviewerID", "asin", "overall"]
+    fields = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in names]
+    text = F.concat(F.lit('"so, ""'), "reviewText", F.lit('"""'))
+    kind = F.substring("asin", 2, 9).cast("bigint") % 97
+    line = (
+        F.when(kind == 1, F.concat_ws(",", *fields[:2]))
+        .when(kind == 2, F.concat_ws(",", *fields, text, F.lit("more")))
+        .when(kind == 3, F.lit("oops")).otherwise(F.concat_ws(",", *fields, text))
+    )
+    return reviews(spark, folder).select(line.alias(",".join([*names, "reviewText"])))
+
+
 def requests(spark: SparkSession, folder: str) -> DataFrame:
     """One request an event. Ids are stretched, so that about half are unknown to the model;
     ``n`` runs from 0, which is no valid length, to 6."""

@@ -2,7 +2,7 @@
 
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
 
 from shelfwise.operators.clean import audit_of, count_copies, ratings_of
 from shelfwise.operators.encode import encode, index_columns
@@ -38,21 +38,25 @@ def convert_job(spark: SparkSession, csv_path: str, parquet_path: str, **options
 def clean_job(
     spark: SparkSession, raw_path: str, out_path: str, *, file_format: str = "csv",
     on_bad_rating: str = "fail", csv_path: str | None = None, multi_line: bool = True,
-    on_malformed: str = "fail",
+    on_malformed: str = "fail", whole_files: bool = False,
 ) -> Row:
-    """Clean ratings to Parquet, and to CSV if asked for; returns the audit.
+    """Clean ratings to Parquet, and to CSV if asked for; returns the audit, which has
+    ``malformed_rows`` beside the counts of the rules: records dropped for their form.
 
-    The raw files are read once: ratings and audit both come from the counted triples.
+    The raw files are parsed once: ratings and audit both come from the counted triples.
     """
     with job_folder(spark), sized_shuffles(spark, raw_path):
+        counted = Observation() if file_format == "csv" and on_malformed == "drop" else None
         raw = read_reviews(
-            spark, raw_path, file_format, multi_line=multi_line, on_malformed=on_malformed
+            spark, raw_path, file_format, multi_line=multi_line, whole_files=whole_files,
+            on_malformed=on_malformed, dropped=counted,
         )
         groups = materialize(count_copies(raw, on_bad_rating), "groups")
         sinks.write_parquet(ratings_of(groups), out_path)
         if csv_path:
             sinks.write_csv(read_ratings(spark, out_path), csv_path)
-        return audit_of(groups).first()
+        malformed = counted.get["malformed_rows"] if counted else 0
+        return audit_of(groups).withColumn("malformed_rows", F.lit(malformed)).first()
 
 
 def train_job(
@@ -135,14 +139,15 @@ def recommend_all_job(spark: SparkSession, root: str, out_path: str, k: int = LI
 def retrain(
     spark: SparkSession, raw_path: str, root: str, *, file_format: str = "csv",
     settings: AlsSettings = AlsSettings(), split: str = "random", top: int | None = None,
-    on_bad_rating: str = "fail", multi_line: bool = True,
+    on_bad_rating: str = "fail", multi_line: bool = True, whole_files: bool = False,
+    on_malformed: str = "fail",
 ) -> tuple[Row, Row]:
     """Clean, train, publish. Serving jobs started later pick up the new version."""
     with job_folder(spark) as folder:
         ratings_path = f"{folder}/ratings"
         audit = clean_job(
-            spark, raw_path, ratings_path, file_format=file_format,
-            on_bad_rating=on_bad_rating, multi_line=multi_line,
+            spark, raw_path, ratings_path, file_format=file_format, on_bad_rating=on_bad_rating,
+            multi_line=multi_line, whole_files=whole_files, on_malformed=on_malformed,
         )
         return audit, train_job(
             spark, ratings_path, root, settings=settings, split=split, top=top

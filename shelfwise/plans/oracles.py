@@ -117,6 +117,20 @@ ORACLES = {
                (SELECT count(*) FROM ratings) AS final_rows,
                (SELECT count(*) FROM reviews)
                    - (SELECT count(*) FROM (SELECT DISTINCT * FROM complete)) AS removed_rows"""),
+    "cleaning_audit_malformed": _with("reviews", select="""
+        , formed AS (
+            SELECT * FROM reviews WHERE CAST(substr(asin, 2, 9) AS BIGINT) % 97 NOT IN (1, 2, 3)),
+        whole AS (
+            SELECT reviewerID, asin, overall FROM formed
+            WHERE reviewerID IS NOT NULL AND overall IS NOT NULL),
+        once AS (SELECT DISTINCT * FROM whole)
+        SELECT (SELECT count(*) FROM formed) AS raw_rows,
+               (SELECT count(*) FROM whole) AS complete_rows,
+               (SELECT count(*) FROM once) AS distinct_rows,
+               (SELECT count(*) FROM once WHERE overall BETWEEN 1 AND 5) AS final_rows,
+               (SELECT count(*) FROM formed) - (SELECT count(*) FROM once) AS removed_rows,
+               (SELECT count(*) FROM reviews) - (SELECT count(*) FROM formed)
+                   AS malformed_rows"""),
     "raw_shape": _with("reviews", select="""
         SELECT count(*) AS "rows", 4 AS "columns" FROM reviews"""),
     "first_ratings": _with("ratings", select="""

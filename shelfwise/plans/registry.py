@@ -120,6 +120,16 @@ def cleaning_audit(spark, folder):
     return clean.cleaning_audit(fixture.reviews(spark, folder))
 
 
+@query
+def cleaning_audit_malformed(spark, folder):
+    """The audit of a CSV file with short, long and broken records, which are dropped."""
+    path = scratch_path(spark, "raw_lines")
+    # A field separator and a quote that are not in the lines: they are written as they are.
+    fixture.raw_lines(spark, folder).write.csv(path, header=True, sep="\x01", quote="\x02")
+    audit = jobs.clean_job(spark, path, scratch_path(spark, "cleaned"), on_malformed="drop")
+    return spark.createDataFrame([audit])
+
+
 @query
 def ratings_csv_awkward(spark, folder):
     """Ids with blanks at their ends and line breaks, by way of CSV."""
