@@ -7,7 +7,7 @@ import argparse
 
 from shelfwise.operators.factorize import AlsSettings
 from shelfwise.plans import jobs
-from shelfwise.plans.publish import load_published
+from shelfwise.plans.publish import CurrentModel
 from shelfwise.schemas import DEFAULT_N, LIST_LENGTH, MAX_ITER, RANK, REG_PARAM
 from shelfwise.session import build_session
 from shelfwise.streaming.requests import request_stream, serve_stream
@@ -25,7 +25,11 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument("--" + option.replace("_", "-"), **settings)
         return sub
 
-    lines = {"multi_line": {"action": argparse.BooleanOptionalAction, "default": True}}
+    lines = {
+        "multi_line": {"action": argparse.BooleanOptionalAction, "default": True},
+        "whole_files": {"action": "store_true"},
+        "on_malformed": {"choices": ["fail", "drop"], "default": "fail"},
+    }
     raw = {
         "file_format": {"choices": ["csv", "parquet"], "default": "csv"},
         "on_bad_rating": {"choices": ["fail", "drop"], "default": "fail"},
@@ -37,6 +41,7 @@ def parser() -> argparse.ArgumentParser:
         "reg_param": {"type": float, "default": REG_PARAM},
         "split": {"choices": list(jobs.SPLITS), "default": "random"},
         "top": {"type": int},
+        "keep_ids": {"action": "store_true"},
     }
     command("convert", "csv_path", "parquet_path", **lines)
     command("clean", "raw_path", "out_path", **raw, csv_path={})
@@ -50,7 +55,8 @@ def parser() -> argparse.ArgumentParser:
     answer = command("answer", "root", "answers_path", "log_path")
     answer.add_argument("user_id", type=int)
     answer.add_argument("--n", type=int, default=DEFAULT_N)
-    command("stream", "requests_path", "root", "answers_path", "log_path", "checkpoint")
+    command("stream", "requests_path", "root", "answers_path", "log_path", "checkpoint",
+            repeats_within={})
     return top
 
 
@@ -64,7 +70,8 @@ def run(spark, args):
         )
     if args.command == "stream":
         query = serve_stream(
-            request_stream(spark, args.requests_path), load_published(spark, args.root).model,
+            request_stream(spark, args.requests_path, repeats_within=args.repeats_within),
+            CurrentModel(spark, args.root),
             args.answers_path, args.log_path, args.checkpoint,
         )
         return query.awaitTermination()

@@ -41,11 +41,35 @@ def index_by_frequency(df: DataFrame, column: str) -> DataFrame:
     return numbered.select(column, F.col("_position").cast("int").alias(f"{column}_int"), "n")
 
 
-def index_columns(df: DataFrame, *columns: str) -> list[DataFrame]:
-    """Written maps of several columns; the jobs of each do not wait for the others."""
+def extend_index(id_map: DataFrame, df: DataFrame, column: str) -> DataFrame:
+    """The index of ``df`` in which every id that ``id_map`` knows keeps its number, also if
+    ``df`` lacks it (with an ``n`` of 0); new ids go on from the largest, most frequent first.
+
+    Known ids are joined by id and new ones are those without a partner, so no list of ids
+    reaches the driver; the largest number does.
+    """
+    known = id_map.select(column, f"{column}_int")
+    counts = materialize(key_counts(df.filter(F.col(column).isNotNull()), column), "counts")
+    first = known.agg(F.max(f"{column}_int")).first()[0]
+    new = with_positions(
+        counts.join(known, column, "left_anti"), "_position", F.desc("n"), F.asc(column))
+    number = F.col("_position") + F.lit(0 if first is None else first + 1)
+    kept = known.join(counts, column, "left").select(
+        column, f"{column}_int", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    return kept.unionByName(new.select(column, number.cast("int").alias(f"{column}_int"), "n"))
+
+
+def index_columns(df: DataFrame, *columns: str, known=None) -> list[DataFrame]:
+    """Written maps of several columns; the jobs of each do not wait for the others. ``known`` has
+    earlier maps by column, whose numbers stay."""
 
     def build(column):
-        return lambda: materialize(index_by_frequency(df, column), column)
+        def index():
+            if known:
+                return extend_index(known[column], df, column)
+            return index_by_frequency(df, column)
+
+        return lambda: materialize(index(), column)
 
     return together(df.sparkSession, *[build(c) for c in columns])
 

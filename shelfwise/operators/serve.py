@@ -6,30 +6,31 @@ from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfwise.functions.recommendations import answer_items, iso_timestamp
+from shelfwise.operators.first_answers import CONTENT, FirstAnswers, earliest
 from shelfwise.operators.lookup import hot_keys, spread_lookup
 from shelfwise.operators.topk import Catalogue, recommend_for
 from shelfwise.schemas import DEFAULT_N, EMPTY_MESSAGE, REQUESTS
 from shelfwise.session import job_folder, materialize, path_exists
 
 INT_MAX = 2**31 - 1
-STORED = "struct<timestamp:string,recommendations:array<struct<product_id:int,score:double>>>"
-
 
 # A broadcast of that many user ids takes a few megabytes.
 BROADCAST_USERS = 500_000
 
 
-def first_stored(stored: DataFrame, users: DataFrame | None = None, n_users: int = 0):
+def first_stored(stored: DataFrame | FirstAnswers, users: DataFrame | None = None, n_users: int = 0):
     """The earliest stored answer of each user, equal times by content.
 
     A bounded number of wanted ``users`` is broadcast, so that the store is only scanned for
     them. With more, the store is aggregated in each task first, which also takes care of
-    users with very many answers, and the caller's join picks the wanted ones.
+    users with very many answers, and the caller's join picks the wanted ones. A table of
+    first answers is only asked for those users.
     """
+    if isinstance(stored, FirstAnswers):
+        return stored.of(users, n_users)
     if users is not None and n_users <= BROADCAST_USERS:
         stored = stored.join(F.broadcast(users.select("user_id")), "user_id", "left_semi")
-    content = F.struct("timestamp", "recommendations")
-    return stored.groupBy("user_id").agg(F.min(content).alias("stored"))
+    return earliest(stored)
 
 
 def _askers(requests: DataFrame) -> DataFrame:
@@ -42,13 +43,13 @@ def _askers(requests: DataFrame) -> DataFrame:
     )
 
 
-def _with_stored(known: DataFrame, stored: DataFrame | None) -> DataFrame:
+def _with_stored(known: DataFrame, stored: DataFrame | FirstAnswers | None) -> DataFrame:
     """Add the stored answer of the users who need one; the store is left alone if none does."""
     needy = known.filter(F.col("unlisted") | F.col("recommendations").isNull())
     n_needy = needy.count() if stored is not None else 0
     if n_needy:
         return known.join(first_stored(stored, needy, n_needy), "user_id", "left")
-    return known.withColumn("stored", F.lit(None).cast(STORED))
+    return known.withColumn("stored", F.lit(None).cast(CONTENT))
 
 
 def one_request(spark: SparkSession, user_id: int, n: int = DEFAULT_N) -> DataFrame:
@@ -61,7 +62,7 @@ def with_default_n(requests: DataFrame) -> DataFrame:
 
 
 def answer(
-    requests: DataFrame, model: ALSModel, stored: DataFrame | None = None,
+    requests: DataFrame, model: ALSModel, stored: DataFrame | FirstAnswers | None = None,
     served_at: Column | None = None, products: Catalogue | None = None, **limits,
 ) -> DataFrame:
     """One row a request: ``(request_id, user_id, n, recommendations, timestamp, message,
@@ -105,20 +106,27 @@ def answer(
 
 
 def log_answers(answers: DataFrame, log_path: str, batch: str) -> None:
-    """Add the model's answers to the log. A batch owns its folder, so that a repeated one
-    replaces what it wrote before in place of adding it again."""
+    """Add the model's answers to the log, and the first ones of their users to the table
+    beside it. A batch owns its folders, so that a repeated one replaces what it wrote before
+    in place of adding it again."""
+    spark = answers.sparkSession
     logged = answers.filter(F.col("source") == "model").select(
         "user_id", "recommendations", "timestamp",
+        (F.col("version") if "version" in answers.columns else F.lit(None)).cast("int").alias(
+            "version"),
         F.to_date(F.substring("timestamp", 1, 10)).alias("served_date"),
     )
+    first = first_answers(spark, log_path, batch)
     logged.write.mode("overwrite").partitionBy("served_date").parquet(
         f"{log_path}/batch={batch}"
     )
+    with job_folder(spark):
+        first.add(batch, spark.read.schema(LOG).parquet(f"{log_path}/batch={batch}"))
 
 
 LOG = (
     "user_id bigint, recommendations array<struct<product_id:int,score:double>>, "
-    "timestamp string, batch string, served_date date"
+    "timestamp string, version int, batch string, served_date date"
 )
 
 
@@ -131,16 +139,24 @@ def read_log(spark: SparkSession, log_path: str, *, but_batch: str | None = None
     return log.filter(F.col("batch") != but_batch) if but_batch else log
 
 
+def first_answers(spark: SparkSession, log_path: str, but_batch: str | None = None):
+    """The table of first answers beside a log, made of the log if there is none yet."""
+    return FirstAnswers(spark, f"{log_path}-first", but_batch).start(
+        lambda: read_log(spark, log_path, but_batch=but_batch))
+
+
 def serve(
     requests: DataFrame, model: ALSModel, answers_path: str, log_path: str, batch: str,
-    stored: Callable[[], DataFrame | None] | None = None, **limits,
+    stored: Callable[[], DataFrame | None] | None = None, version: int | None = None, **limits,
 ) -> DataFrame:
-    """Answer a batch: write all answers, log the model's, return the written answers."""
+    """Answer a batch: write all answers, log the model's, return the written answers. With the
+    ``version`` of the model, answers and log carry it."""
     spark = requests.sparkSession
-    earlier = stored() if stored else read_log(spark, log_path, but_batch=batch)
+    earlier = stored() if stored else first_answers(spark, log_path, batch)
     with job_folder(spark):
-        answers = materialize(
-            answer(requests, model, earlier, **limits), "answers", f"{answers_path}/batch={batch}"
-        )
+        answers = answer(requests, model, earlier, **limits)
+        if version is not None:
+            answers = answers.withColumn("version", F.lit(version))
+        answers = materialize(answers, "answers", f"{answers_path}/batch={batch}")
     log_answers(answers, log_path, batch)
     return answers

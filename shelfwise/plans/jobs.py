@@ -12,7 +12,7 @@ from shelfwise.operators.lookup import hot_keys, key_counts, spread_lookup
 from shelfwise.operators.serve import one_request, serve
 from shelfwise.operators.split import hashed_halves, random_halves
 from shelfwise.operators.topk import long_form, recommend_all
-from shelfwise.plans.publish import load_published, publish
+from shelfwise.plans.publish import current_version, load_published, publish
 from shelfwise.schemas import DEFAULT_N, LIST_LENGTH
 from shelfwise.session import job_folder, materialize, sized_shuffles, together
 from shelfwise.sources import sinks
@@ -62,16 +62,21 @@ def clean_job(
 def train_job(
     spark: SparkSession, ratings_path: str, root: str, *, file_format: str = "parquet",
     settings: AlsSettings = AlsSettings(), split: str = "random", top: int | None = None,
-    multi_line: bool = True,
+    multi_line: bool = True, keep_ids: bool = False,
 ) -> Row:
-    """Index, encode, split, fit, evaluate and publish; with ``top``, all lists as well."""
+    """Index, encode, split, fit, evaluate and publish; with ``top``, all lists as well. With
+    ``keep_ids`` the ids of the current version keep their integers and new ones go on."""
     with job_folder(spark), sized_shuffles(spark, ratings_path):
         if file_format == "csv":
             ratings = materialize(read_ratings_csv(
                 spark, ratings_path, multi_line=multi_line), "ratings")
         else:
             ratings = read_ratings(spark, ratings_path)
-        users, products = index_columns(ratings, "user_id", "product_id")
+        known = None
+        if keep_ids and current_version(spark, root):
+            before = load_published(spark, root)
+            known = {"user_id": before.user_map, "product_id": before.product_map}
+        users, products = index_columns(ratings, "user_id", "product_id", known=known)
         encoded = materialize(encode(ratings, users, products, fitted_on_df=True), "encoded")
         train, test = SPLITS[split](encoded)
         train = materialize(train, "train")
@@ -140,7 +145,7 @@ def retrain(
     spark: SparkSession, raw_path: str, root: str, *, file_format: str = "csv",
     settings: AlsSettings = AlsSettings(), split: str = "random", top: int | None = None,
     on_bad_rating: str = "fail", multi_line: bool = True, whole_files: bool = False,
-    on_malformed: str = "fail",
+    on_malformed: str = "fail", keep_ids: bool = False,
 ) -> tuple[Row, Row]:
     """Clean, train, publish. Serving jobs started later pick up the new version."""
     with job_folder(spark) as folder:
@@ -150,7 +155,7 @@ def retrain(
             multi_line=multi_line, whole_files=whole_files, on_malformed=on_malformed,
         )
         return audit, train_job(
-            spark, ratings_path, root, settings=settings, split=split, top=top
+            spark, ratings_path, root, settings=settings, split=split, top=top, keep_ids=keep_ids
         )
 
 
@@ -161,9 +166,10 @@ def serve_job(
     """Answer a table of requests with the current version. Names of batches have a prefix of
     their own, so none is that of a stream's batch."""
     requests = spark.read.parquet(requests_path)
-    model = load_published(spark, root).model
+    published = load_published(spark, root)
     with sized_shuffles(spark, requests_path):
-        return serve(requests, model, answers_path, log_path, f"job-{batch}")
+        return serve(requests, published.model, answers_path, log_path, f"job-{batch}",
+                     version=published.version)
 
 
 def answer_job(
@@ -171,7 +177,7 @@ def answer_job(
     n: int = DEFAULT_N,
 ) -> str:
     """Answer one user with the current version: the JSON document a caller gets."""
-    model = load_published(spark, root).model
-    answers = serve(one_request(spark, user_id, n), model, answers_path, log_path,
-                    f"one-{uuid4().hex}")
+    published = load_published(spark, root)
+    answers = serve(one_request(spark, user_id, n), published.model, answers_path, log_path,
+                    f"one-{uuid4().hex}", version=published.version)
     return sinks.answer_documents(answers).first().document

@@ -141,6 +141,21 @@ ORACLES = {
         "products", select="SELECT product_id, product_id_int, n FROM products"),
     "encoded_ratings": _with("encoded", select="""
         SELECT user_id, product_id, rating, user_id_int, product_id_int FROM encoded"""),
+    "index_extended": _with("ratings", select="""
+        , halved AS (
+            SELECT *, substr(md5(user_id || '|' || product_id), 1, 8) >= '80000000' AS early
+            FROM ratings),
+        counted AS (
+            SELECT 'user_id' AS map, user_id AS id, count(*) AS n,
+                   count(*) FILTER (early) AS early FROM halved GROUP BY user_id
+            UNION ALL SELECT 'product_id', product_id, count(*), count(*) FILTER (early)
+            FROM halved GROUP BY product_id)
+        SELECT map, id, n, CAST(CASE WHEN early > 0 THEN 0
+                ELSE (SELECT count(*) FROM counted c WHERE c.map = t.map AND c.early > 0) END
+            + row_number() OVER (PARTITION BY map, early > 0
+                                 ORDER BY CASE WHEN early > 0 THEN early ELSE n END DESC, id)
+            - 1 AS INTEGER) AS "index"
+        FROM counted t"""),
     "encode_unseen": _with("ratings", select="""
         , fitted AS (
             SELECT * FROM ratings
@@ -234,6 +249,11 @@ ORACLES = {
         FROM answers GROUP BY user_id"""),
     "serve_batch": ANSWER_SHAPE,
     "serve_stream": ANSWER_SHAPE,
+    "serve_stream_repeats": ANSWER_SHAPE,
+    "serve_stream_versions": """
+        SELECT event_id AS request_id, CAST(1 + event_id % 2 AS INTEGER) AS version FROM events""",
+    "first_answers_table": _with("first_stored", select="""
+        SELECT user_id, "timestamp", product_id, score FROM first_stored"""),
     "serve_fallback": _with("answers", select="""
         SELECT request_id, user_id, "timestamp", product_id, score FROM answers
         WHERE source = 'stored'"""),

@@ -10,8 +10,9 @@ from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from shelfwise.operators.factorize import load_model, save_model
+from shelfwise.operators.topk import catalogue
 from shelfwise.schemas import PRODUCT_MAP, RECOMMENDATIONS, USER_MAP
-from shelfwise.session import delete_path, path_exists
+from shelfwise.session import claimed_number, delete_path, path_exists
 
 CURRENT = (
     "version int, path string, published_at timestamp, test_rows bigint, "
@@ -68,14 +69,7 @@ def publish(
 
 def claimed_version(spark: SparkSession, root: str) -> int:
     """A version number that no other publisher gets: whoever creates its file has it."""
-    version = current_version(spark, root)
-    files = spark._jvm.org.apache.hadoop.fs.Path(root).getFileSystem(
-        spark._jsc.hadoopConfiguration()
-    )
-    while True:
-        version += 1
-        if files.createNewFile(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/claims/{version}")):
-            return version
+    return claimed_number(spark, f"{root}/claims", current_version(spark, root))
 
 
 def retired_versions(spark, root, version, keep, min_age) -> list[int]:
@@ -117,3 +111,19 @@ def load_published(spark: SparkSession, root: str, version: int | None = None) -
 def published_recommendations(spark: SparkSession, root: str, version: int | None = None):
     version = version or current_version(spark, root)
     return spark.read.schema(RECOMMENDATIONS).parquet(f"{root}/version={version}/recommendations")
+
+
+class CurrentModel:
+    """The model in use. Asked again, it looks at the pointer, and loads and prepares a version
+    only if it is another one than before."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root, self.held = spark, root, None
+
+    def now(self):
+        """Version, model and prepared products."""
+        version = current_version(self.spark, self.root)
+        if self.held is None or self.held[0] != version:
+            model = load_published(self.spark, self.root, version).model
+            self.held = version, model, catalogue(model.itemFactors)
+        return self.held

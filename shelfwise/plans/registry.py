@@ -10,6 +10,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise.operators import clean, encode, evaluate, serve, split, topk
+from shelfwise.operators.first_answers import FirstAnswers
 from shelfwise.operators.factorize import (
     AlsSettings, fit_and_store, load_model, predict, save_model, settings_report,
 )
@@ -181,6 +182,18 @@ def encoded_ratings(spark, folder):
     return encode.encode(ratings(spark, folder), users, products, fitted_on_df=True)
 
 
+@query
+def index_extended(spark, folder):
+    """Numbers of all ids when those of a first half of the ratings keep theirs."""
+    first, _ = split.hashed_halves(ratings(spark, folder), 0.5)
+    maps = []
+    for column in ("user_id", "product_id"):
+        known = materialize(encode.index_by_frequency(first, column), "known")
+        extended = encode.extend_index(known, ratings(spark, folder), column)
+        maps.append(extended.toDF("id", "index", "n").withColumn("map", F.lit(column)))
+    return maps[0].unionByName(maps[1])
+
+
 @query
 def encode_unseen(spark, folder):
     """Maps fitted on a small train half, applied to all ratings."""
@@ -422,13 +435,32 @@ def serve_batch(spark, folder):
     ))
 
 
+@shared
+def first_answers(spark, folder) -> FirstAnswers:
+    """The stored answers as a table of first ones, from four batches, the second one repeated
+    and the first two folded."""
+    table = FirstAnswers(spark, scratch_path(spark, "first")).start(slots=8)
+    rows = fixture.stored_answers(spark, folder)
+    for number in (0, 1, 1, None, 2, 3):
+        if number is None:
+            table.fold()
+        else:
+            table.add(f"b{number}", rows.where(F.crc32("timestamp") % 4 == number))
+    return table
+
+
+@query
+def first_answers_table(spark, folder):
+    """The first stored answer of every user."""
+    return first_answers(spark, folder).all().select(
+        "user_id", "stored.timestamp", F.inline("stored.recommendations"))
+
+
 @query
 def serve_fallback(spark, folder):
-    """The answers that came from the store, in full."""
+    """The answers that came from the table of first ones, in full."""
     answers = serve.answer(
-        fixture.requests(spark, folder), model(spark, folder, 1),
-        fixture.stored_answers(spark, folder),
-    )
+        fixture.requests(spark, folder), model(spark, folder, 1), first_answers(spark, folder))
     return answers.filter(F.col("source") == "stored").select(
         "request_id", "user_id", "timestamp", F.inline("recommendations")
     )
@@ -478,6 +510,45 @@ def serve_stream(spark, folder):
     return _answer_shape(streaming.read_answers(spark, paths["out"]))
 
 
+@query
+def serve_stream_repeats(spark, folder):
+    """Every request is in two files of a stream that answers repeated ones once."""
+    paths = {name: scratch_path(spark, name) for name in ("requests", "out", "log", "state")}
+    for _ in range(2):
+        fixture.requests(spark, folder).repartition(2, "request_id").write.mode(
+            "append").parquet(paths["requests"])
+    streaming.serve_stream(
+        streaming.request_stream(
+            spark, paths["requests"], files_per_batch=2, repeats_within="1 hour"),
+        model(spark, folder, 1), paths["out"], paths["log"], paths["state"],
+        stored=lambda: fixture.stored_answers(spark, folder),
+    ).awaitTermination()
+    return _answer_shape(streaming.read_answers(spark, paths["out"]))
+
+
+@query
+def serve_stream_versions(spark, folder):
+    """A version is published while a stream runs: which one answered each request?"""
+    root, state = scratch_path(spark, "published"), scratch_path(spark, "state")
+    paths = {name: scratch_path(spark, name) for name in ("requests", "out", "log")}
+    users, products = id_map(spark, folder, "user_id"), id_map(spark, folder, "product_id")
+    rows = fixture.requests(spark, folder)
+    rows.limit(0).write.parquet(paths["requests"])
+    publish.publish(spark, root, model(spark, folder, 1), users, products)
+    run = streaming.serve_stream(
+        streaming.request_stream(spark, paths["requests"]), publish.CurrentModel(spark, root),
+        paths["out"], paths["log"], state, trigger={"processingTime": "0 seconds"},
+    )
+    for half in (0, 1):
+        if half:
+            publish.publish(spark, root, model(spark, folder, 1), users, products)
+        rows.where(F.col("request_id") % 2 == half).coalesce(1).write.mode("append").parquet(
+            paths["requests"])
+        run.processAllAvailable()
+    run.stop()
+    return streaming.read_answers(spark, paths["out"]).select("request_id", "version")
+
+
 @query
 def serve_two_streams(spark, folder):
     """Two streams with checkpoints of their own into the same folders, the first one started

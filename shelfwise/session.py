@@ -127,3 +127,24 @@ def delete_path(spark: SparkSession, path: str) -> None:
 def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
+def folders_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path``; none if it does not exist."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(hadoop_path):
+        return []
+    return sorted(found.getPath().getName() for found in files.listStatus(hadoop_path)
+                  if found.isDirectory())
+
+
+def claimed_number(spark: SparkSession, path: str, after: int = 0) -> int:
+    """A number above ``after`` that nobody else gets: whoever creates its file below ``path`` has
+    it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    while True:
+        after += 1
+        if files.createNewFile(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{after}")):
+            return after

@@ -4,19 +4,28 @@ from collections.abc import Callable
 from uuid import uuid4
 
 from pyspark.ml.recommendation import ALSModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise.operators.serve import serve
 from shelfwise.operators.topk import catalogue
+from shelfwise.plans.publish import CurrentModel
 from shelfwise.schemas import REQUESTS
-from shelfwise.session import job_folder, scratch_path
+from shelfwise.session import job_folder, scratch_path, sized_shuffles
 
 
-def request_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    return (
-        spark.readStream.schema(REQUESTS).option("maxFilesPerTrigger", files_per_batch)
-        .parquet(path)
-    )
+def request_stream(
+    spark: SparkSession, path: str, files_per_batch: int = 1000, repeats_within: str | None = None,
+) -> DataFrame:
+    """Requests as their files arrive. With ``repeats_within`` (say ``"1 hour"``) a request id that
+    arrives again within that time of its first file is not answered again: the ids seen are kept
+    in the stream's state until the watermark has passed them."""
+    files = spark.readStream.schema(REQUESTS).option("maxFilesPerTrigger", files_per_batch)
+    requests = files.parquet(path)
+    if repeats_within is None:
+        return requests
+    arrived = requests.select("*", F.col("_metadata.file_modification_time").alias("arrived"))
+    return arrived.withWatermark("arrived", repeats_within).dropDuplicatesWithinWatermark(
+        ["request_id"]).drop("arrived")
 
 
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
@@ -27,31 +36,36 @@ def stream_id(spark: SparkSession, checkpoint: str) -> str:
 
 
 def serve_stream(
-    requests: DataFrame, model: ALSModel, answers_path: str, log_path: str, checkpoint: str,
-    stored: Callable[[], DataFrame | None] | None = None, trigger=None,
+    requests: DataFrame, model: ALSModel | CurrentModel, answers_path: str, log_path: str,
+    checkpoint: str, stored: Callable[[], DataFrame | None] | None = None, trigger=None,
 ):
     """Start answering; the default trigger takes all files present and stops.
 
     A batch that is repeated after a failure has the same name and replaces its own
     folders, so every request has one answer and the log one entry for it. The name has the
     stream's own id, which is kept with its checkpoint, so streams and batch jobs may share
-    folders. The products are made ready once for all batches.
+    folders. The products are made ready once for all batches of a model. A ``CurrentModel``
+    is asked before each batch, so a version that is published while the stream runs answers
+    from the next batch on; its answers carry its number. Shuffles are sized by the batch.
     """
 
     spark = requests.sparkSession
     name = stream_id(spark, checkpoint)
-    products = catalogue(model.itemFactors)
+    fixed = None if isinstance(model, CurrentModel) else (
+        None, model, catalogue(model.itemFactors))
 
     def answer_batch(batch: DataFrame, number: int) -> None:
         # The session of a micro-batch has adaptive execution off, so go on from a file.
+        version, fitted, products = fixed or model.now()
         with job_folder(spark):
             path = scratch_path(spark, "requests")
             batch.write.parquet(path)
             table = spark.read.schema(REQUESTS).parquet(path)
-            serve(
-                table, model, answers_path, log_path, f"stream-{name}-{number}", stored,
-                products=products,
-            )
+            with sized_shuffles(spark, path):
+                serve(
+                    table, fitted, answers_path, log_path, f"stream-{name}-{number}", stored,
+                    version=version, products=products,
+                )
 
     return (
         requests.writeStream.foreachBatch(answer_batch)
