@@ -14,7 +14,7 @@ from functools import reduce
 import numpy as np
 from pyspark import Broadcast, cloudpickle
 from pyspark.ml.recommendation import ALSModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfwise.functions import ranking
 from shelfwise.operators.encode import with_positions
@@ -165,6 +165,31 @@ def recommend_for(
     return _as_recommendations(top_k(users, items, n_users=wanted.count(), **limits))
 
 
+def recommend_unseen(
+    model: ALSModel, seen: DataFrame, k: int = LIST_LENGTH, products: Catalogue | None = None,
+    **limits,
+) -> DataFrame:
+    """``(user_id_int, rank, product_id_int, score)``: the ``k`` best products of every user of the
+    model that are not in ``seen``, rows ``(user_id_int, product_id_int)``.
+
+    A user who has seen ``n`` products gets a list of at least ``k + n``, so ``k`` are left whatever
+    they are; the lengths are rounded up to powers of two. What is seen is taken out by an anti
+    join of entries, so no task holds all that a user has seen.
+    """
+    pairs = seen.select("user_id_int", "product_id_int").distinct()
+    counts = pairs.groupBy("user_id_int").agg(F.count("*").alias("n"))
+    n = F.coalesce("n", F.lit(0))
+    extra = F.when(n == 0, 0).otherwise(F.pow(F.lit(2), F.ceil(F.log2(n))))
+    wanted = materialize(model.userFactors.select("id").join(
+        counts, F.col("id") == F.col("user_id_int"), "left").select(
+        F.col("id").alias("user_id"), (F.lit(k) + extra).cast("int").alias("k")), "lengths")
+    entries = long_form(recommend_for(model, wanted, products, **limits))
+    left = entries.join(pairs, ["user_id_int", "product_id_int"], "left_anti")
+    place = F.row_number().over(Window.partitionBy("user_id_int").orderBy("rank"))
+    return left.withColumn("rank", place).where(F.col("rank") <= k).select(
+        "user_id_int", "rank", "product_id_int", "score")
+
+
 def long_form(recs: DataFrame, *keys: str, length: int | None = None) -> DataFrame:
     """One row an entry: ``(*keys, rank, product_id_int, score)``, ranks from 1; ``length``
     cuts longer lists."""

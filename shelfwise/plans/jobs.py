@@ -12,7 +12,8 @@ from shelfwise.operators.lookup import hot_keys, key_counts, spread_lookup
 from shelfwise.operators.serve import one_request, serve
 from shelfwise.operators.split import hashed_halves, random_halves
 from shelfwise.operators.topk import long_form, recommend_all
-from shelfwise.plans.publish import current_version, load_published, publish
+from shelfwise.plans import exports
+from shelfwise.plans.publish import current_version, held, load_published, publish
 from shelfwise.schemas import DEFAULT_N, LIST_LENGTH
 from shelfwise.session import job_folder, materialize, sized_shuffles, together
 from shelfwise.sources import sinks
@@ -81,18 +82,23 @@ def train_job(
         train, test = SPLITS[split](encoded)
         train = materialize(train, "train")
         train_rows = train.count()
+        # Spark's solver keeps all ratings of one id in one block: say how large the largest are.
+        heaviest = {f"largest_{name}_rows": id_map.agg(F.max("n")).first()[0] or 0
+                    for name, id_map in (("user", users), ("product", products))}
         model = fit_and_store(train, settings)
         figures = evaluation(predict(model, test, "nan")).first()
         version = publish(
             spark, root, model, users, products,
             recs=recommend_all(model, top) if top else None,
-            settings=settings_report(settings, train_rows), rmse=figures.rmse,
+            settings=settings_report(settings, train_rows) | {
+                name: str(rows) for name, rows in heaviest.items()},
+            rmse=figures.rmse,
             test_rows=figures.test_rows, predicted_rows=figures.predicted_rows,
         )
         return Row(
             version=version, train_rows=train_rows, test_rows=figures.test_rows,
             predicted_rows=figures.predicted_rows, rmse=figures.rmse,
-            users=users.count(), products=products.count(),
+            users=users.count(), products=products.count(), **heaviest,
         )
 
 
@@ -141,6 +147,31 @@ def recommend_all_job(spark: SparkSession, root: str, out_path: str, k: int = LI
     return recs.count()
 
 
+def export_job(spark: SparkSession, root: str, out_path: str, k: int = LIST_LENGTH) -> int:
+    """The tables of :func:`recommend_all_job` as one run of an export, which readers see whole
+    or not at all; returns the number of the run."""
+    with held(spark, root) as published, job_folder(spark):
+        with sized_shuffles(spark, f"{root}/version={published.version}"):
+            recs = materialize(recommend_all(published.model, k), "recommendations")
+        decoded = decoded_lists(recs, published.user_map, published.product_map)
+
+        def counted(write, rows):
+            def run(path):
+                write(rows, path)
+                return rows.count()
+
+            return run
+
+        return exports.export(spark, out_path, {
+            "recommendations": counted(sinks.write_parquet, recs),
+            "recommendations_json": counted(sinks.write_recs_json, recs),
+            "recommendations_csv": counted(sinks.write_recs_csv, recs),
+            "decoded": counted(sinks.write_parquet, decoded),
+            "user_map": counted(sinks.write_map, published.user_map),
+            "product_map": counted(sinks.write_map, published.product_map),
+        })
+
+
 def retrain(
     spark: SparkSession, raw_path: str, root: str, *, file_format: str = "csv",
     settings: AlsSettings = AlsSettings(), split: str = "random", top: int | None = None,
@@ -166,8 +197,7 @@ def serve_job(
     """Answer a table of requests with the current version. Names of batches have a prefix of
     their own, so none is that of a stream's batch."""
     requests = spark.read.parquet(requests_path)
-    published = load_published(spark, root)
-    with sized_shuffles(spark, requests_path):
+    with held(spark, root) as published, sized_shuffles(spark, requests_path):
         return serve(requests, published.model, answers_path, log_path, f"job-{batch}",
                      version=published.version)
 
@@ -177,7 +207,7 @@ def answer_job(
     n: int = DEFAULT_N,
 ) -> str:
     """Answer one user with the current version: the JSON document a caller gets."""
-    published = load_published(spark, root)
-    answers = serve(one_request(spark, user_id, n), published.model, answers_path, log_path,
-                    f"one-{uuid4().hex}", version=published.version)
+    with held(spark, root) as published:
+        answers = serve(one_request(spark, user_id, n), published.model, answers_path, log_path,
+                        f"one-{uuid4().hex}", version=published.version)
     return sinks.answer_documents(answers).first().document

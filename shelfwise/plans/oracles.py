@@ -213,6 +213,21 @@ ORACLES = {
         WHERE user_id_int IN (SELECT user_id FROM requests)"""),
     "recs_long": _with("listed", "ranks", select="""
         SELECT user_id_int, rank FROM listed JOIN ranks ON rank <= n_items"""),
+    "recs_unseen": _with("train", "listed", "ranks", select="""
+        , rated AS (
+            SELECT user_id_int, count(DISTINCT product_id_int) AS n FROM train GROUP BY user_id_int)
+        SELECT user_id_int, rank, false AS rated FROM listed JOIN rated USING (user_id_int)
+        JOIN ranks ON rank <= n_items - rated.n"""),
+    "serve_decoded": _with("ratings", select="""
+        SELECT CAST(v AS INTEGER) AS version, user_id, product_id, rating AS score
+        FROM ratings CROSS JOIN range(1, 3) AS t(v)"""),
+    "export_manifest": _with("listed", "sizes", select="""
+        , n AS (SELECT count(*) AS lists, sum(least(10, n_items)) AS entries FROM listed)
+        SELECT 2 AS run, name, CAST(CASE name WHEN 'decoded' THEN entries
+            WHEN 'user_map' THEN n_users WHEN 'product_map' THEN n_products
+            ELSE lists END AS BIGINT) AS n
+        FROM n CROSS JOIN sizes CROSS JOIN (VALUES ('recommendations'), ('recommendations_json'),
+            ('recommendations_csv'), ('decoded'), ('user_map'), ('product_map')) AS t(name)"""),
     "recs_decoded": USER_RANKS,
     "recommend_all_export": USER_RANKS,
     "recs_json_roundtrip": _with("listed", select="""

@@ -4,7 +4,10 @@ A version is complete before a row in the ``current`` table names it, so readers
 old version until the new one is whole, and never none.
 """
 
+import time
+from contextlib import contextmanager
 from dataclasses import dataclass
+from uuid import uuid4
 
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -12,13 +15,14 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from shelfwise.operators.factorize import load_model, save_model
 from shelfwise.operators.topk import catalogue
 from shelfwise.schemas import PRODUCT_MAP, RECOMMENDATIONS, USER_MAP
-from shelfwise.session import claimed_number, delete_path, path_exists
+from shelfwise.session import claimed_number, delete_path, names_in, path_exists, touch
 
 CURRENT = (
     "version int, path string, published_at timestamp, test_rows bigint, "
     "predicted_rows bigint, rmse double, settings map<string,string>"
 )
 KEEP = 2
+LEASE = 3600  # seconds
 
 
 @dataclass(frozen=True)
@@ -49,13 +53,13 @@ def publish(
     test_rows=None, predicted_rows=None, rmse=None, keep: int = KEEP, min_age: float = 0,
 ) -> int:
     """Write a new version, make it the current one and drop all but the last ``keep``. None is
-    dropped that was still the current one ``min_age`` seconds ago, so that jobs which loaded it
-    can go on reading."""
+    dropped that a reader holds, or that was still the current one ``min_age`` seconds ago, so
+    that jobs which loaded it can go on reading. Maps stay."""
     version = claimed_version(spark, root)
     path = f"{root}/version={version}"
     save_model(model, f"{path}/model")
-    user_map.write.mode("overwrite").parquet(f"{path}/user_map")
-    product_map.write.mode("overwrite").parquet(f"{path}/product_map")
+    user_map.write.mode("overwrite").parquet(f"{root}/maps/version={version}/user_map")
+    product_map.write.mode("overwrite").parquet(f"{root}/maps/version={version}/product_map")
     if recs is not None:
         recs.write.mode("overwrite").parquet(f"{path}/recommendations")
     row = (version, path, None, test_rows, predicted_rows, rmse, settings or {})
@@ -64,6 +68,7 @@ def publish(
     ).coalesce(1).write.mode("append").parquet(f"{root}/current")
     for retired in retired_versions(spark, root, version, keep, min_age):
         delete_path(spark, f"{root}/version={retired}")
+        delete_path(spark, f"{root}/leases/{retired}")
     return version
 
 
@@ -83,9 +88,42 @@ def retired_versions(spark, root, version, keep, min_age) -> list[int]:
     return [
         row.version for row in old.collect()
         if path_exists(spark, f"{root}/version={row.version}")
+        and not is_held(spark, root, row.version)
     ]
 
 
+def lease(spark: SparkSession, root: str, version: int, seconds: float) -> str:
+    """Keep a version from being retired for so long; returns the lease, a file that names its end."""
+    path = f"{root}/leases/{version}/{int(time.time() + seconds)}-{uuid4().hex}"
+    touch(spark, path)
+    return path
+
+
+def is_held(spark: SparkSession, root: str, version: int) -> bool:
+    """Whether a reader's lease of the version has not ended."""
+    ends = (name.split("-")[0] for name in names_in(spark, f"{root}/leases/{version}"))
+    return any(int(end) > time.time() for end in ends)
+
+
+@contextmanager
+def held(spark: SparkSession, root: str, seconds: float = LEASE):
+    """The current version, which no publisher retires while the block runs, or for ``seconds`` if
+    the reader dies. The lease is written before the files are looked for, so a version retired
+    in between is seen to be gone, and the one after it is taken."""
+    while True:
+        version = current_version(spark, root)
+        if not version:
+            raise FileNotFoundError(f"nothing is published in {root}")
+        path = lease(spark, root, version, seconds)
+        if path_exists(spark, f"{root}/version={version}"):
+            break
+        delete_path(spark, path)
+    try:
+        yield load_published(spark, root, version)
+    finally:
+        delete_path(spark, path)
+
+
 def kept_versions(spark: SparkSession, root: str) -> list[int]:
     """Versions whose files are still there: the current one and its backups."""
     return sorted(
@@ -103,11 +141,18 @@ def load_published(spark: SparkSession, root: str, version: int | None = None) -
     return Published(
         version,
         load_model(spark, f"{path}/model"),
-        spark.read.schema(USER_MAP).parquet(f"{path}/user_map"),
-        spark.read.schema(PRODUCT_MAP).parquet(f"{path}/product_map"),
+        *read_maps(spark, root, version),
     )
 
 
+def read_maps(spark: SparkSession, root: str, version: int) -> tuple[DataFrame, DataFrame]:
+    """The maps of users and products of a version. They stay when it is retired, since answers it
+    has given hold its integers."""
+    path = f"{root}/maps/version={version}"
+    return (spark.read.schema(USER_MAP).parquet(f"{path}/user_map"),
+            spark.read.schema(PRODUCT_MAP).parquet(f"{path}/product_map"))
+
+
 def published_recommendations(spark: SparkSession, root: str, version: int | None = None):
     version = version or current_version(spark, root)
     return spark.read.schema(RECOMMENDATIONS).parquet(f"{root}/version={version}/recommendations")
@@ -115,15 +160,23 @@ def published_recommendations(spark: SparkSession, root: str, version: int | Non
 
 class CurrentModel:
     """The model in use. Asked again, it looks at the pointer, and loads and prepares a version
-    only if it is another one than before."""
+    only if it is another one than before. It holds the version it has by a lease, which it
+    renews when half of it is over."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root, self.held = spark, root, None
+    def __init__(self, spark: SparkSession, root: str, lease: float = LEASE):
+        self.spark, self.root, self.seconds = spark, root, lease
+        self.kept, self.renewed = None, 0.0
 
     def now(self):
         """Version, model and prepared products."""
         version = current_version(self.spark, self.root)
-        if self.held is None or self.held[0] != version:
-            model = load_published(self.spark, self.root, version).model
-            self.held = version, model, catalogue(model.itemFactors)
-        return self.held
+        if self.kept is None or self.kept[0] != version:
+            with held(self.spark, self.root, self.seconds) as published:
+                lease(self.spark, self.root, published.version, self.seconds)
+                self.renewed = time.time()
+                self.kept = (published.version, published.model,
+                             catalogue(published.model.itemFactors))
+        elif time.time() > self.renewed + self.seconds / 2:
+            lease(self.spark, self.root, version, self.seconds)
+            self.renewed = time.time()
+        return self.kept

@@ -14,7 +14,8 @@ from shelfwise.operators.first_answers import FirstAnswers
 from shelfwise.operators.factorize import (
     AlsSettings, fit_and_store, load_model, predict, save_model, settings_report,
 )
-from shelfwise.plans import fixture, jobs, publish
+from shelfwise.functions.recommendations import iso_timestamp
+from shelfwise.plans import decoded, exports, fixture, jobs, publish
 from shelfwise.schemas import DEFAULT_N, LIST_LENGTH, RATING_KEY
 from shelfwise.session import materialize, scratch_path
 from shelfwise.sources import reviews as review_files, sinks
@@ -360,6 +361,17 @@ def recs_long(spark, folder):
     return rows.select("user_id_int", "rank")
 
 
+@query
+def recs_unseen(spark, folder):
+    """Lists without the products a user has rated in the train half."""
+    train, _ = halves(spark, folder)
+    lists = topk.recommend_unseen(model(spark, folder, 0.8), train)
+    rated = train.select("user_id_int", "product_id_int").distinct().withColumn(
+        "rated", F.lit(True))
+    return lists.join(rated, ["user_id_int", "product_id_int"], "left").select(
+        "user_id_int", "rank", F.coalesce("rated", F.lit(False)).alias("rated"))
+
+
 @query
 def recs_decoded(spark, folder):
     rows = jobs.decoded_lists(
@@ -569,6 +581,31 @@ def serve_two_streams(spark, folder):
         "user_id", "n_answers", F.coalesce("n_logged", F.lit(0)).alias("n_logged"))
 
 
+@query
+def serve_decoded(spark, folder):
+    """Answers of two versions with other numbers, one old and without its version, in text ids."""
+    root, fitted = scratch_path(spark, "published"), model(spark, folder, 0.8)
+    first, _ = split.hashed_halves(ratings(spark, folder), 0.5)
+    maps = {1: [], 2: []}
+    for column in ("user_id", "product_id"):
+        known = materialize(encode.index_by_frequency(first, column), "known")
+        maps[1].append(id_map(spark, folder, column))
+        maps[2].append(materialize(
+            encode.extend_index(known, ratings(spark, folder), column), "extended"))
+    given = []
+    for version, (users, products) in maps.items():
+        publish.publish(spark, root, fitted, users, products)
+        rows = encode.encode(ratings(spark, folder), users, products, fitted_on_df=True)
+        item = F.struct(F.col("product_id_int").alias("product_id"), F.col("rating").alias("score"))
+        given.append(materialize(rows.groupBy(F.col("user_id_int").alias("user_id")).agg(
+            F.collect_list(item).alias("recommendations")).select(
+            (F.col("user_id") * 2 + version).alias("request_id"), "user_id", "recommendations",
+            iso_timestamp(F.current_timestamp()).alias("timestamp"),
+            F.lit(version if version == 2 else None).cast("int").alias("version")), "given"))
+    found = decoded.decoded_answers(spark, root, given[0].unionByName(given[1]), "request_id")
+    return found.select("version", "user_id", F.inline("recommendations"))
+
+
 # --- jobs ---------------------------------------------------------------------------------
 
 
@@ -628,6 +665,21 @@ def recommend_all_export(spark, folder):
     return spark.read.parquet(f"{out}/decoded").select("user_id", "rank")
 
 
+@query
+def export_manifest(spark, folder):
+    """Two exports of a published version: what the manifest says of the last one."""
+    root, out = scratch_path(spark, "published"), scratch_path(spark, "exports")
+    publish.publish(
+        spark, root, model(spark, folder, 0.8), id_map(spark, folder, "user_id"),
+        id_map(spark, folder, "product_id"))
+    for _ in range(2):
+        jobs.export_job(spark, root, out)
+    last = exports.exported(spark, out)
+    return spark.createDataFrame(
+        [(last.run, name, rows) for name, rows in last.rows.items()],
+        "run int, name string, n bigint")
+
+
 @query
 def recs_export_lengths(spark, folder):
     """Lists of twenty through all four exports of one run."""

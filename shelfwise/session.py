@@ -129,14 +129,26 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def _listed(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.listStatus(hadoop_path) if files.exists(hadoop_path) else []
+
+
 def folders_in(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below ``path``; none if it does not exist."""
+    return sorted(f.getPath().getName() for f in _listed(spark, path) if f.isDirectory())
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly below ``path``; none if it does not exist."""
+    return sorted(f.getPath().getName() for f in _listed(spark, path) if f.isFile())
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Make an empty file."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(hadoop_path):
-        return []
-    return sorted(found.getPath().getName() for found in files.listStatus(hadoop_path)
-                  if found.isDirectory())
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).create(hadoop_path).close()
 
 
 def claimed_number(spark: SparkSession, path: str, after: int = 0) -> int:
