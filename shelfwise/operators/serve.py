@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from shelfwise.functions.recommendations import answer_items, iso_timestamp
 from shelfwise.operators.first_answers import CONTENT, FirstAnswers, earliest
 from shelfwise.operators.lookup import hot_keys, spread_lookup
-from shelfwise.operators.topk import Catalogue, recommend_for
+from shelfwise.operators.topk import recommend_for
 from shelfwise.schemas import DEFAULT_N, EMPTY_MESSAGE, REQUESTS
 from shelfwise.session import job_folder, materialize, path_exists
 
@@ -63,7 +63,7 @@ def with_default_n(requests: DataFrame) -> DataFrame:
 
 def answer(
     requests: DataFrame, model: ALSModel, stored: DataFrame | FirstAnswers | None = None,
-    served_at: Column | None = None, products: Catalogue | None = None, **limits,
+    served_at: Column | None = None, **limits,
 ) -> DataFrame:
     """One row a request: ``(request_id, user_id, n, recommendations, timestamp, message,
     source)`` with ``source`` one of ``model``, ``stored`` and ``none``.
@@ -77,7 +77,7 @@ def answer(
     askers = materialize(_askers(requests), "askers")
     total = askers.agg(F.sum("n")).first()[0] or 0
     wanted = askers.filter(F.col("k").isNotNull()).select("user_id", "k")
-    lists = recommend_for(model, wanted, products)
+    lists = recommend_for(model, wanted)
     known = materialize(
         askers.select("user_id", "unlisted").join(
             lists.withColumnRenamed("user_id_int", "user_id"), "user_id", "left"

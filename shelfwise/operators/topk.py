@@ -1,189 +1,101 @@
-"""The best items of every user by the dot product of their factors.
+"""The best products of every user, by the model's own recommender.
 
-All pairs of users and items are compared, but no join makes them: users are partitioned
-by Spark, items go to every task in broadcast chunks of a bounded size, longest vectors
-first, and each task multiplies small matrices. Since a score is at most the product of the
-two lengths, a user needs no further items once that bound falls below their k-th best
-score. The bound only skips what cannot enter the list, so results are exact.
+The model blocks its factors, compares all users with all products and keeps the best of each
+user in the tasks. What it returns is written, since all that follows reads the lists more than once.
+Lists are asked for a few entries longer and sorted again, so that equal scores go by product.
 """
 
-import math
-from dataclasses import dataclass, field
 from functools import reduce
 
-import numpy as np
-from pyspark import Broadcast, cloudpickle
 from pyspark.ml.recommendation import ALSModel
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shelfwise.functions import ranking
-from shelfwise.operators.encode import with_positions
 from shelfwise.schemas import LIST_LENGTH
-from shelfwise.session import materialize, scratch_path
+from shelfwise.session import materialize
 
-CHUNK_BYTES = 256 << 20
-PAIRS_PER_TASK = 20_000_000_000
-USERS_PER_TASK = 1_000_000
-STATE = "id bigint, k int, features array<float>, best array<struct<id:bigint,score:double>>"
+MARGIN = 16  # entries beyond a list's length, among which equal scores are put in order
+SHORTEST = 16  # lists up to this length are made in one go
+PAIRS = 4_000_000  # of vectors that one task of the open form compares
+INT_MAX = 2**31 - 1
 
-cloudpickle.register_pickle_by_value(ranking)
 
+def dot(left: Column | str, right: Column | str) -> Column:
+    """The dot product of two arrays of equal length, in double precision."""
+    products = F.zip_with(left, right, lambda x, y: x.cast("double") * y.cast("double"))
+    return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
 
-def _broadcast(items: DataFrame):
-    """Ids, factors and lengths of a bounded chunk of items, longest first."""
-    table = items.select(F.col("id").cast("bigint"), "features").toArrow()
-    ids = table["id"].to_numpy()
-    factors = ranking.matrix(table["features"].combine_chunks())
-    lengths = np.linalg.norm(factors.astype(np.float64), axis=1)
-    order = np.lexsort((ids, -lengths))
-    chunk = ids[order], np.ascontiguousarray(factors[order]), lengths[order]
-    return items.sparkSession.sparkContext.broadcast(chunk)
 
+def top_k(users: DataFrame, items: DataFrame, k: int, pairs: int = PAIRS) -> DataFrame:
+    """``(id, rank, item, score)`` for given vectors ``(id, features)``: the ``k`` items with the
+    largest dot products, equal ones by id.
 
-def _length(features="features"):
-    return F.sqrt(F.aggregate(features, F.lit(0.0), lambda total, x: total + x * x))
-
-
-def _slices(items: DataFrame, per_chunk: int) -> DataFrame:
-    """The items with a ``slice`` of ``per_chunk`` of them by falling length, one folder each."""
-    numbered = with_positions(
-        items.select("id", "features", _length().alias("length")),
-        "position", F.desc("length"), F.asc("id"),
-    )
-    sliced = numbered.select(
-        "id", "features", "length",
-        F.floor(F.col("position") / per_chunk).cast("int").alias("slice"),
-    )
-    spark = items.sparkSession
-    path = scratch_path(spark, "items")
-    sliced.repartition("slice").write.partitionBy("slice").parquet(path)
-    return spark.read.schema(sliced.schema).parquet(path)
-
-
-def _may_improve(longest: float):
-    """Users for whom an item of that length could still enter the list."""
-    last = F.get("best", F.col("k") - 1)["score"]
-    return last.isNull() | (_length() * longest * (1 + 1e-9) >= last)
-
-
-@dataclass(frozen=True)
-class Catalogue:
-    """Items made ready for ranking, to be used for any number of user tables: one broadcast
-    if they fit into it, else slices by falling length with the greatest length of each."""
-
-    n_items: int
-    per_chunk: int
-    chunk: Broadcast | None = None
-    slices: DataFrame | None = None
-    longest: dict[int, float] = field(default_factory=dict)
-
-
-def catalogue(items: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> Catalogue:
-    """``chunk_bytes`` bounds the items in one broadcast."""
-    n_items, width = items.agg(F.count("*"), F.max(F.size("features"))).first()
-    per_chunk = max(1, chunk_bytes // (4 * (width or 0) + 16))
-    if n_items <= per_chunk:
-        return Catalogue(n_items, per_chunk, chunk=_broadcast(items) if n_items else None)
-    slices = _slices(items, per_chunk)
-    longest = dict(slices.groupBy("slice").agg(F.max("length")).collect())
-    return Catalogue(n_items, per_chunk, slices=slices, longest=longest)
-
-
-def top_k(
-    users: DataFrame, items: DataFrame | Catalogue, k: int | None = None, *,
-    n_users: int | None = None, chunk_bytes: int = CHUNK_BYTES,
-    pairs_per_task: int = PAIRS_PER_TASK,
-) -> DataFrame:
-    """``(id, best)`` for each user: ``(id, score)`` entries, best first, equal scores by id.
-
-    Both inputs are ``(id, features)``; users may have a ``k`` of their own. ``n_users`` is
-    about how many there are, counted if not given. More items than a chunk holds take more
-    rounds, longest items first; the lists so far are kept in the shared folder, and a round
-    only goes over users whose lists its items may still improve.
+    Users lie in blocks, every block meets a copy of the items, and the best of each user are
+    picked in the task before they are shuffled.
     """
-    n_users = users.count() if n_users is None else n_users
-    if not isinstance(items, Catalogue):
-        items = catalogue(items, chunk_bytes)
-    slots = users.sparkSession.sparkContext.defaultParallelism
-    tasks = max(
-        slots, math.ceil(n_users * min(items.n_items, items.per_chunk) / pairs_per_task),
-        math.ceil(n_users / USERS_PER_TASK),
-    )
-
-    def improved(state, chunk):
-        return state.repartition(tasks, "id").mapInArrow(ranking.ranker(chunk), STATE)
-
-    state = users.select(
-        F.col("id").cast("bigint"),
-        (F.col("k") if k is None else F.lit(k)).cast("int").alias("k"),
-        F.col("features").cast("array<float>"),
-        F.array().cast("array<struct<id:bigint,score:double>>").alias("best"),
-    )
-    if items.slices is None:
-        lists = improved(state, items.chunk) if items.n_items else state
-        return lists.filter(F.size("best") > 0).select("id", "best")
-    finished = []
-    for number in sorted(items.longest):
-        chunk = _broadcast(items.slices.filter(F.col("slice") == number))
-        state = materialize(improved(state, chunk), "lists")
-        chunk.unpersist()
-        last = number + 1 not in items.longest
-        live = F.lit(False) if last else _may_improve(items.longest[number + 1])
-        finished.append(state.filter(~live).select("id", "best"))
-        state = state.filter(live)
-        if last or state.isEmpty():
-            break
-    return reduce(DataFrame.unionAll, finished)
-
-
-def _as_recommendations(lists: DataFrame) -> DataFrame:
-    items = F.transform("best", lambda x: F.struct(
-        x["id"].cast("int").alias("product_id_int"), x["score"].cast("float").alias("rating")
-    ))
-    return lists.select(
-        F.col("id").cast("int").alias("user_id_int"), items.alias("recommendations")
-    )
-
-
-def recommend_all(model: ALSModel, k: int = LIST_LENGTH, **limits) -> DataFrame:
+    blocks = max(1, -(-users.count() * items.count() // pairs))
+    block = F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block")
+    copies = F.explode(F.sequence(*(F.lit(n).cast("bigint") for n in (0, blocks - 1)))).alias("block")
+    items = items.select(F.col("id").alias("item"), F.col("features").alias("other"), copies)
+    scores = users.select("id", "features", block).join(items, "block").select(
+        "id", "item", dot("features", "other").alias("score"))
+    rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("score"), "item"))
+    return scores.select("id", rank.alias("rank"), "item", "score").where(F.col("rank") <= k)
+
+
+def _cut(recommendations: Column, k) -> Column:
+    """The first ``k`` entries, best first, equal scores by product."""
+    ordered = F.array_sort(F.transform(recommendations, lambda x: F.struct(
+        (-x["rating"]).alias("below"), x["product_id_int"].alias("product_id_int"),
+        x["rating"].alias("rating"))))
+    return F.slice(F.transform(ordered, lambda x: F.struct(
+        x["product_id_int"].alias("product_id_int"), x["rating"].alias("rating"))), 1, k)
+
+
+def recommend_all(model: ALSModel, k: int = LIST_LENGTH) -> DataFrame:
     """The ``k`` best products of every user of the model, rated ones included."""
     if k <= 0:
         raise ValueError("k is at least 1")
-    return _as_recommendations(top_k(model.userFactors, model.itemFactors, k, **limits))
-
-
-def recommend_for(
-    model: ALSModel, wanted: DataFrame, products: Catalogue | None = None, **limits
-) -> DataFrame:
-    """The same for the users in ``wanted``, one row ``(user_id, k)`` each; unknown ones are
-    left out. Each list has the length its own row asks for, or all products if fewer.
-    ``products`` saves preparing the model's products again."""
-    users = model.userFactors.join(wanted, F.col("id") == F.col("user_id")).select(
-        "id", "features", "k"
-    )
-    items = model.itemFactors if products is None else products
-    return _as_recommendations(top_k(users, items, n_users=wanted.count(), **limits))
-
-
-def recommend_unseen(
-    model: ALSModel, seen: DataFrame, k: int = LIST_LENGTH, products: Catalogue | None = None,
-    **limits,
-) -> DataFrame:
+    longest = min(k + MARGIN, max(model.itemFactors.count(), 1))
+    lists = model.recommendForAllUsers(longest)
+    return materialize(lists.withColumn(
+        "recommendations", _cut(F.col("recommendations"), F.lit(k))), "recommendations")
+
+
+def recommend_for(model: ALSModel, wanted: DataFrame) -> DataFrame:
+    """The same for the users in ``wanted``, a written table with one row ``(user_id, k)`` each;
+    unknown ones are left out. Each list has the length its own row asks for, or all products if
+    fewer. Users are put into classes by that length, rounded up to a power of two, so that one
+    long list does not make all lists long."""
+    n_items = max(model.itemFactors.count(), 1)
+    wanted = wanted.where(F.col("user_id").between(0, INT_MAX) & (F.col("k") > 0)).select(
+        F.col("user_id").cast("int").alias("user_id_int"),
+        F.least("k", F.lit(n_items)).cast("int").alias("k"))
+    power = F.ceil(F.log2(F.greatest("k", F.lit(SHORTEST)))).cast("int")
+    classes = [row.power for row in wanted.select(power.alias("power")).distinct().collect()]
+    lists = [model.userFactors.sparkSession.createDataFrame(
+        [], "user_id_int int, recommendations array<struct<product_id_int:int,rating:float>>")]
+    for number in sorted(classes):  # 31 at most
+        users = wanted.where(power == number)
+        found = model.recommendForUserSubset(users, min(2**number + MARGIN, n_items))
+        lists.append(found.join(users, "user_id_int").select(
+            "user_id_int", _cut(F.col("recommendations"), F.col("k")).alias("recommendations")))
+    return materialize(reduce(DataFrame.unionAll, lists), "recommendations")
+
+
+def recommend_unseen(model: ALSModel, seen: DataFrame, k: int = LIST_LENGTH) -> DataFrame:
     """``(user_id_int, rank, product_id_int, score)``: the ``k`` best products of every user of the
     model that are not in ``seen``, rows ``(user_id_int, product_id_int)``.
 
     A user who has seen ``n`` products gets a list of at least ``k + n``, so ``k`` are left whatever
-    they are; the lengths are rounded up to powers of two. What is seen is taken out by an anti
-    join of entries, so no task holds all that a user has seen.
+    they are. What is seen is taken out by an anti join of entries, so no task holds all that a
+    user has seen.
     """
     pairs = seen.select("user_id_int", "product_id_int").distinct()
     counts = pairs.groupBy("user_id_int").agg(F.count("*").alias("n"))
-    n = F.coalesce("n", F.lit(0))
-    extra = F.when(n == 0, 0).otherwise(F.pow(F.lit(2), F.ceil(F.log2(n))))
-    wanted = materialize(model.userFactors.select("id").join(
-        counts, F.col("id") == F.col("user_id_int"), "left").select(
-        F.col("id").alias("user_id"), (F.lit(k) + extra).cast("int").alias("k")), "lengths")
-    entries = long_form(recommend_for(model, wanted, products, **limits))
+    wanted = materialize(model.userFactors.select(F.col("id").alias("user_id")).join(
+        counts, F.col("user_id") == F.col("user_id_int"), "left").select(
+        "user_id", (F.lit(k) + F.coalesce("n", F.lit(0))).alias("k")), "lengths")
+    entries = long_form(recommend_for(model, wanted))
     left = entries.join(pairs, ["user_id_int", "product_id_int"], "left_anti")
     place = F.row_number().over(Window.partitionBy("user_id_int").orderBy("rank"))
     return left.withColumn("rank", place).where(F.col("rank") <= k).select(

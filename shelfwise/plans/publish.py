@@ -13,7 +13,6 @@ from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from shelfwise.operators.factorize import load_model, save_model
-from shelfwise.operators.topk import catalogue
 from shelfwise.schemas import PRODUCT_MAP, RECOMMENDATIONS, USER_MAP
 from shelfwise.session import claimed_number, delete_path, names_in, path_exists, touch
 
@@ -159,7 +158,7 @@ def published_recommendations(spark: SparkSession, root: str, version: int | Non
 
 
 class CurrentModel:
-    """The model in use. Asked again, it looks at the pointer, and loads and prepares a version
+    """The model in use. Asked again, it looks at the pointer, and loads a version
     only if it is another one than before. It holds the version it has by a lease, which it
     renews when half of it is over."""
 
@@ -168,14 +167,13 @@ class CurrentModel:
         self.kept, self.renewed = None, 0.0
 
     def now(self):
-        """Version, model and prepared products."""
+        """Version and model."""
         version = current_version(self.spark, self.root)
         if self.kept is None or self.kept[0] != version:
             with held(self.spark, self.root, self.seconds) as published:
                 lease(self.spark, self.root, published.version, self.seconds)
                 self.renewed = time.time()
-                self.kept = (published.version, published.model,
-                             catalogue(published.model.itemFactors))
+                self.kept = published.version, published.model
         elif time.time() > self.renewed + self.seconds / 2:
             lease(self.spark, self.root, version, self.seconds)
             self.renewed = time.time()

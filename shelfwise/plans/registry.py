@@ -421,12 +421,9 @@ def topk_dot_product(spark, folder):
     vectors = fixture.table(spark, folder, "embeddings").select(
         F.col("vec_id").alias("id"), F.col("embedding").alias("features")
     )
-    lists = topk.top_k(vectors, vectors, 5)
-    return lists.select(
-        F.col("id").alias("user_vec"), F.posexplode("best").alias("pos", "item")
-    ).select(
-        "user_vec", (F.col("pos") + 1).alias("rank"), F.col("item.id").alias("item_vec"),
-        F.round("item.score", 6).alias("score"),
+    return topk.top_k(vectors, vectors, 5).select(
+        F.col("id").alias("user_vec"), "rank", F.col("item").alias("item_vec"),
+        F.round("score", 6).alias("score"),
     )
 
 

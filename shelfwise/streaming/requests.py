@@ -7,7 +7,6 @@ from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise.operators.serve import serve
-from shelfwise.operators.topk import catalogue
 from shelfwise.plans.publish import CurrentModel
 from shelfwise.schemas import REQUESTS
 from shelfwise.session import job_folder, scratch_path, sized_shuffles
@@ -44,19 +43,18 @@ def serve_stream(
     A batch that is repeated after a failure has the same name and replaces its own
     folders, so every request has one answer and the log one entry for it. The name has the
     stream's own id, which is kept with its checkpoint, so streams and batch jobs may share
-    folders. The products are made ready once for all batches of a model. A ``CurrentModel``
+    folders. A ``CurrentModel``
     is asked before each batch, so a version that is published while the stream runs answers
     from the next batch on; its answers carry its number. Shuffles are sized by the batch.
     """
 
     spark = requests.sparkSession
     name = stream_id(spark, checkpoint)
-    fixed = None if isinstance(model, CurrentModel) else (
-        None, model, catalogue(model.itemFactors))
+    fixed = None if isinstance(model, CurrentModel) else (None, model)
 
     def answer_batch(batch: DataFrame, number: int) -> None:
         # The session of a micro-batch has adaptive execution off, so go on from a file.
-        version, fitted, products = fixed or model.now()
+        version, fitted = fixed or model.now()
         with job_folder(spark):
             path = scratch_path(spark, "requests")
             batch.write.parquet(path)
@@ -64,7 +62,7 @@ def serve_stream(
             with sized_shuffles(spark, path):
                 serve(
                     table, fitted, answers_path, log_path, f"stream-{name}-{number}", stored,
-                    version=version, products=products,
+                    version=version,
                 )
 
     return (

@@ -6,9 +6,10 @@ from conftest import SMALL
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
-from shelfwise.functions import ranking
 from shelfwise.operators import evaluate, split, topk
-from shelfwise.operators.factorize import AlsSettings, fit, predict, settings_report
+from shelfwise.operators.factorize import (
+    AlsSettings, fit, load_model, predict, settings_report,
+)
 from shelfwise.plans import registry
 from shelfwise.session import materialize
 
@@ -115,17 +116,6 @@ def test_more_than_all_products(spark, model):
         u: sorted(i for i, _ in v) for u, v in lists(theirs).items()}
 
 
-@pytest.mark.parametrize("per_chunk", [1, 7, 60, 197])
-def test_rounds_over_item_chunks_change_nothing(spark, model, per_chunk):
-    if per_chunk == 1:
-        items = model.itemFactors.filter("id < 3")
-        rounds = topk.top_k(model.userFactors, items, 2, chunk_bytes=1)
-        assert sorted(rounds.collect()) == sorted(topk.top_k(model.userFactors, items, 2).collect())
-        return
-    rounds = topk.recommend_all(model, chunk_bytes=56 * per_chunk)
-    assert lists(rounds) == lists(topk.recommend_all(model))
-
-
 def test_requested_users(spark, model):
     wanted = spark.createDataFrame([(3, 4), (5, 500), (999999, 5), (2**40, 5)], "user_id bigint, k int")
     ours = lists(topk.recommend_for(model, wanted))
@@ -156,55 +146,49 @@ def vectors(spark, matrix):
     )
 
 
-@pytest.mark.parametrize("chunk_bytes", [topk.CHUNK_BYTES, 28 * 40])
-def test_equal_scores_go_by_id(spark, chunk_bytes, monkeypatch):
-    """A third of the items is one vector, some are zero; small blocks make many steps."""
-    monkeypatch.setattr(ranking, "ITEMS_AT_ONCE", 16)
+def ranked(rows):
+    out = {}
+    for r in rows.orderBy("id", "rank").collect():
+        out.setdefault(r.id, []).append(r.item)
+    return out
+
+
+@pytest.mark.parametrize("pairs", [topk.PAIRS, 700])
+def test_equal_scores_go_by_id(spark, pairs):
+    """A third of the items is one vector, some are zero; small blocks make many tasks."""
     rng = np.random.default_rng(3)
     items = rng.integers(-2, 3, size=(150, 3)).astype(np.float32)
     items[::3] = [1, 1, 0]
     items[1::10] = 0
     users = rng.integers(-2, 3, size=(40, 3)).astype(np.float32)
-    got = topk.top_k(vectors(spark, users), vectors(spark, items), 20, chunk_bytes=chunk_bytes)
-    got = {r.id: [i.id for i in r.best] for r in got.collect()}
-    assert got == brute_force(users, items, 20)
-
-
-@pytest.mark.parametrize("chunk_bytes", [topk.CHUNK_BYTES, 32 * 50])
-def test_far_apart_lengths(spark, monkeypatch, chunk_bytes):
-    """Lengths that differ by orders of magnitude let most blocks and rounds be skipped."""
-    monkeypatch.setattr(ranking, "ITEMS_AT_ONCE", 8)
-    rng = np.random.default_rng(4)
-    items = (rng.normal(size=(300, 4)) * np.logspace(3, -6, 300)[:, None]).astype(np.float32)
-    users = rng.normal(size=(30, 4)).astype(np.float32)
-    rounds = []
-    monkeypatch.setattr(topk, "_broadcast", lambda df, real=topk._broadcast: rounds.append(1) or real(df))
-    got = topk.top_k(vectors(spark, users), vectors(spark, items), 5, chunk_bytes=chunk_bytes)
-    got = {r.id: [i.id for i in r.best] for r in got.collect()}
-    assert got == brute_force(users, items, 5)
-    assert len(rounds) < 3
-
-
-@pytest.mark.parametrize("entries", [ranking.ENTRIES_AT_ONCE, 60, 1])
-@pytest.mark.parametrize("chunk_bytes", [topk.CHUNK_BYTES, 28 * 40])
-def test_steps_over_users_change_nothing(spark, monkeypatch, entries, chunk_bytes):
-    monkeypatch.setattr(ranking, "USERS_AT_ONCE", 7)
-    monkeypatch.setattr(ranking, "ENTRIES_AT_ONCE", entries)
-    rng = np.random.default_rng(6)
-    items = rng.normal(size=(100, 3)).astype(np.float32)
-    users = rng.normal(size=(120, 3)).astype(np.float32)
-    got = topk.top_k(vectors(spark, users), vectors(spark, items), 30, chunk_bytes=chunk_bytes)
-    assert {r.id: [i.id for i in r.best] for r in got.collect()} == brute_force(users, items, 30)
-
-
-@pytest.mark.parametrize("scale", [1e-25, 1e-20, 1e15, 1e30])
+    got = topk.top_k(vectors(spark, users), vectors(spark, items), 20, pairs=pairs)
+    assert ranked(got) == brute_force(users, items, 20)
+
+
+@pytest.mark.parametrize("scale", [1e-25, 1e-20, 1, 1e15, 1e30])
 def test_very_small_and_very_large_vectors(spark, scale):
-    """Scores beyond the range of single precision, which only finds candidates."""
+    """Scores beyond the range of single precision, of lengths that differ by orders."""
     rng = np.random.default_rng(5)
-    items = (rng.normal(size=(60, 4)) * scale).astype(np.float32)
+    items = (rng.normal(size=(60, 4)) * np.logspace(3, -6, 60)[:, None] * scale).astype(np.float32)
     users = (rng.normal(size=(9, 4)) * scale).astype(np.float32)
     got = topk.top_k(vectors(spark, users), vectors(spark, items), 5)
-    assert {r.id: [i.id for i in r.best] for r in got.collect()} == brute_force(users, items, 5)
+    assert ranked(got) == brute_force(users, items, 5)
+
+
+def test_equal_scores_of_a_model_go_by_product(spark, model, tmp_path):
+    """A model in which many products have the factors of product 0."""
+    path = str(tmp_path / "model")
+    model.write().save(path)
+    first = model.itemFactors.where("id = 0").first().features
+    items = model.itemFactors.where("id < 12").select("id", F.when(
+        F.col("id") < 9, F.array(*map(F.lit, first))).otherwise(
+        F.col("features")).cast("array<float>").alias("features"))
+    items = spark.createDataFrame(items.collect(), model.itemFactors.schema)
+    items.write.mode("overwrite").parquet(f"{path}/itemFactors")
+    for found in lists(topk.recommend_all(load_model(spark, path), 5)).values():
+        assert found == sorted(found, key=lambda x: (-x[1], x[0]))
+        same = [i for i, score in found if i < 9]
+        assert same == list(range(len(same)))
 
 
 def test_no_items_no_lists(spark):

@@ -59,11 +59,11 @@ def test_positions_and_encoding(spark, ratings):
     )
 
 
-def test_ranking_in_rounds(spark):
+def test_ranking(spark):
     model = registry.model(spark, SMALL, 0.8)
     whole = topk.top_k(model.userFactors, model.itemFactors, 10)
-    rounds = topk.top_k(flaky(model.userFactors), model.itemFactors, 10, chunk_bytes=56 * 60)
-    assert same(rounds, whole)
+    blocks = topk.top_k(flaky(model.userFactors), model.itemFactors, 10, pairs=900)
+    assert same(blocks, whole)
 
 
 def test_answers(spark):
