@@ -42,7 +42,7 @@ def run(spark, folder):
     train, test = split.hashed_halves(encoded)
     model = step("fit", lambda: fit_and_store(train))
     step("predict_rmse", lambda: evaluate.evaluation(predict(model, test, "nan")).first())
-    recs = step("top10_all_users", lambda: materialize(topk.recommend_all(model), "recs"))
+    recs = step("top10_all_users", lambda: topk.recommend_all(model))  # a written table
     step("decode_lists", lambda: materialize(
         jobs.decoded_lists(recs, users, products), "decoded"))
     step("serve_batch", lambda: materialize(serve.answer(

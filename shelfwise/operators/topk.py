@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from shelfwise.schemas import LIST_LENGTH
 from shelfwise.session import materialize
 
-MARGIN = 16  # entries beyond a list's length, among which equal scores are put in order
+MARGIN = 4  # entries beyond a list's length, among which equal scores are put in order
 SHORTEST = 16  # lists up to this length are made in one go
 PAIRS = 4_000_000  # of vectors that one task of the open form compares
 INT_MAX = 2**31 - 1
