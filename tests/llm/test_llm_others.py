@@ -170,3 +170,59 @@ def test_tool_calls_are_linked_ordered_and_checked(spark):
     assert found[1, "c1"].json.startswith('{"arguments":{"a":1,"b":"x"},"call_id":"c1"')
     assert found[1, "c6"].json.count("é\\n") == 1
     assert tool_calls.linked(calls.where("seq > 9"), results, schemas).count() == 0
+
+
+AWKWARD = {
+    "q": '{"a":1}', "lone": '{"b":"\\ud800x"}', "deep": "{\"c\":" + "[" * 200_000 + "]" * 200_000 + "}",
+    "nan": '{"d":NaN}', "inf": '{"d":1e999}', "minus": '{"d":-Infinity}', "twice": '{"a":1,"a":2}',
+    "whole": '{"a":1.0}', "part": '{"a":1.5}', "any": '{"e":[1,"x",null]}', "list": "[1]",
+    "nested": '{"f":{"g":"no","h":[1,-2,"x"]}}', "good": '{"f":{"g":"yes","h":[]}}',
+    "huge": '{"a":' + "9" * 5000 + "}", "digits": '{"d":12345678901234567890.5}'}
+
+
+def test_awkward_arguments_end_no_task(spark):
+    schema = {"properties": {
+        "a": {"type": "integer"}, "b": {"type": "string"}, "c": {"type": "array"},
+        "d": {"type": "number"}, "e": {}, "f": {"type": "object", "required": ["g"], "properties": {
+            "g": {"type": "string", "pattern": "^y", "minLength": 3},
+            "h": {"type": "array", "maxItems": 2, "items": {"type": "integer", "minimum": 0}}}}}}
+    calls = spark.createDataFrame(
+        [(1, name, i, "f", text, None) for i, (name, text) in enumerate(AWKWARD.items())],
+        "conv_id long, call_id string, seq long, tool string, arguments string,"
+        " depends_on array<string>")
+    results = spark.createDataFrame([], "call_id string, result string")
+    rows = tool_calls.linked(calls, results, {"f": schema}).collect()
+    record = {r.call_id: json.loads(r.json, parse_constant=pytest.fail) for r in rows}
+    errors = {name: value["errors"] for name, value in record.items()}
+    bad = ["arguments: no object"]
+    assert errors == {
+        "q": [], "lone": [], "deep": ["arguments: too deep"], "nan": bad, "inf": bad, "minus": bad,
+        "twice": ["arguments: repeated key"], "whole": [], "part": ["a: not integer"], "any": [],
+        "list": bad, "nested": ["f.g: no match", "f.g: wrong length", "f.h: wrong length",
+                                "f.h[1]: below minimum", "f.h[2]: not integer"],
+        "good": [], "huge": bad, "digits": []}
+    assert record["lone"]["arguments"]["b"] == "\ud800x"
+    assert [r.json for r in rows if r.call_id == "whole"][0].startswith('{"arguments":{"a":1},')
+
+
+@pytest.mark.parametrize("part", [100_000, 700, 3])
+def test_levels_need_rounds_for_borders_only(spark, part, monkeypatch):
+    """Long chains, forward needs, cycles and calls behind them, in parts of several sizes."""
+    long = 5_000 if part > 100 else 30
+    needs = {(1, f"c{i:05d}"): [f"c{i - 1:05d}"] if i else [] for i in range(long)}
+    needs |= {(2, f"f{i}"): [f"f{i + 1}", "f39"] if i < 39 else [] for i in range(40)}  # forward
+    needs |= {(3, f"z{i}"): [f"z{(i + 1) % 5}"] for i in range(5)}  # a cycle
+    needs |= {(3, "behind"): ["z0", "free"], (3, "free"): [], (3, "after"): ["free"]}
+    wanted = {(1, f"c{i:05d}"): i for i in range(long)} | {(2, f"f{i}"): 39 - i for i in range(40)}
+    wanted |= {(3, "free"): 0, (3, "after"): 1}
+    calls = spark.createDataFrame([(c, name, i) for i, (c, name) in enumerate(needs)],
+                                  "conv_id long, call_id string, seq long")
+    pairs = spark.createDataFrame([(c, name, n) for (c, name), of in needs.items() for n in of],
+                                  "conv_id long, call_id string, needed string")
+    rounds = []
+    real = tool_calls.with_positions
+    monkeypatch.setattr(
+        tool_calls, "with_positions", lambda *a, **k: rounds.append(1) or real(*a, **k))
+    found = tool_calls.levels(calls, pairs, part).collect()
+    assert {(r.conv_id, r.call_id): r.level for r in found} == wanted
+    assert len(rounds) <= {100_000: 2, 700: 10, 3: 60}[part]
