@@ -4,8 +4,8 @@ A rule is a host and the start of a path; it fits its host and all subdomains. H
 reversed, and with the path they form a canonical key under which all that a rule fits on one
 host is one interval: from the key itself to the key followed by a byte no text contains. A page
 has one point for each host above it that rules know. Points and interval ends are sorted
-together; where an interval starts the stack of active rules grows, where it ends the stack of
-the enclosing rule returns, and each point sees the stack of the last event before it. The
+together; where an interval starts its rule is pushed on the stack of active ones, where it ends it
+is popped, and each point sees the top of the stack that the events before it leave. The
 longest rule wins over all hosts above the page (host and path together; equally long ones by the
 longer host, then by text).
 
@@ -26,7 +26,7 @@ from shelfwise.llm.tables import UPPER
 from shelfwise.session import materialize
 
 SWEEP_ROWS = 100_000
-RULE = "struct<path:string,rule:string,verdict:string>"
+PUSH, POP, POINT = 0, 1, 2  # in this order at equal keys
 
 
 def parts(url):
@@ -47,30 +47,38 @@ def canonical(host_key, path):
     return F.concat(F.encode(host_key, "UTF-8"), F.lit(b"\x00"), F.encode(path, "UTF-8"))
 
 
-def rule_stacks(rules: DataFrame) -> DataFrame:
-    """Each distinct rule with the rules it is nested in on its host, outermost first."""
+def known_rules(rules: DataFrame) -> DataFrame:
+    """Each distinct rule once, with its reversed host."""
     known = rules.where("host IS NOT NULL AND path IS NOT NULL").select(
         F.translate("host", UPPER, UPPER.lower()).alias("host"), "path", "verdict")
-    known = known.groupBy("host", "path").agg(F.max("verdict").alias("verdict")).select(
-        F.array_join(reversed_labels(F.col("host")), ".").alias("host_key"), "path", "verdict",
-        F.concat("host", "path").alias("rule"))
-    starts = known.select("host_key", "path", F.explode(
-        F.sequence(F.lit(0), F.length("path"))).alias("upto")).select(
-        "host_key", F.col("path").alias("inner"),
-        F.expr("left(path, upto)").alias("path"))
-    nested = starts.join(known, ["host_key", "path"])
-    return nested.groupBy("host_key", F.col("inner").alias("path")).agg(
-        F.sort_array(F.collect_list(F.struct("path", "rule", "verdict"))).alias("stack"))
-
-
-def interval_events(stacks: DataFrame) -> DataFrame:
-    """Where each rule starts and ends on its host, with the stack that holds from there on."""
+    return known.groupBy("host", "path").agg(F.max("verdict").alias("verdict")).select(
+        F.array_join(reversed_labels(F.col("host")), ".").alias("host_key"), "path",
+        F.struct(F.concat("host", "path").alias("rule"), "verdict").alias("rule"))
+
+
+def interval_events(known: DataFrame) -> DataFrame:
+    """Where each rule's interval begins, which pushes it, and ends, which pops it."""
     key = canonical(F.col("host_key"), F.col("path"))
-    outer = F.slice("stack", 1, F.size("stack") - 1)
-    return stacks.select("host_key", "salt", F.explode(F.array(
-        F.struct(key.alias("key"), F.lit(0).alias("kind"), F.col("stack")),
-        F.struct(F.concat(key, F.lit(b"\xff")).alias("key"), F.lit(1).alias("kind"),
-                 outer.alias("stack")))).alias("event")).select("host_key", "salt", "event.*")
+    return known.select("host_key", "salt", "rule", F.explode(F.array(
+        F.struct(key.alias("key"), F.lit(PUSH).alias("kind")),
+        F.struct(F.concat(key, F.lit(b"\xff")).alias("key"), F.lit(POP).alias("kind")),
+    )).alias("event")).select("host_key", "salt", "rule", "event.*")
+
+
+def active_rules(events: DataFrame) -> DataFrame:
+    """The points among the events, each with the rule on top of the stack there.
+
+    Intervals of prefixes are nested, so pushes less pops before a point are the depth of the
+    stack, and its top is the last rule that was pushed to that depth."""
+    place = Window.partitionBy("host_key", "salt").orderBy("key", "kind").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    step = F.when(F.col("kind") == PUSH, 1).when(F.col("kind") == POP, -1).otherwise(0)
+    level = Window.partitionBy("host_key", "salt", "depth").orderBy("key", "kind").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    deep = events.withColumn("depth", F.sum(step).over(place)).where(
+        (F.col("kind") != POP) & (F.col("depth") > 0))
+    return deep.withColumn("top", F.last("rule", ignorenulls=True).over(level)).where(
+        F.col("kind") == POINT)
 
 
 def verdicts(pages: DataFrame, rules: DataFrame, default="allow", sweep_rows=SWEEP_ROWS):
@@ -79,9 +87,9 @@ def verdicts(pages: DataFrame, rules: DataFrame, default="allow", sweep_rows=SWE
     spark = pages.sparkSession
     own = [F.col(f"`{name}`") for name in pages.columns
            if name.lower() not in ("host", "path", "rule", "verdict")]
-    judged = pages.select(*own, *parts(F.col("url")))
-    stacks = materialize(rule_stacks(rules), "url-rules")
-    deepest = stacks.agg(F.max(F.size(F.split("host_key", r"\.")))).first()[0] or 0
+    judged = pages.select(F.struct(*own).alias("own"), *parts(F.col("url")))
+    known = materialize(known_rules(rules), "url-rules")
+    deepest = known.agg(F.max(F.size(F.split("host_key", r"\.")))).first()[0] or 0
 
     labels = reversed_labels(F.col("host"))
     depth = F.least(F.size(labels), F.lit(deepest))
@@ -90,26 +98,21 @@ def verdicts(pages: DataFrame, rules: DataFrame, default="allow", sweep_rows=SWE
         lambda n: F.array_join(F.slice(labels, 1, n), ".")))
     points = judged.select("host", "path").distinct().select(
         "host", "path", F.explode(above).alias("host_key"))
-    points = points.join(stacks.select("host_key").distinct(), "host_key", "left_semi")
+    points = points.join(known.select("host_key").distinct(), "host_key", "left_semi")
     points = materialize(points, "url-points")
 
     shares = points.groupBy("host_key").agg(
         F.ceil(F.count("*") / F.lit(sweep_rows)).cast("int").alias("salts"))
-    events = interval_events(stacks.join(shares, "host_key").select(
+    events = interval_events(known.join(shares, "host_key").select(
         "*", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")))
     dealt = points.join(shares, "host_key").select(
         "host_key", F.pmod(F.xxhash64("host", "path"), "salts").cast("int").alias("salt"),
-        canonical(F.col("host_key"), F.col("path")).alias("key"), F.lit(2).alias("kind"),
-        F.lit(None).cast(f"array<{RULE}>").alias("stack"), "host", "path")
-    sweep = Window.partitionBy("host_key", "salt").orderBy("key", "kind").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    swept = events.unionByName(dealt, allowMissingColumns=True).select(
-        "*", F.last("stack", ignorenulls=True).over(sweep).alias("active"))
-    found = swept.where("kind = 2 AND size(active) > 0").select(
-        "host", "path", F.element_at("active", -1).alias("top"), "host_key")
+        canonical(F.col("host_key"), F.col("path")).alias("key"), F.lit(POINT).alias("kind"),
+        "host", "path")
+    found = active_rules(events.unionByName(dealt, allowMissingColumns=True))
     best = found.groupBy("host", "path").agg(F.max(F.struct(
         F.length("top.rule").alias("long"), F.length("host_key").alias("host_long"),
         F.col("top.rule").alias("rule"), F.col("top.verdict").alias("verdict"))).alias("best"))
     return judged.join(best, ["host", "path"], "left").select(
-        *own, "host", "path", F.col("best.rule").alias("rule"),
+        "own.*", "host", "path", F.col("best.rule").alias("rule"),
         F.coalesce(F.col("best.verdict"), F.lit(default)).alias("verdict"))

@@ -130,16 +130,35 @@ def reference_rule(url):
 @pytest.mark.parametrize("sweep", [100_000, 2])
 def test_urls_get_the_longest_rule(spark, sweep):
     rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
-    rows = [(i, url, "own") for i, url in enumerate(URLS * 2)]
-    pages = spark.createDataFrame(rows, "page_id long, url string, rule string")
+    rows = [(i, url, "own", "b", 1, "o", 2) for i, url in enumerate(URLS * 2)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, rule string, best string,"
+                                        " salt int, own string, depth int")
     found = urls.verdicts(pages, rules, sweep_rows=sweep).collect()
     assert {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in found} == {
-        i: reference_rule(url) for i, url, _ in rows}
+        i: reference_rule(url) for i, url, *_ in rows}
+    assert {(r.best, r.salt, r.own, r.depth) for r in found} == {("b", 1, "o", 2)}
     assert urls.verdicts(pages.where("page_id < 0"), rules).count() == 0
     free = urls.verdicts(pages, rules.where("host = 'x'")).collect()
     assert {(r.rule, r.verdict) for r in free} == {(None, "allow")}
 
 
+def test_deep_nests_of_rules(spark):
+    """Many rules inside each other on one host, and pages at every depth of every branch."""
+    paths = ["/" + "/".join("ab"[(n >> i) & 1] for i in range(k)) for k in range(7)
+             for n in range(2 ** k)]
+    rules = [("x.org", path, "block" if i % 3 else "allow") for i, path in enumerate(paths)]
+    pages = [(i, f"http://{'y.' * (i % 3)}x.org{path}{end}") for i, (path, end) in enumerate(
+        (path, end) for path in paths for end in ("", "b", "/", "/b", "é"))]
+    found = urls.verdicts(spark.createDataFrame(pages, "page_id long, url string"),
+                          spark.createDataFrame(rules, "host string, path string, verdict string"),
+                          sweep_rows=50).collect()
+    verdict = {path: v for _, path, v in rules}
+    for row in found:
+        longest = max((p for p in paths if row.path.startswith(p)), key=len)
+        assert (row.rule, row.verdict) == ("x.org" + longest, verdict[longest])
+    assert len(found) == len(pages)
+
+
 def test_tool_calls_are_linked_ordered_and_checked(spark):
     schemas = {"f": {"required": ["a"], "properties": {
         "a": {"type": "integer", "minimum": 0}, "b": {"type": "string", "enum": ["x"]}}}}
