@@ -519,8 +519,9 @@ def one_of_each(documents: DataFrame, width=5, percent=80) -> DataFrame:
     """The documents, as they are, without those that are not the first of their group. Rows
     without an id are kept, of rows that share one a single one is."""
     found = groups(documents, width, percent).where("doc_id = component_id")
-    kept = found.select(F.col("doc_id").alias("kept_id")).distinct()
-    rows = documents.join(kept, F.col("doc_id").cast("long") == F.col("kept_id"), "left_semi")
+    kept = found.select("doc_id").distinct().alias("kept")
+    rows = documents.alias("own").join(
+        kept, F.col("own.doc_id").cast("long") == F.col("kept.doc_id"), "left_semi")
     # Which of them does not depend on the order rows come in.
     tied = rows.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1")
     single = rows.join(tied.select("doc_id"), "doc_id", "left_anti").select(*documents.columns)

@@ -278,7 +278,9 @@ def test_pipeline_stages_hand_over_documents(spark, tmp_path):
 
 
 def test_one_of_each_keeps_rows_without_an_id(spark, texts):
-    kept = jaccard.one_of_each(frame(spark, texts)).collect()
+    table = frame(spark, texts).selectExpr("*", "1 AS kept_id", "2 AS kept", "3 AS component_id")
+    kept = jaccard.one_of_each(table).collect()
+    assert {(r.kept_id, r.kept, r.component_id) for r in kept} == {(1, 2, 3)}
     ids = [r.doc_id for r in kept if r.doc_id is not None]
     wanted = {i for i, _, label in reference_groups(texts, 5, 80) if i is not None and i == label}
     assert sorted(ids) == sorted(wanted)
