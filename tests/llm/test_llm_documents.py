@@ -208,6 +208,46 @@ def test_language_of_held_out_documents(spark):
     assert sum(row.lang == row.lang_pred for row in held) / len(held) > 0.98
 
 
+def plain_profile(texts, size=400):
+    """The most frequent n-grams of words between marks, equal counts by their code points."""
+    counts = Counter()
+    for text in texts:
+        letters = "".join(c if c.isalpha() else " " for c in text.lower())
+        for word in letters.split():
+            marked = f"\x01{word}\x01"
+            counts.update(word)
+            for n in (2, 3):
+                counts.update(marked[i:i + n] for i in range(len(marked) - n + 1))
+
+    def code(gram):
+        return sum(ord(c) << 21 * i for i, c in enumerate(reversed(gram)))
+
+    return sorted(counts, key=lambda gram: (-counts[gram], code(gram)))[:size]
+
+
+def test_language_equals_a_plain_comparison_of_ranks(spark):
+    documents = table(spark, SMALL, "documents").select("doc_id", "text", "lang")
+    rows = documents.collect()
+    learned = defaultdict(list)
+    for row in rows:
+        if row.text is not None and row.lang and zlib.crc32(str(row.doc_id).encode()) % 4 != 2:
+            learned[row.lang].append(row.text)
+    ranks = {lang: {gram: i for i, gram in enumerate(plain_profile(texts))}
+             for lang, texts in learned.items()}
+    found = {row.doc_id: row for row in language.identify(documents).collect()}
+    assert len(found) == len(rows) and len(ranks) > 2
+    for row in rows:
+        own = plain_profile([row.text or ""])
+        if not own:
+            assert (found[row.doc_id].lang_pred, found[row.doc_id].score) == ("und", 0)
+            continue
+        far = {lang: sum(abs(places[gram] - i) if gram in places else 400
+                         for i, gram in enumerate(own)) for lang, places in ranks.items()}
+        best = min(far, key=lambda lang: (far[lang], lang))
+        assert found[row.doc_id].lang_pred == best
+        assert found[row.doc_id].score == pytest.approx(1 - far[best] / (400 * len(own)), abs=1e-12)
+
+
 def test_language_of_awkward_rows(spark):
     rows = [(1, "the cat and the dog", "en", "s"), (3, "der Hund und die Katze", "de", "s"),
             (4, None, "en", "s"), (5, "12 % -", "de", "s"), (6, "und die und der", None, "s"),

@@ -37,8 +37,7 @@ def test_vectors_equal_all_pairs(spark, block):
     found = vectors.near_duplicates(table, spread=16.0, lists=9, block=block).collect()
     assert {r.vec_id: tuple(r)[1:] for r in found} == reference_vectors(ids, rows)
     usual = vectors.near_duplicates(table).collect()
-    links = sum(r.n_links for r in usual)
-    assert links >= 0.97 * sum(r.n_links for r in found)
+    assert sorted(usual) == sorted(found)
     assert vectors.near_duplicates(table.where("vec_id < 0")).count() == 0
 
 
@@ -91,7 +90,7 @@ def test_no_link_is_missed_where_offsets_lie_in_few_directions(spark, block):
         assert {r.vec_id: tuple(r)[1:] for r in found} == wanted
 
 
-def test_vectors_recall_on_pairs_at_the_threshold(spark):
+def test_no_pair_at_the_threshold_is_missed(spark):
     rng = np.random.default_rng(9)
     a = rng.normal(size=(400, 64))
     a /= np.linalg.norm(a, axis=1)[:, None]
@@ -102,7 +101,7 @@ def test_vectors_recall_on_pairs_at_the_threshold(spark):
     rows = [(i, list(map(float, v))) for i, v in enumerate(np.concatenate([a, pairs]))]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     found = {r.vec_id: r.n_links for r in vectors.near_duplicates(table, lists=30).collect()}
-    assert sum(found[i] > 0 for i in range(400)) >= 0.97 * 400
+    assert all(found[i] > 0 for i in range(400))
 
 
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/es/x", "allow"),
