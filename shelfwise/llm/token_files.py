@@ -1,9 +1,9 @@
 """Token ids of all documents as range-coded files, and their reader.
 
-Texts become ids once and are kept in the shared folder. Their counts, one vector a task, are
-summed to one table of frequencies for the whole corpus, which is bounded by the vocabulary. The
-documents are then range-partitioned and sorted by id, and every partition writes its ids as a
-row of independent blocks (``rans``). Blocks are rows of a Parquet table, so Spark commits them
+Texts become ids once and are kept in the shared folder, with one row a task that counts its ids.
+These vectors are summed to one table of frequencies for the whole corpus, which is bounded by
+the vocabulary. The documents are then range-partitioned and sorted by id, and every partition
+writes its ids as a row of independent blocks (``rans``). Blocks are rows of a Parquet table, so Spark commits them
 whole and reads them in parallel; each also has the ids and lengths of the documents that begin
 in it. The reader decodes blocks in any order, checks them, and joins documents that span blocks
 by their checksums.
@@ -34,7 +34,7 @@ SUMMERS = 64
 
 def encoded(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterator[pa.RecordBatch]:
     tail = np.array([end], np.uint16)
-    for batch in small(batches):
+    for batch in small(batches, 2000):
         texts = [text or "" for text in batch.column(2).to_pylist()]
         ids = [np.concatenate([x, tail]).tobytes() for x in encoder(path).encode(texts)]
         yield pa.RecordBatch.from_arrays(
@@ -44,38 +44,55 @@ def encoded(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterator[
 
 def document_ids(documents: DataFrame, end: int, path: str | None = None) -> DataFrame:
     """``doc_id``, a tie-break from the text, and the text's ids with ``end`` as 16-bit bytes."""
+    return _ids(documents, partial(encoded, path=path or default_path(), end=end))
+
+
+def ids_and_counts(documents: DataFrame, end: int, path: str | None = None) -> DataFrame:
+    """:func:`document_ids` with a column ``counts``, which only one more row a task has."""
+    path = path or default_path()
+    return _ids(documents, lambda batches: counted(encoded(batches, path, end)), ", counts binary")
+
+
+def _ids(documents, function, more=""):
     rows = documents.select("doc_id", F.xxhash64("text").alias("tie"), "text")
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(partial(encoded, path=path or default_path(), end=end),
-                           f"doc_id {kind}, tie long, ids binary")
+    return rows.mapInArrow(function, f"doc_id {kind}, tie long, ids binary{more}")
 
 
 def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, and a last one with how often each id occurs in them."""
     total = np.zeros(IDS, np.int64)
+    schema = None
     for batch in batches:
-        for ids in batch.column(0):
-            total += np.bincount(np.frombuffer(ids.as_buffer(), "<u2"), minlength=IDS)
-    slot = TaskContext.get().partitionId() % SUMMERS
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([slot], pa.int32()), pa.array([zlib.compress(total.tobytes(), 1)])],
-        names=["slot", "counts"])
+        schema = batch.schema
+        ids = batch.column(2)
+        first, last = ids.offset, ids.offset + len(ids)
+        places = np.frombuffer(ids.buffers()[1], np.int32)[[first, last]]
+        total += np.bincount(np.frombuffer(ids.buffers()[2], "<u2")[places[0] // 2:places[1] // 2],
+                             minlength=IDS)
+        nothing = pa.nulls(len(ids), pa.binary())
+        yield pa.RecordBatch.from_arrays([*batch.columns, nothing], names=[*schema.names, "counts"])
+    if schema:
+        counts = pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())
+        yield pa.RecordBatch.from_arrays([*(pa.nulls(1, field.type) for field in schema), counts],
+                                         names=[*schema.names, "counts"])
 
 
 def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(IDS, np.int64)
     for batch in batches:
-        for counts in batch.column(1):
+        for counts in batch.column(0):
             total += np.frombuffer(zlib.decompress(counts.as_py()), np.int64)
     seen = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays(
         [pa.array(seen.astype(np.int32)), pa.array(total[seen])], names=["id", "n"])
 
 
-def frequencies(ids: DataFrame) -> DataFrame:
-    """How often each id occurs in the whole corpus."""
-    parts = ids.select("ids").mapInArrow(counted, "slot int, counts binary")
-    rows = parts.repartition(SUMMERS, "slot").mapInArrow(summed, "id int, n long")
-    return rows.groupBy("id").agg(F.sum("n").alias("n"))
+def frequencies(rows: DataFrame) -> DataFrame:
+    """How often each id occurs in the whole corpus, from the written :func:`ids_and_counts`."""
+    parts = rows.where("counts IS NOT NULL").select("counts")
+    sums = parts.repartition(SUMMERS).mapInArrow(summed, "id int, n long")
+    return sums.groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def shared_counts(spark: SparkSession, path: str):
@@ -145,8 +162,9 @@ def write_files(documents: DataFrame, path: str, end=2, tokenizer: str | None =
     from pyspark.sql.pandas.types import to_arrow_type
 
     spark = documents.sparkSession
-    ids = materialize(document_ids(documents, end, tokenizer), "token-ids")
-    frequencies(ids).write.parquet(f"{path}/table")
+    written = materialize(ids_and_counts(documents, end, tokenizer), "token-ids")
+    frequencies(written).write.parquet(f"{path}/table")
+    ids = written.where("ids IS NOT NULL").drop("counts")
     shared = shared_counts(spark, f"{path}/table")
     kind = documents.schema["doc_id"].dataType
     rows = ids.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "ids")
