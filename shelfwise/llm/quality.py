@@ -6,6 +6,10 @@ one document: removing copies is the work of the duplicate operators, and a copi
 made of page furniture. Lines in more documents than ``limit`` allows are removed, and a document
 of which too little is left is rejected, as is one that fails the rules on its own text.
 
+A line above the limit is in more than a given share of its host's documents, so a host has few
+of them. ``clean`` sends them to the documents as long as they are few in all, and no text is
+shuffled then; more of them are joined by their hashes, with the same result.
+
 Cases: a null text counts as empty, fails and is rejected; a null host is a host of its own;
 rows that repeat get the same result each; an empty table gives an empty result; other columns
 are kept by ``clean`` and play no part.
@@ -20,6 +24,9 @@ from shelfwise.llm.tables import BLANKS, fingerprint, line_key, words
 from shelfwise.session import materialize
 
 SYMBOLS = "#*$%&|<>"
+# Up to so many lines above the limit, over all hosts and of one, are broadcast by ``clean``.
+SHARED_LINES = 100_000
+HOST_LINES = 1_000
 
 
 @dataclass(frozen=True)
@@ -63,17 +70,19 @@ element_at(transform(array(words), w -> struct(
 """
 
 
-def text_counts(documents: DataFrame, host="source", limits: Limits = Limits()) -> DataFrame:
-    """Counts of each document's own text, one row a row, beside what identifies it."""
+def text_counts(documents: DataFrame, host="source", limits: Limits = Limits(),
+                **more) -> DataFrame:
+    """Counts of each document's own text, one row a row, beside what identifies it and ``more``
+    columns."""
     text = F.coalesce(F.col("text"), F.lit(""))
     parted = documents.select(
-        *identity(host), words(F.col("text")).alias("words"), F.length(text).alias("chars"),
+        *identity(host), *(column.alias(name) for name, column in more.items()), words(F.col("text")).alias("words"), F.length(text).alias("chars"),
         F.length(F.translate(text, BLANKS, "")).alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).alias("n_symbols"),
         F.filter(F.split(text, "\n"),
                  lambda line: F.btrim(line, F.lit(BLANKS)) != "").alias("lines"))
     counted = parted.withColumn("counts", F.expr(WORD_COUNTS)).select(
-        *DOCUMENT, "chars", F.col("counts.n_words").cast("long").alias("n_words"),
+        *DOCUMENT, *more, "chars", F.col("counts.n_words").cast("long").alias("n_words"),
         F.col("word_chars").cast("long"), F.col("n_symbols").cast("long"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.col("counts.n_repeat_words").cast("long").alias("n_repeat_words"))
@@ -104,9 +113,9 @@ def frequent_lines(documents: DataFrame, host="source", limits: Limits = Limits(
         100 * F.col("held_by") > limits.percent * F.col("size")).select(*LINE)
 
 
-def removed_lines(documents: DataFrame, host="source", limits: Limits = Limits()) -> DataFrame:
+def removed_lines(documents: DataFrame, frequent: DataFrame, host="source") -> DataFrame:
     """Of each document that holds lines above the limit: their keys and characters."""
-    found = host_lines(documents, host).join(frequent_lines(documents, host, limits), LINE)
+    found = host_lines(documents, host).join(frequent, LINE)
     found = found.select(*DOCUMENT, "pos", "k1", "k2", "chars").distinct()
     return found.groupBy(*DOCUMENT).agg(
         F.sum("chars").alias("removed_chars"),
@@ -120,11 +129,13 @@ def with_removed(rows: DataFrame, removed: DataFrame) -> DataFrame:
     return rows.join(removed, same, "left").drop(*(f"r_{name}" for name in DOCUMENT))
 
 
-def judge(documents: DataFrame, host="source", limits: Limits = Limits()) -> DataFrame:
+def judge(documents: DataFrame, host="source", limits: Limits = Limits(),
+          frequent: DataFrame | None = None) -> DataFrame:
     """The counts of every document, ``removed_chars`` and ``removed_keys``, ``base_failed`` and
     ``kept``. No text is shuffled, only hashes of lines and counts are."""
+    frequent = frequent_lines(documents, host, limits) if frequent is None else frequent
     rows = with_removed(text_counts(documents, host, limits),
-                        removed_lines(documents, host, limits))
+                        removed_lines(documents, frequent, host))
     gone = F.coalesce(F.col("removed_chars"), F.lit(0))
     depleted = 100 * (F.col("chars") - gone) < limits.kept_percent * F.col("chars")
     return rows.select(
@@ -133,24 +144,66 @@ def judge(documents: DataFrame, host="source", limits: Limits = Limits()) -> Dat
         (~F.col("base_failed") & ~depleted).alias("kept"))
 
 
-def clean(documents: DataFrame, host="source", limits: Limits = Limits()) -> DataFrame:
+def clean(documents: DataFrame, host="source", limits: Limits = Limits(),
+          shared=SHARED_LINES, of_host=HOST_LINES) -> DataFrame:
     """The documents that pass, without the lines above the limit; all columns are kept, and
     ``n_chars`` is counted anew where a text changes."""
+    frequent = materialize(frequent_lines(documents, host, limits), "frequent-lines")
+    sizes = frequent.groupBy(*HOST).agg(F.count("*").alias("n"))
+    total, largest = sizes.agg(F.sum("n"), F.max("n")).first()
+    few = (total or 0) <= shared and (largest or 0) <= of_host
+    found = (in_place if few else rejoined)(documents, frequent, host, limits)
+    return found.select(*(_column(name, documents) for name in documents.columns))
+
+
+def in_place(documents: DataFrame, frequent: DataFrame, host, limits: Limits) -> DataFrame:
+    """What is left of the documents that pass, by the lines of each host as a broadcast."""
+    lines = frequent.groupBy(*HOST).agg(F.collect_set(F.struct("k1", "k2")).alias("host_keys"))
+    rows = text_counts(documents, host, limits, row=_own(documents), old_text=F.col("text"))
+    rows = rows.join(F.broadcast(lines), HOST, "left")
+    keys = F.col("host_keys")
+    # Bound to names step by step, and filtered in the generator, so that all is made once.
+    cut = F.transform(
+        F.array(F.split(F.coalesce(F.col("old_text"), F.lit("")), "\n")),
+        lambda all_: F.struct(F.size(all_).alias("n"), F.when(keys.isNull(), all_).otherwise(
+            _without(all_, keys)).alias("left")))
+    joined = F.transform(cut, lambda c: F.struct(
+        c["n"].alias("n"), F.size(c["left"]).alias("n_left"),
+        F.array_join(c["left"], "\n").alias("text")))
+    passed = F.filter(joined, lambda j: ~F.col("base_failed") & ~(
+        100 * (F.length(j["text"]) - F.greatest(j["n_left"] - 1, F.lit(0)) + j["n"] - 1)
+        < limits.kept_percent * F.col("chars")))
+    found = rows.select("row", "old_text", F.explode(passed).alias("judged"))
+    changed = F.col("judged.n_left") < F.col("judged.n")
+    return found.select("row", changed.alias("changed"), F.when(
+        changed, F.col("judged.text")).otherwise(F.col("old_text")).alias("new_text"))
+
+
+def rejoined(documents: DataFrame, frequent: DataFrame, host, limits: Limits) -> DataFrame:
+    """The same, by a join of the documents with their judgements."""
     judged = materialize(
-        judge(documents, host, limits).select(*DOCUMENT, "removed_keys", "kept"), "judged")
+        judge(documents, host, limits, frequent).select(*DOCUMENT, "removed_keys", "kept"),
+        "judged")
     passed = judged.where("kept").groupBy(*DOCUMENT).agg(
         F.max("removed_keys").alias("removed_keys"))
-    own = F.struct(*(F.col(f"`{name}`") for name in documents.columns if name != "text"))
-    rows = documents.select(own.alias("row"), "text", *identity(host))
+    rows = documents.select(_own(documents).alias("row"), "text", *identity(host))
     same = [rows[name].eqNullSafe(passed[name]) for name in DOCUMENT]
     found = rows.join(passed, same).select("row", "text", "removed_keys")
-    left = F.filter(F.split("text", "\n"), lambda line: ~F.array_contains(
-        F.col("removed_keys"), F.struct(F.xxhash64(line_key(line)).alias("k1"),
-                                        F.xxhash64(F.lit(1), line_key(line)).alias("k2"))))
-    found = found.select("row", "removed_keys", F.when(
-        F.col("removed_keys").isNull(), F.col("text")).otherwise(
-        F.array_join(left, "\n")).alias("new_text"))
-    return found.select(*(_column(name, documents) for name in documents.columns))
+    changed = F.col("removed_keys").isNotNull()
+    left = _without(F.split("text", "\n"), F.col("removed_keys"))
+    return found.select("row", changed.alias("changed"), F.when(
+        changed, F.array_join(left, "\n")).otherwise(F.col("text")).alias("new_text"))
+
+
+def _own(documents):
+    """The other columns, which may have any names."""
+    return F.struct(*(F.col(f"`{name}`") for name in documents.columns if name != "text"))
+
+
+def _without(lines, keys):
+    return F.filter(lines, lambda line: ~F.array_contains(
+        keys, F.struct(F.xxhash64(line_key(line)).alias("k1"),
+                       F.xxhash64(F.lit(1), line_key(line)).alias("k2"))))
 
 
 def _column(name, documents):
@@ -159,6 +212,5 @@ def _column(name, documents):
     old = F.col("row").getField(name)
     if name == "n_chars":
         kind = documents.schema[name].dataType
-        return F.when(F.col("removed_keys").isNull(), old).otherwise(
-            F.length("new_text").cast(kind)).alias(name)
+        return F.when(F.col("changed"), F.length("new_text").cast(kind)).otherwise(old).alias(name)
     return old.alias(name)

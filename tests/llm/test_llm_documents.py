@@ -268,6 +268,21 @@ def test_language_of_awkward_rows(spark):
     assert {row.doc_id for row in kept.collect()} >= {1, 3, 6, None}
 
 
+def test_lines_sent_to_documents_and_lines_joined_give_the_same(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    odd = documents.selectExpr("cast(NULL AS long) AS doc_id", "NULL AS text", *(
+        f"`{name}`" for name in documents.columns if name not in ("doc_id", "text"))).limit(2)
+    documents = documents.unionByName(documents.limit(50)).unionByName(odd)
+    limits = quality.Limits(min_documents=3, percent=1, kept_percent=60)
+    sent, joined = (
+        sorted(map(repr, quality.clean(documents, limits=limits, shared=n).collect()))
+        for n in (quality.SHARED_LINES, 0))
+    assert sent == joined and 0 < len(sent) < documents.count()
+    texts = {row.text for row in documents.select("text").collect()}
+    cleaned = quality.clean(documents, limits=limits)
+    assert any(row.text not in texts for row in cleaned.select("text").collect())
+
+
 def test_quality_removes_lines_of_a_host_and_rejects_depleted_documents(spark):
     rng = random.Random(2)
     body = lambda: " ".join("".join(rng.choices("abcdefg", k=5)) for _ in range(70))
