@@ -40,6 +40,8 @@ def encoded(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterator[
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(ids, pa.binary())],
             names=["doc_id", "tie", "ids"])
+        del texts, ids
+    pa.default_memory_pool().release_unused()  # workers stay, and other tasks need the room
 
 
 def document_ids(documents: DataFrame, end: int, path: str | None = None) -> DataFrame:

@@ -23,8 +23,8 @@ import pyarrow.compute as pc
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 TOKENIZER = "word_bpe_49k.json"
-MEMORY_WORDS = 200_000  # of each generation
-GROUP = 1 << 23  # characters of texts that are cut together
+MEMORY_WORDS = 100_000  # of each generation
+GROUP = 1 << 22  # characters of texts that are cut together
 ASKED = 256  # words in one question to the library
 WORD_END = "</w>"
 
