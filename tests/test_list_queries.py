@@ -43,3 +43,17 @@ def test_lists_of_all_users(spark, folder, no_builtin, name, entries):
     assert len(rows) == n_users * (min(10, n_items) if entries else 1)
     if name == "recs_export_lengths":
         assert {tuple(r)[1:] for r in rows} == {(min(20, n_items),) * 4}
+
+
+@pytest.mark.parametrize("name", ["recs_subset_shape", "serve_batch", "answer_documents"])
+def test_lists_of_requested_users(spark, folder, no_builtin, name):
+    rows = registry.QUERIES[name](spark, folder).collect()
+    known = {r.user_id_int for r in registry.id_map(spark, folder, "user_id").collect()}
+    wanted = [(i, i * 20, i % 7) for i in range(20)]
+    lists = {i: n for i, user, n in wanted if user in known and n > 0}
+    assert lists
+    if name == "recs_subset_shape":
+        assert {r.user_id_int for r in rows} == {u for _, u, _ in wanted if u in known}
+    else:
+        assert {r.request_id for r in rows} == set(range(20))
+        assert all(r.n_items == lists[r.request_id] for r in rows if r.request_id in lists)
