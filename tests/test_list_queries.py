@@ -57,3 +57,24 @@ def test_lists_of_requested_users(spark, folder, no_builtin, name):
     else:
         assert {r.request_id for r in rows} == set(range(20))
         assert all(r.n_items == lists[r.request_id] for r in rows if r.request_id in lists)
+
+
+@pytest.mark.parametrize("name", ["serve_stream", "serve_stream_repeats"])
+def test_streamed_lists(spark, folder, no_builtin, name):
+    rows = {r.request_id: r for r in registry.QUERIES[name](spark, folder).collect()}
+    assert rows.keys() == set(range(20))
+    assert {i: rows[i].n_items for i in rows if rows[i].source == "model"} == {1: 1}
+
+
+@pytest.mark.parametrize("name, expected", [
+    ("serve_log", {(20, 1, 1)}),
+    ("serve_two_streams", {(i * 20, 2, 2 * (i == 1)) for i in range(20)}),
+    ("serve_stream_versions", {(i, 1 + i % 2) for i in range(20)})])
+def test_logged_lists(spark, folder, no_builtin, name, expected):
+    """Of the requests only the second is for a user of the model and for a list."""
+    assert {tuple(r) for r in registry.QUERIES[name](spark, folder).collect()} == expected
+
+
+def test_stored_lists_beside_those_of_the_model(spark, folder, no_builtin):
+    rows = registry.QUERIES["serve_fallback"](spark, folder).collect()
+    assert [(r.request_id, r.user_id) for r in rows] == [(3, 60)]
