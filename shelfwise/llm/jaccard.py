@@ -7,8 +7,9 @@ Jaccard distance is a metric, so a text may be compared with a few pivots in pla
    of its shingles in one fixed order, and is a boundary text of the regions of the next ones: a
    text that lacks those costs too much distance from the ``(1 - t) n``-th shingle on, so it is
    replicated that far and no further. Shingles frequent in a sample come last in the order,
-   which only saves work. In a region, texts are told apart by sizes and by counts of shingles in
-   a few classes, which bound the distance from below.
+   which only saves work. Rows of regions are shuffled without more than the text's size; those
+   of regions with several texts, few as a rule, then get counts of the text's shingles in classes,
+   more of them the longer the text is. Sizes and counts bound the distance from below.
 2. Texts that are left connected make cells. Cells too large for one task are cut by pivots from
    among their own texts: each text goes to its nearest pivot's Voronoi region, and also to every
    region that a text within reach of it may be in, which are those not farther than the nearest
@@ -42,10 +43,12 @@ from shelfwise.session import materialize
 
 SAMPLE = 10_000  # documents that tell which shingles are frequent
 FREQUENT = 262_144  # shingles at most that come last in the order
-CLASSES = (32, 256)  # fewest and most classes whose shingles are counted
-MARGIN = 1.2  # unrelated texts should differ in them by so many times the bound
+CLASSES = (64, 4096)  # fewest and most classes whose shingles are counted
+MARGIN = 1.7  # unrelated texts differ in them by about so many times the bound
 RUN = 4_096  # texts of one region that are compared by bounds
-BUFFER = 50_000  # rows of regions a task looks at together
+BUFFER = 50_000  # rows of regions a task looks at together, fewer if counts are long
+COUNTS = 1_024  # bytes of counts that weigh as a row
+GAPS = 4_000_000  # counts compared at once
 MET = 500_000  # sets a task remembers to have met
 LEAF = 2_000  # texts of a cell that one task joins
 LEAF_SHINGLES = 4_000_000
@@ -92,7 +95,7 @@ def folded(counts: np.ndarray, classes: int) -> np.ndarray:
 
 def region_rows(batches: Iterator[pa.RecordBatch], width, percent, frequent):
     """One row a text with its set's size and fingerprint, and a row for each region it is in.
-    Of texts of a task with equal sets one enters the regions."""
+    Of texts of a task with equal sets one enters the regions; its row has the counts."""
     late = frequent.value
     met: set[tuple] = set()
     for batch in small(batches):
@@ -107,11 +110,14 @@ def region_rows(batches: Iterator[pa.RecordBatch], width, percent, frequent):
         if len(met) > MET:
             met.clear()
         n = np.array([len(s) for s in sets], np.int32)
+        chosen = set(first)
+        counts = pa.array([class_counts(s, percent) if i in chosen else None
+                           for i, s in enumerate(sets)], pa.binary())
         a, b = (np.array([mark[k] for mark in marks], np.int64) for k in (0, 1))
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.zeros(len(ids), np.int32)), pa.array(a ^ b),
-             pa.array(ids, pa.int64()), pa.array(n), pa.array(a), pa.array(b),
-             pa.nulls(len(ids), pa.binary())], names=_NAMES)
+             pa.array(ids, pa.int64()), pa.array(n), pa.array(a), pa.array(b), counts],
+            names=_NAMES)
         keys, owners = [], []
         for i in first:
             shingles = sets[i]
@@ -124,9 +130,6 @@ def region_rows(batches: Iterator[pa.RecordBatch], width, percent, frequent):
         if keys:
             keys, owners = np.concatenate(keys), np.concatenate(owners)
             known = pa.array(ids, pa.int64())
-            chosen = set(first)
-            counts = pa.array([class_counts(s, percent) if i in chosen else None
-                               for i, s in enumerate(sets)], pa.binary())
             for begin in range(0, len(keys), 100_000):
                 some = slice(begin, begin + 100_000)
                 size = len(keys[some])
@@ -134,12 +137,39 @@ def region_rows(batches: Iterator[pa.RecordBatch], width, percent, frequent):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.ones(size, np.int32)), pa.array(keys[some].view(np.int64)),
                      known.take(pa.array(owners[some])), pa.array(n[owners[some]]), blank, blank,
-                     counts.take(pa.array(owners[some]))], names=_NAMES)
+                     pa.nulls(size, pa.binary())], names=_NAMES)
 
 
 _NAMES = [column.split()[0] for column in ROWS.split(",")]
 
 
+def shared_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of texts as they are, and of sorted rows of regions those of regions with several."""
+    held, known = None, False  # the last row, and if the one before it has its region
+    for batch in batches:
+        kinds = batch.column(0)
+        texts = batch.filter(pa.compute.equal(kinds, 0))
+        if texts.num_rows:
+            yield texts
+        regions = batch.filter(pa.compute.equal(kinds, 1))
+        if not regions.num_rows:
+            continue
+        if held is not None:
+            regions = pa.Table.from_batches([held, regions]).combine_chunks().to_batches()[0]
+        key = regions.column(1).to_numpy()
+        same = key[1:] == key[:-1]
+        several = np.concatenate([[known], same])
+        several[:-1] |= same
+        yield regions.slice(0, len(key) - 1).filter(pa.array(several[:-1]))
+        held, known = regions.slice(len(key) - 1), bool(several[-1])
+    if known:
+        yield held
+
+
+def weight(regions: pa.RecordBatch) -> int:
+    return max(regions.num_rows, regions.column(6).nbytes // COUNTS)
+
+
 def candidate_links(batches: Iterator[pa.RecordBatch], percent) -> Iterator[pa.RecordBatch]:
     """Rows of texts as they are, and for sorted rows of regions (kind 2) links in ``key`` and
     ``id`` that connect the texts no bound tells apart."""
@@ -155,7 +185,7 @@ def candidate_links(batches: Iterator[pa.RecordBatch], percent) -> Iterator[pa.R
         if not regions.num_rows:
             continue
         waiting.append(regions)
-        size += regions.num_rows
+        size += weight(regions)
         if size < BUFFER:
             continue
         rows = _Region(waiting)
@@ -170,7 +200,7 @@ def candidate_links(batches: Iterator[pa.RecordBatch], percent) -> Iterator[pa.R
             chained = True
             yield _links(rows.id[:-1], rows.id[1:])
         waiting = rows.batches(cut)
-        size = len(rows.key) - cut
+        size = sum(map(weight, waiting))
     if waiting:
         yield from _Region(waiting).links(percent, chained)
 
@@ -218,11 +248,11 @@ class _Region:
         for a in np.unique(self.width[left]).tolist():
             for b in np.unique(self.width[right]).tolist():
                 at = np.flatnonzero((self.width[left] == a) & (self.width[right] == b))
-                if len(at):
-                    classes = min(a, b)
-                    one = folded(self.counts[a][self.place[left[at]]], classes)
-                    two = folded(self.counts[b][self.place[right[at]]], classes)
-                    out[at] = np.abs(one - two).sum(1, dtype=np.int64)
+                classes, step = min(a, b), max(1, GAPS // max(a, b))
+                for some in (at[k:k + step] for k in range(0, len(at), step)):
+                    one = folded(self.counts[a][self.place[left[some]]], classes)
+                    two = folded(self.counts[b][self.place[right[some]]], classes)
+                    out[some] = np.abs(one - two).sum(1, dtype=np.int64)
         return out
 
     def links(self, percent, chained=False):
@@ -485,7 +515,17 @@ def groups(documents: DataFrame, width=5, percent=80, leaf=LEAF, leaf_shingles=L
     rows = texts.mapInArrow(
         partial(region_rows, width=width, percent=percent, frequent=frequent), ROWS)
     rows = rows.repartition("key").sortWithinPartitions("kind", "key", "n", "id")
-    rows = materialize(rows.mapInArrow(partial(candidate_links, percent=percent), ROWS), "regions")
+    rows = materialize(rows.mapInArrow(shared_regions, ROWS), "regions")
+    # Two texts that share an id and a size give each other's counts to their rows as well, which
+    # makes cells larger and nothing less exact.
+    marks = rows.where("kind = 0 AND counts IS NOT NULL").select("id", "n", "a", "b", "counts")
+    marked = rows.where("kind = 1").select("kind", "key", "id", "n").join(
+        marks.distinct().select("id", "n", "counts"), ["id", "n"])
+    blank = F.lit(None).cast("long")
+    linked = marked.select(
+        "kind", "key", "id", "n", blank.alias("a"), blank.alias("b"), "counts").repartition(
+        "key").sortWithinPartitions("key", "n", "id").mapInArrow(
+        partial(candidate_links, percent=percent), ROWS)
 
     sets = rows.where("kind = 0").select("id", "n", "a", "b")
     # The first document of each set stands for it; the others link to it.
@@ -494,7 +534,7 @@ def groups(documents: DataFrame, width=5, percent=80, leaf=LEAF, leaf_shingles=L
     copies = sets.where("id IS NOT NULL AND n > 0").select("id", "a", "b").join(
         first, ["a", "b"]).where("id <> rep").select(
         F.col("id").alias("first"), F.col("rep").alias("second"))
-    cells = components(rows.where("kind = 2").select("key", "id"), "key", "id")
+    cells = components(linked.select("key", "id"), "key", "id")
     cells = sets.join(cells, "id").groupBy("a", "b").agg(F.min("component").alias("cell")).join(
         first, ["a", "b"]).select("cell", F.col("rep").alias("id"), "a", "b")
     cells = materialize(cells, "members")
@@ -518,15 +558,28 @@ def groups(documents: DataFrame, width=5, percent=80, leaf=LEAF, leaf_shingles=L
 def one_of_each(documents: DataFrame, width=5, percent=80) -> DataFrame:
     """The documents, as they are, without those that are not the first of their group. Rows
     without an id are kept, of rows that share one a single one is."""
-    found = groups(documents, width, percent).where("doc_id = component_id")
-    kept = found.select("doc_id").distinct().alias("kept")
-    rows = documents.alias("own").join(
+    found = materialize(
+        groups(documents, width, percent).select("doc_id", "component_id"), "groups")
+    kept = found.where("doc_id = component_id").select("doc_id").distinct().alias("kept")
+    # As a rule most documents are alone with their id and first of their group, and need no join.
+    # Slots of the ids of all others are broadcast; an id that shares one by chance is joined.
+    others = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.count("*").alias("rows"), F.max(F.col("doc_id") != F.col("component_id")).alias(
+            "later")).where("rows > 1 OR later")
+    slots = materialize(others.select(
+        F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)).alias("slot")).distinct(), "slots")
+    named = documents.where("doc_id IS NOT NULL").alias("own")
+    in_slot = F.pmod(F.xxhash64(F.col("own.doc_id").cast("long")), F.lit(SLOTS)) == F.col(
+        "slots.slot")
+    slots = F.broadcast(slots.alias("slots"))
+    alone = named.join(slots, in_slot, "left_anti")
+    rows = named.join(slots, in_slot, "left_semi").alias("own").join(
         kept, F.col("own.doc_id").cast("long") == F.col("kept.doc_id"), "left_semi")
-    # Which of them does not depend on the order rows come in.
+    # Which of those that share an id does not depend on the order rows come in.
     tied = rows.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1")
     single = rows.join(tied.select("doc_id"), "doc_id", "left_anti").select(*documents.columns)
     several = rows.join(tied.select("doc_id"), "doc_id", "left_semi")
     several = several.groupBy("doc_id").agg(F.min(F.struct(*(
         F.col(f"`{name}`") for name in documents.columns))).alias("row")).select("row.*")
     without = documents.where("doc_id IS NULL")
-    return single.unionByName(several).unionByName(without)
+    return alone.unionByName(single).unionByName(several).unionByName(without)

@@ -151,6 +151,59 @@ def test_runs_longer_than_the_buffer_are_chained_to_their_end(monkeypatch, tail)
         assert len({label[i] for i, k in enumerate(keys) if k == key}) == 1, key
 
 
+def region_batches(rows, size=20):
+    import pyarrow as pa
+
+    schema = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("id", pa.int64()),
+                        ("n", pa.int32()), ("a", pa.int64()), ("b", pa.int64()),
+                        ("counts", pa.binary())])
+    return [pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(
+        zip(*rows[k:k + size]), schema)], schema=schema) for k in range(0, len(rows), size)]
+
+
+@pytest.mark.parametrize("n", [500, 1_100, 8_000, 30_000])
+def test_unrelated_texts_of_a_region_make_no_cell(n):
+    """Long ones neither: cells of all long texts were compared in copies that grow with the
+    square of their number. Nor do the more a region has."""
+    rng = np.random.default_rng(n)
+    sets = [rng.integers(0, 1 << 60, n).astype(np.uint64) for _ in range(30)]
+    near = sets[0].copy()
+    near[:n // 20] = rng.integers(0, 1 << 60, n // 20)
+    rows = [(1, 7, i, n, None, None, jaccard.class_counts(s, 80))
+            for i, s in enumerate([*sets, near])]
+    links = [link for batch in jaccard.candidate_links(iter(region_batches(rows)), 80)
+             for link in zip(batch["key"].to_pylist(), batch["id"].to_pylist())]
+    assert [sorted(link) for link in links] == [[0, 30]]
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 100])
+def test_regions_of_one_text_are_left_out(size):
+    keys = [1, 2, 2, 3, 4, 4, 4, 4, 4, 5, 6, 6]
+    rows = [(0, 0, 0, 1, 1, 1, b"x"), *((1, key, i, 9, None, None, None)
+                                        for i, key in enumerate(keys))]
+    found = [row for batch in jaccard.shared_regions(iter(region_batches(rows, size)))
+             for row in zip(batch["kind"].to_pylist(), batch["id"].to_pylist())]
+    assert found == [(0, 0), *((1, i) for i, key in enumerate(keys) if keys.count(key) > 1)]
+
+
+@pytest.mark.parametrize("short", [True, False])
+def test_long_texts_need_no_copies(spark, monkeypatch, short):
+    """Texts that share one passage and little else are told apart before any set is shuffled."""
+    given = []
+    whole = jaccard.exact_links
+    monkeypatch.setattr(jaccard, "exact_links", lambda cells, *rest: given.append(
+        {r.id for r in cells.collect()}) or whole(cells, *rest))
+    rng = np.random.default_rng(5)
+    n = 300 if short else 7_500
+    passage = " ".join(f"p{k}" for k in range(n // 3))
+    texts = [(i, passage + " " + " ".join(f"w{k}" for k in rng.integers(0, 1 << 40, n)))
+             for i in range(6)]
+    texts.append((9, texts[2][1] + " more"))
+    rows = jaccard.groups(frame(spark, [(*row, "en", "s") for row in texts])).collect()
+    assert {r.doc_id: r.component_id for r in rows} == {**{i: i for i in range(6)}, 9: 2}
+    assert given == [{2, 9}]
+
+
 def test_groups_of_nothing(spark):
     assert jaccard.groups(frame(spark, [])).count() == 0
 
