@@ -1,6 +1,9 @@
 """Lists by blocks of matrices against plain comparisons of all pairs."""
 
+from types import SimpleNamespace
+
 import numpy as np
+import pytest
 from conftest import SMALL
 from pyspark.sql import Window, functions as F
 
@@ -60,3 +63,39 @@ def test_long_lists_and_many_items(spark):
         for d in range(4):
             scores += user[d].astype(np.float64) * items[:, d].astype(np.float64)
         assert found[i] == np.lexsort((np.arange(len(items)), -scores))[:40].tolist()
+
+
+@pytest.mark.parametrize("most, users", [(10**6, 0), (12, 2), (0, 301)])
+def test_what_users_have_seen_is_hidden_or_taken_out(spark, monkeypatch, most, users):
+    """Only those who have seen very much get long lists. Some have seen all products, some none;
+    pairs come twice, have nulls or ids of neither users nor products."""
+    rng = np.random.default_rng(3)
+    n = 70
+    vectors = rng.normal(size=(300 + n, 3)).astype(np.float32)
+    wide = "id int, features array<float>"
+    of_users = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors[:300])], wide)
+    of_items = spark.createDataFrame(
+        [(3 * i, v.tolist()) for i, v in enumerate(vectors[300:])], wide)
+    model = SimpleNamespace(userFactors=of_users.repartition(3), itemFactors=of_items, rank=3)
+    seen = {(i, 3 * j) for i in range(2, 300) for j in rng.integers(0, n, 9).tolist()}
+    seen |= {(0, 3 * j) for j in range(n)} | {(1, 3 * j) for j in range(4, n)}
+    rows = [*seen, *list(seen)[:50], (7, 1), (900, 3), (None, 3), (5, None)]
+    asked = []
+    for_some = topk.recommend_for
+    monkeypatch.setattr(topk, "recommend_for", lambda model, wanted: asked.append(
+        wanted.count()) or for_some(model, wanted))
+    monkeypatch.setattr(topk, "MOST_SEEN", most)
+    found = {}
+    for r in topk.recommend_unseen(model, spark.createDataFrame(
+            rows, "user_id_int int, product_id_int int"), 6).orderBy("rank").collect():
+        assert r.rank == len(found.setdefault(r.user_id_int, [])) + 1
+        found[r.user_id_int].append(r.product_id_int)
+    assert sum(asked) == users
+    for i in range(300):
+        left = [j for j in range(n) if (i, 3 * j) not in seen]
+        scores = (vectors[i].astype(np.float64) * vectors[300:].astype(np.float64)).sum(1)
+        scores = scores.astype(np.float32)
+        order = sorted(left, key=lambda j: (-scores[j], j))[:6]
+        assert [scores[j // 3] for j in found.get(i, [])] == pytest.approx(
+            [scores[j] for j in order], abs=1e-6), i
+        assert not {(i, j) for j in found.get(i, [])} & seen
