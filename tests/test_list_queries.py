@@ -78,3 +78,18 @@ def test_logged_lists(spark, folder, no_builtin, name, expected):
 def test_stored_lists_beside_those_of_the_model(spark, folder, no_builtin):
     rows = registry.QUERIES["serve_fallback"](spark, folder).collect()
     assert [(r.request_id, r.user_id) for r in rows] == [(3, 60)]
+
+
+def test_builtin_lists_are_dealt_to_tasks(spark, folder, monkeypatch):
+    """Small factor tables are not broadcast, and the session's settings stay as they are."""
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before, seen = spark.conf.get(threshold), []
+    builtin = ALSModel.recommendForAllUsers
+    monkeypatch.setattr(ALSModel, "recommendForAllUsers", lambda model, k: seen.append(
+        (model.getBlockSize(), spark.conf.get(threshold))) or builtin(model, k))
+    rows = registry.QUERIES["recs_match_builtin"](spark, folder).collect()
+    model = registry.model(spark, folder, 0.8)
+    assert len(rows) == model.userFactors.count() * min(10, model.itemFactors.count())
+    assert all(r.same_score for r in rows)
+    assert seen == [(registry.BUILTIN_BLOCK, "-1")]
+    assert model.getBlockSize() == 4096 and spark.conf.get(threshold) == before
