@@ -48,7 +48,7 @@ MARGIN = 1.7  # unrelated texts differ in them by about so many times the bound
 RUN = 4_096  # texts of one region that are compared by bounds
 BUFFER = 50_000  # rows of regions a task looks at together, fewer if counts are long
 COUNTS = 1_024  # bytes of counts that weigh as a row
-GAPS = 4_000_000  # counts compared at once
+GAPS = 1_000_000  # counts compared at once
 MET = 500_000  # sets a task remembers to have met
 LEAF = 2_000  # texts of a cell that one task joins
 LEAF_SHINGLES = 4_000_000
@@ -203,6 +203,8 @@ def candidate_links(batches: Iterator[pa.RecordBatch], percent) -> Iterator[pa.R
         size = sum(map(weight, waiting))
     if waiting:
         yield from _Region(waiting).links(percent, chained)
+    waiting.clear()
+    pa.default_memory_pool().release_unused()  # workers stay, and other tasks need the room
 
 
 def _links(first, second) -> pa.RecordBatch:
